@@ -22,7 +22,7 @@ SEPARATORS = regex.compile(r"[\x1c-\x1f]")
 #: Words of up to this many parts are merged in a flat array, longer ones with a heap.
 SHORT = 128
 #: Entries of each generation of a cache.
-CACHE = 1 << 17
+CACHE = 1 << 16
 NONE = 1 << 60
 
 
