@@ -17,7 +17,7 @@ from tidegraph.llm._tables import materialise, table
 
 N = 4
 CELLS_LOG2, K = 20, 3
-#: A language contains an n-gram that it uses at least this often, and at least at this share
+#: A language contains an n-gram that at least this many of its texts have, at this share at least
 #: of the rate of the language that uses it most.
 LEAST_COUNT, SHARE = 3, 0.25
 MOST_LANGS = 62
@@ -79,7 +79,10 @@ def _cells(x: np.ndarray):
 
 
 def _count(batches):
-    """(lang, gram, n) of a whole partition."""
+    """(lang, gram, n) of a whole partition: n texts (or pieces of long ones) have the n-gram.
+
+    Counting texts keeps one long text with a wrong label from speaking for its language.
+    """
     have: dict[str, list] = {}
 
     def fold(lang):
@@ -93,7 +96,9 @@ def _count(batches):
             by.setdefault(lang, []).append(text)
         for lang, texts in by.items():
             for parts in _pieces(texts):
-                have.setdefault(lang, []).append(np.unique(_grams(parts)[0], return_counts=True))
+                x, owner, _ = _grams(parts)
+                once = np.unique(x + owner.astype(np.uint64) * _MUL[3], return_index=True)[1]
+                have.setdefault(lang, []).append(np.unique(x[once], return_counts=True))
                 if len(have[lang]) > 8:
                     fold(lang)
     for lang in have:
