@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidegraph.llm._tables import materialise, table
 
-#: Rows that the partitions are learned from, at most; and how many of them tune the number of parts that a query sees.
+#: Rows (about) that the partitions are learned from; and how many of them tune the number of parts that a query sees.
 SAMPLE, TUNE = 8_192, 400
 NEIGHBOURS, TOP = 10, 10
 #: Index rows that a part is meant to have, and the most parts.
@@ -147,8 +147,8 @@ def search(rows: DataFrame, every: int = 100, k: int = TOP) -> DataFrame:
     vec_ids count once. score is the Euclidean distance in double precision; ties go to the smaller
     vec_id. A query that sees fewer than k candidates in its parts goes to all parts.
 
-    The partitions are learned from at most SAMPLE rows (those with the smallest hashes of
-    vec_id); every row is indexed. Parts are searched in blocks of about BLOCK rows by up to
+    The partitions are learned from about SAMPLE rows (chosen by a hash of vec_id, fewer if
+    there are fewer); every row is indexed. Parts are searched in blocks of about BLOCK rows by up to
     QUERIES queries, so no task holds more than a block of each; block results (k a query)
     are merged by query.
     """
@@ -166,8 +166,11 @@ def _search(spark: SparkSession, x: DataFrame, every: int, k: int) -> DataFrame:
     n = x.count()
     wanted = min(MOST_PARTS, max(1, n // PART_ROWS))
     parts = 1 << (wanted.bit_length() - 1)
-    sample = x.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toPandas() if parts > 1 else None
-    router, seen = fit(np.stack(sample["x"]), parts) if parts > 1 else (None, 1)
+    router, seen = None, 1
+    if parts > 1:
+        chosen = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, SAMPLE / n))
+        sample = x.where(chosen).select("vec_id", "x").toArrow().sort_by("vec_id").column("x").combine_chunks()
+        router, seen = fit(sample.flatten().to_numpy().reshape(len(sample), -1), parts)
     held = spark.sparkContext.broadcast(router)
 
     @F.pandas_udf("array<int>")
