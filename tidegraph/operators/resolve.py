@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidegraph.functions.text import compact, name_similarity, normalize_name
 from tidegraph.operators.graph import endpoints
+from tidegraph.sources.shared import materialise
 
 
 def blocks(names: DataFrame) -> DataFrame:
@@ -54,7 +55,7 @@ def similar_pairs(names: DataFrame, low: float, high: float | None = None) -> Da
     return both.join(x, ["type", "n1"]).join(y, ["type", "n2"]).where("oa < ob").select("a", "b", "oa", "ob", "type", F.round("similarity", 6).alias("similarity"))
 
 
-def assign(names: DataFrame, pairs: DataFrame, checkpoint=lambda df: df.checkpoint()) -> DataFrame:
+def assign(names: DataFrame, pairs: DataFrame, checkpoint=lambda df: materialise(df, "greedy")) -> DataFrame:
     """(id, canonical): the greedy pass in order, without transitive closure.
 
     An entity is canonical when all its earlier matches are absorbed, and absorbed when an
