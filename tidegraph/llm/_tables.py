@@ -1,28 +1,12 @@
-"""Written tables in the shared folder, used to cut lineage and to survive lost executors."""
+"""Tables of the pipeline: inputs by name, and written tables in the shared folder."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from tidegraph.sources.shared import materialise, shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a local one of our own only where that is unset (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="tidegraph-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
-
-
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """df, written once as Parquet in the shared folder and read again with the same schema."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tidegraph/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["materialise", "shared_dir", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

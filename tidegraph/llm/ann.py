@@ -24,7 +24,7 @@ AIM = 0.97
 BLOCK, QUERIES = 1_024, 1_024
 
 
-def nearest(queries: np.ndarray, rows: np.ndarray, k: int, step: int = 512) -> np.ndarray:
+def nearest(queries: np.ndarray, rows: np.ndarray, k: int, step: int = 128) -> np.ndarray:
     """Indices of the k nearest rows of each query, by blocks."""
     out = []
     norm = (rows**2).sum(1)
