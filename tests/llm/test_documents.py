@@ -221,6 +221,17 @@ def test_language_identification(docs):
     assert out.columns == docs.columns and out.where("lang = 'und'").count() == 0
 
 
+def test_more_languages_than_one_slice(spark):
+    r = random.Random(8)
+    rows = []
+    for n in range(70):
+        letters = [chr(0x4E00 + 20 * n + i) for i in range(20)]
+        rows += [(i, "".join(r.choice(letters[:3]) for _ in range(80)), f"l{n:02d}") for i in range(n * 12, n * 12 + 12)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {x["doc_id"]: x["lang_pred"] for x in langid.identify(d).collect()}
+    assert len({x[2] for x in rows}) > langid.SLICE and np.mean([got[i] == lang for i, _, lang in rows]) > 0.98
+
+
 def test_whole_long_texts_are_read(spark, monkeypatch):
     monkeypatch.setattr(langid, "PIECE", 64)
     parts = [x for p in langid._pieces(["abcdefgh " * 50, "", None, "xy"]) for x in p]

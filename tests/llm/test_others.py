@@ -147,6 +147,14 @@ def test_search_recall(spark):
     assert len(got) == len(want) and len(got & want) >= 0.9 * len(want)
 
 
+def test_search_in_chunks_of_queries(spark, monkeypatch):
+    d = spark.read.parquet("/root/testdata/check_s/embeddings.parquet")
+    whole = sorted(map(tuple, ann.search(d, every=10).collect()))
+    monkeypatch.setattr(ann, "QUERIES", 50)
+    monkeypatch.setattr(ann, "BLOCK", 300)
+    assert whole == sorted(map(tuple, ann.search(d, every=10).collect()))
+
+
 def test_balanced_parts():
     r = np.random.default_rng(1)
     x = r.normal(size=(1000, 6))

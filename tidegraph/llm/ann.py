@@ -21,7 +21,7 @@ NEIGHBOURS, TOP = 10, 10
 PART_ROWS, MOST_PARTS = 1_024, 64
 #: Share of the sample's true neighbours that the parts which a query sees must hold.
 AIM = 0.97
-BLOCK, QUERIES = 1_024, 1_024
+BLOCK, QUERIES = 1_024, 4_096
 
 
 def nearest(queries: np.ndarray, rows: np.ndarray, k: int, step: int = 128) -> np.ndarray:
@@ -184,11 +184,9 @@ def _search(spark: SparkSession, x: DataFrame, every: int, k: int) -> DataFrame:
     index = routed.select("vec_id", "x", F.col("routes")[0].alias("part"))
     size = {r["part"]: r["count"] for r in index.groupBy("part").count().collect()}
     asked = routed.where(F.col("vec_id") % every == 0)
-    n_asked = asked.count()
     blocks = F.create_map(*(F.lit(v) for p, c in size.items() for v in (p, -(-c // BLOCK)))) if size else None
     if blocks is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    chunks = max(1, -(-n_asked // QUERIES))
     # a query sees its first parts, and more while those have too few rows
     counts = F.create_map(*(F.lit(v) for p, c in size.items() for v in (p, c)))
     order = F.filter("routes", lambda p: counts[p].isNotNull())
@@ -202,13 +200,15 @@ def _search(spark: SparkSession, x: DataFrame, every: int, k: int) -> DataFrame:
         ),
         lambda s: s["take"],
     )
-    queries = (
-        asked.select("vec_id", "x", F.explode(F.slice(order, F.lit(1), enough)).alias("part"))
-        .select("vec_id", "x", "part", F.explode(F.sequence(F.lit(0), blocks[F.col("part")] - 1)).alias("block"))
-        .withColumn("chunk", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(chunks)).cast("int"))
+    sent = asked.select("vec_id", "x", F.explode(F.slice(order, F.lit(1), enough)).alias("part"))
+    asks = {r["part"]: r["count"] for r in sent.groupBy("part").count().collect()}
+    # a part's rows go only to as many chunks of queries as the part is asked by
+    chunks = F.coalesce(F.create_map(*(F.lit(v) for p in size for v in (p, -(-asks.get(p, 0) // QUERIES))))[F.col("part")], F.lit(0))
+    queries = sent.select("vec_id", "x", "part", F.explode(F.sequence(F.lit(0), blocks[F.col("part")] - 1)).alias("block")).withColumn(
+        "chunk", F.pmod(F.xxhash64("vec_id", F.lit(1)), chunks).cast("int")
     )
-    rows = index.withColumn("block", F.pmod(F.xxhash64("vec_id"), blocks[F.col("part")]).cast("int")).withColumn(
-        "chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))
+    rows = index.withColumn("block", F.pmod(F.xxhash64("vec_id"), blocks[F.col("part")]).cast("int")).where(chunks > 0).withColumn(
+        "chunk", F.explode(F.sequence(F.lit(0), chunks - 1))
     )
 
     def rank(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:

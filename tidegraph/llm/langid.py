@@ -20,7 +20,8 @@ CELLS_LOG2, K = 20, 3
 #: A language contains an n-gram that at least this many of its texts have, at this share at least
 #: of the rate of the language that uses it most.
 LEAST_COUNT, SHARE = 3, 0.25
-MOST_LANGS = 62
+#: Languages in one slice of the filter: as many as a long has safe bits.
+SLICE = 62
 PIECE = 1 << 20
 UNDETERMINED = "und"
 _MUL = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -112,12 +113,12 @@ def _count(batches):
 
 
 def _bits(rows):
-    """(cell, bits): where each n-gram is put down."""
+    """(cell, slice, bits): where each n-gram is put down."""
     for b in rows:
         x = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-        bits = b.column(1).to_numpy(zero_copy_only=False)
+        part, bits = (np.tile(b.column(i).to_numpy(zero_copy_only=False), K) for i in (1, 2))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(_cells(x)).astype(np.int32)), pa.array(np.tile(bits, K))], names=["cell", "bits"]
+            [pa.array(np.concatenate(_cells(x)).astype(np.int32)), pa.array(part), pa.array(bits)], names=["cell", "slice", "bits"]
         )
 
 
@@ -129,27 +130,27 @@ def learn(labelled: DataFrame) -> dict:
     counts = materialise(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted(totals)
-    if len(langs) > MOST_LANGS:
-        raise ValueError(f"at most {MOST_LANGS} languages, got {len(langs)}")
-    cells = np.zeros(1 << CELLS_LOG2, np.int64)
+    slices = -(-len(langs) // SLICE)
+    cells = np.zeros((slices, 1 << CELLS_LOG2), np.int64)
     if langs:
-        total, bit = (
-            F.create_map(*(F.lit(v) for i, x in enumerate(langs) for v in (x, f(i, x))))
-            for f in (lambda i, x: float(totals[x]), lambda i, x: 1 << i)
-        )
-        rated = counts.select("gram", "n", (F.col("n") / total[F.col("lang")]).alias("rate"), bit[F.col("lang")].cast("long").alias("bit"))
-        most = rated.groupBy("gram").agg(F.collect_list(F.struct("n", "rate", "bit")).alias("of"), F.max("rate").alias("top"))
-        sets = most.select(
+        known = [(x, float(totals[x]), i // SLICE, 1 << i % SLICE) for i, x in enumerate(langs)]
+        of = F.broadcast(labelled.sparkSession.createDataFrame(known, "lang string, total double, slice int, bit long"))  # one row a language
+        rated = counts.join(of, "lang").select("gram", "n", (F.col("n") / F.col("total")).alias("rate"), "slice", "bit")
+        most = rated.groupBy("gram").agg(F.collect_list(F.struct("n", "rate", "slice", "bit")).alias("of"), F.max("rate").alias("top"))
+        used = most.select("gram", F.filter("of", lambda x: (x["n"] >= LEAST_COUNT) & (x["rate"] >= SHARE * F.col("top"))).alias("of"))
+        sets = used.select("gram", F.explode(F.array_distinct(F.transform("of", lambda x: x["slice"]))).alias("slice"), "of").select(
             "gram",
+            "slice",
             F.aggregate(
-                F.filter("of", lambda x: (x["n"] >= LEAST_COUNT) & (x["rate"] >= SHARE * F.col("top"))),
+                F.filter("of", lambda x: x["slice"] == F.col("slice")),
                 F.lit(0).cast("long"),
                 lambda acc, x: acc.bitwiseOR(x["bit"]),
             ).alias("bits"),
-        ).where("bits <> 0")
-        found = sets.mapInArrow(_bits, "cell int, bits long").groupBy("cell").agg(F.bit_or("bits").alias("bits")).toPandas()
-        cells[found["cell"].to_numpy()] = found["bits"].to_numpy()
-    share = [float((cells >> i & 1).mean()) for i in range(len(langs))]
+        )
+        put = sets.mapInArrow(_bits, "cell int, slice int, bits long").groupBy("cell", "slice").agg(F.bit_or("bits").alias("bits"))
+        found = put.toPandas()
+        cells[found["slice"].to_numpy(), found["cell"].to_numpy()] = found["bits"].to_numpy()
+    share = [float((cells[i // SLICE] >> i % SLICE & 1).mean()) for i in range(len(langs))]
     common = max(langs, key=lambda x: (totals[x], x), default=UNDETERMINED)
     return {"langs": langs, "cells": cells, "false": [s**K for s in share], "common": common}
 
@@ -166,12 +167,13 @@ def _predictor(model):
                 letters[lettered] = True
                 if len(x):
                     at = _cells(x)
-                    sets = cells[at[0]]
-                    for a in at[1:]:
-                        sets &= cells[a]
                     n += np.bincount(owner, minlength=len(texts))
-                    for i in range(len(langs)):
-                        hits[:, i] += np.bincount(owner[(sets >> i & 1).astype(bool)], minlength=len(texts))
+                    for part, own in enumerate(cells):
+                        sets = own[at[0]]
+                        for a in at[1:]:
+                            sets &= own[a]
+                        for i in range(part * SLICE, min(len(langs), (part + 1) * SLICE)):
+                            hits[:, i] += np.bincount(owner[(sets >> i % SLICE & 1).astype(bool)], minlength=len(texts))
             if langs:
                 right = np.clip((hits - false * n[:, None]) / (1 - false + 1e-12), 0, None)
                 best, top = right.argmax(axis=1), right.max(axis=1)
@@ -200,7 +202,7 @@ def identify(docs: DataFrame) -> DataFrame:
     one without any letter, is `und` with score 0; so is everything if nothing can be
     learned. A text whose n-grams no language has gets the most common learned language with
     score 0. Ties go to the first language by name. Repeated rows give repeated rows; other
-    columns are ignored. The filter has a fixed size (8 MB), whatever the corpus.
+    columns are ignored. The filter has a fixed size whatever the corpus: 8 MB for each 62 languages.
     """
     d = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"))
     model = docs.sparkSession.sparkContext.broadcast(learn(d.where("doc_id is not null").where(~held_out())))
