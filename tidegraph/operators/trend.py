@@ -55,6 +55,15 @@ def trending(mentions: DataFrame, as_of: str, p: s.Profile, k: int = 20) -> Data
     )
 
 
+def hot_list(scored: DataFrame, mentions: DataFrame, k: int = 10, most: int = 3) -> DataFrame:
+    """The k best moving or scored entities, with up to `most` of their sources by name."""
+    sources = mentions.groupBy("entity_id").agg(F.array_sort(F.collect_set("source")).alias("all"))
+    top = scored.where("velocity > 0 or trend_score > 0").orderBy(F.desc("trend_score"), "entity_id").limit(k)
+    return top.join(sources, "entity_id", "left").select(
+        "entity_id", "velocity", F.round("trend_score", 6).alias("trend_score"), F.array_join(F.slice("all", 1, most), ",").alias("sources")
+    )
+
+
 def history(mentions: DataFrame, runs: list[str], p: s.Profile) -> DataFrame:
     """Rows of trend history for several run dates: entities with mentions in 30 days; below the minimum the score is 0."""
     out = None
