@@ -37,10 +37,11 @@ def error_sessions(stream: DataFrame, gap: str = "1 hour", late: str = "2 hours"
 
 
 def run_available(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
-    """Everything there is, then stop; a batch writer keeps the last result for update modes."""
+    """Everything there is, then stop. A complete result replaces the last one; in append mode each
+    batch has its own folder (column `batch`), so a batch that is run again replaces itself."""
 
     def write(batch: DataFrame, n: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(path)
+        batch.write.mode("overwrite").parquet(path if mode == "complete" else f"{path}/batch={n}")
 
     q = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
     q.awaitTermination()
