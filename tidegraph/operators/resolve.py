@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegraph.functions.text import compact, name_similarity, normalize_name
@@ -10,6 +10,12 @@ from tidegraph.operators.graph import endpoints
 from tidegraph.sources.shared import materialise
 
 
+def qgrams(name: Column, q: int) -> Column:
+    """Every run of q characters as "q=run"; transform would take a second lambda parameter for the index."""
+    starts = F.sequence(F.lit(1), F.greatest(F.length(name) - (q - 1), F.lit(1)))
+    return F.transform(starts, lambda i: F.concat(F.lit(f"{q}="), F.substring(name, i, F.lit(q))))
+
+
 def blocks(names: DataFrame) -> DataFrame:
     """(id, type, name, key): every pair with similarity over 0 shares a key.
 
@@ -17,13 +23,7 @@ def blocks(names: DataFrame) -> DataFrame:
     its length if shorter) meets all q-grams of a longer name that holds it.
     """
     n = F.col("name")
-    grams = [
-        F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length(n) - (q - 1), F.lit(1))),
-            lambda i, q=q: F.concat(F.lit(f"{q}="), F.substring(n, i, F.lit(q))),
-        )
-        for q in (1, 2, 3)
-    ]
+    grams = [qgrams(n, q) for q in (1, 2, 3)]
     words = F.transform(F.filter(F.split(n, " "), lambda w: w != ""), lambda w: F.concat(F.lit("w="), w))
     keys = F.array_distinct(F.concat(F.array(F.concat(F.lit("c="), compact(n))), words, *grams))
     return names.where(n != "").select("*", F.explode(keys).alias("key"))
