@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from tokenizers import Tokenizer
@@ -241,6 +242,40 @@ def test_whole_long_texts_are_read(spark, monkeypatch):
     assert n == sum(len(langid._grams([p])[0]) for p in whole) > 300
 
 
+def cjk(seed, n):
+    return "".join(map(chr, np.random.default_rng(seed).integers(0x4E00, 0x9FA5, n)))
+
+
+def test_languages_with_millions_of_ngrams(spark):
+    """Texts half of which are unknown n-grams, and 30 % n-grams of the other language."""
+    big = {lang: [cjk(i, 10_000) for i in range(at, at + 150)] for lang, at in (("ja", 0), ("zh", 1000))}
+    rows = [(t, lang) for lang, texts in big.items() for t in texts for _ in range(3)]
+    m = langid.learn(spark.createDataFrame(rows, "text string, lang string"))
+    assert all(x < 0.13 for x in m["false"]) and len(m["cells"][0]) > 4 * 1_490_000
+    x = langid._grams([(0, cjk(9999, 200_000))])[0]
+    at = langid._cells(x, len(m["cells"][0]))
+    sets = m["cells"][0][at[0]] & m["cells"][0][at[1]] & m["cells"][0][at[2]]
+    assert all(abs((sets >> i & 1).mean() - m["false"][i]) < 0.01 for i in range(2))
+    asked = [(lang, f"{big[lang][i][:43]} {big[other][i][:33]} {cjk(5000 + i, 103)}") for lang, other in (("ja", "zh"), ("zh", "ja")) for i in range(150)]
+    batch = pa.RecordBatch.from_arrays([pa.array([t for _, t in asked])] * 3, names=["a", "b", "text"])
+    model = type("Model", (), {"value": m})
+    pred = next(langid._predictor(model)([batch])).column(2).to_pylist()
+    assert np.mean([p == lang for p, (lang, _) in zip(pred, asked, strict=True)]) > 0.9
+
+
+def test_language_of_two_texts(spark):
+    r = random.Random(5)
+    en = [" ".join(r.choice("the of and tion here with when all".split()) for _ in range(40)) for _ in range(60)]
+    few = ["mikä tämä on hyvää päivää kaikille", "hyvää yötä kaikille täällä ja siellä"]
+    m = langid.learn(spark.createDataFrame([(t, "en") for t in en] + [(t, "fi") for t in few], "text string, lang string"))
+    batch = pa.RecordBatch.from_arrays([pa.array(["hyvää iltaa kaikille", "here with the tion"])] * 3, names=["a", "b", "text"])
+    assert next(langid._predictor(type("Model", (), {"value": m}))([batch])).column(2).to_pylist() == ["fi", "en"]
+
+
+def test_enough_texts():
+    assert [langid._enough(n) for n in (1, 2, 7, 8, 16, 300_000, 100_000_000)] == [1, 1, 1, 2, 3, 3, 1000]
+
+
 def test_mixing_matches_poisson(spark):
     n = 3000
     d = spark.range(n).selectExpr("id as doc_id", "'t' as text", "case when id % 3 = 0 then 'hot' else concat('s', id % 7) end as source", "1 as copy")

@@ -3,11 +3,15 @@
 Every cell of the filter holds one bit per language, so one look-up (the AND of K cells)
 returns the set of all languages that contain an n-gram. A document counts, per language,
 the n-grams whose set has it; the counts are corrected for the filter's false positives, and
-the largest decides.
+the largest decides. A slice of the filter has as many cells as the n-grams kept for its
+languages need: no language fills more than about half of them (false positives about 1/8).
 """
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -16,13 +20,18 @@ from pyspark.sql import functions as F
 from tidegraph.llm._tables import materialise, table
 
 N = 4
+#: Cells of a slice at least, and look-ups per n-gram.
 CELLS_LOG2, K = 20, 3
-#: A language contains an n-gram that at least this many of its texts have, at this share at least
-#: of the rate of the language that uses it most.
-LEAST_COUNT, SHARE = 3, 0.25
+#: A language contains an n-gram that enough of its texts have, at this share at least of the rate
+#: of the language that uses it most. Enough is LEAST_COUNT, or less by one for 16 and by two for
+#: 8 texts (see _enough), or one in RARE of all texts of the language where that is more: what is kept
+#: of a language then has a bound, the mean number of n-grams in a text times RARE.
+LEAST_COUNT, SHARE, RARE = 3, 0.25, 100_000
 #: Languages in one slice of the filter: as many as a long has safe bits.
 SLICE = 62
 PIECE = 1 << 20
+#: Cells that come to the driver at once.
+READ = 1 << 22
 UNDETERMINED = "und"
 _MUL = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 _LETTER: list[np.ndarray] = []
@@ -74,17 +83,29 @@ def _grams(parts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return x, owner[: len(ok)][ok], owner[letter]
 
 
-def _cells(x: np.ndarray):
-    mask = np.uint64((1 << CELLS_LOG2) - 1)
-    return [((x >> np.uint64(CELLS_LOG2 * i)) & mask).astype(np.int64) for i in range(K)]
+def _enough(texts: int) -> int:
+    """How many texts of a language must have an n-gram: 1 below 8 texts, 2 below 16."""
+    return max(min(LEAST_COUNT, 1 + texts // 8), -(-texts // RARE))
+
+
+def _size(kept: int) -> int:
+    """Cells of a slice whose largest language keeps so many n-grams: at most half of them get its bit."""
+    return max(1 << CELLS_LOG2, math.ceil(K * kept / math.log(2)))
+
+
+def _cells(x: np.ndarray, size):
+    """The K cells of each hash; size, below 2^32, is one number or one for each hash."""
+    size = np.asarray(size, np.uint64)
+    return [((x * _MUL[i] >> np.uint64(32)) * size >> np.uint64(32)).astype(np.int64) for i in range(K)]
 
 
 def _count(batches):
-    """(lang, gram, n) of a whole partition: n texts (or pieces of long ones) have the n-gram.
+    """(lang, gram, n) of a whole partition: n texts (or pieces of long ones) have the n-gram; a null gram counts all texts.
 
     Counting texts keeps one long text with a wrong label from speaking for its language.
     """
     have: dict[str, list] = {}
+    seen: Counter = Counter()
 
     def fold(lang):
         parts = have[lang]
@@ -96,12 +117,15 @@ def _count(batches):
         for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             by.setdefault(lang, []).append(text)
         for lang, texts in by.items():
+            seen[lang] += len(texts)
             for parts in _pieces(texts):
                 x, owner, _ = _grams(parts)
                 once = np.unique(x + owner.astype(np.uint64) * _MUL[3], return_index=True)[1]
                 have.setdefault(lang, []).append(np.unique(x[once], return_counts=True))
                 if len(have[lang]) > 8:
                     fold(lang)
+    none = pa.array([None] * len(seen), pa.int64())
+    yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), none, pa.array(list(seen.values()), pa.int64())], names=["lang", "gram", "n"])
     for lang in have:
         fold(lang)
         keys, n = have[lang][0]
@@ -112,32 +136,37 @@ def _count(batches):
             )
 
 
-def _bits(rows):
+def _bits(sizes):
     """(cell, slice, bits): where each n-gram is put down."""
-    for b in rows:
-        x = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-        part, bits = (np.tile(b.column(i).to_numpy(zero_copy_only=False), K) for i in (1, 2))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(_cells(x)).astype(np.int32)), pa.array(part), pa.array(bits)], names=["cell", "slice", "bits"]
-        )
+    sizes = np.array(sizes, np.uint64)
+
+    def run(rows):
+        for b in rows:
+            x, part, bits = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            at = np.concatenate(_cells(x.view(np.uint64), sizes[part]))
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.tile(part, K)), pa.array(np.tile(bits, K))], names=["cell", "slice", "bits"])
+
+    return run
 
 
 def learn(labelled: DataFrame) -> dict:
-    """The filter of all rows of (lang, text) with a lang: langs, cells, and each language's share of cells."""
+    """The filter of all rows of (lang, text) with a lang: langs, cells of each slice, and each language's false positives."""
     counts = labelled.where("lang is not null and text is not null").select("lang", "text").mapInArrow(
         _count, "lang string, gram long, n long"
     )
     counts = materialise(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
-    totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    sums = counts.groupBy("lang").agg(F.sum(F.when(F.col("gram").isNotNull(), F.col("n"))).alias("n"), F.sum(F.when(F.col("gram").isNull(), F.col("n"))).alias("texts"))
+    found = [r for r in sums.collect() if r["n"]]
+    totals, texts = {r["lang"]: r["n"] for r in found}, {r["lang"]: r["texts"] for r in found}
     langs = sorted(totals)
-    slices = -(-len(langs) // SLICE)
-    cells = np.zeros((slices, 1 << CELLS_LOG2), np.int64)
+    cells = []
     if langs:
-        known = [(x, float(totals[x]), i // SLICE, 1 << i % SLICE) for i, x in enumerate(langs)]
-        of = F.broadcast(labelled.sparkSession.createDataFrame(known, "lang string, total double, slice int, bit long"))  # one row a language
-        rated = counts.join(of, "lang").select("gram", "n", (F.col("n") / F.col("total")).alias("rate"), "slice", "bit")
-        most = rated.groupBy("gram").agg(F.collect_list(F.struct("n", "rate", "slice", "bit")).alias("of"), F.max("rate").alias("top"))
-        used = most.select("gram", F.filter("of", lambda x: (x["n"] >= LEAST_COUNT) & (x["rate"] >= SHARE * F.col("top"))).alias("of"))
+        known = [(x, float(totals[x]), _enough(texts[x]), i // SLICE, 1 << i % SLICE) for i, x in enumerate(langs)]
+        of = F.broadcast(labelled.sparkSession.createDataFrame(known, "lang string, total double, least long, slice int, bit long"))  # one row a language
+        # One text less in the highest rate: what a single text of a small language has takes nothing from the others.
+        rated = counts.where("gram is not null").join(of, "lang").select("gram", "n", "least", (F.col("n") / F.col("total")).alias("rate"), ((F.col("n") - 1) / F.col("total")).alias("sure"), "slice", "bit")
+        most = rated.groupBy("gram").agg(F.collect_list(F.struct("n", "least", "rate", "slice", "bit")).alias("of"), F.max("sure").alias("top"))
+        used = most.select("gram", F.filter("of", lambda x: (x["n"] >= x["least"]) & (x["rate"] >= SHARE * F.col("top"))).alias("of"))
         sets = used.select("gram", F.explode(F.array_distinct(F.transform("of", lambda x: x["slice"]))).alias("slice"), "of").select(
             "gram",
             "slice",
@@ -147,9 +176,18 @@ def learn(labelled: DataFrame) -> dict:
                 lambda acc, x: acc.bitwiseOR(x["bit"]),
             ).alias("bits"),
         )
-        put = sets.mapInArrow(_bits, "cell int, slice int, bits long").groupBy("cell", "slice").agg(F.bit_or("bits").alias("bits"))
-        found = put.toPandas()
-        cells[found["slice"].to_numpy(), found["cell"].to_numpy()] = found["bits"].to_numpy()
+        sets = materialise(sets, "kept")
+        kept = sets.groupBy("slice").agg(*(F.sum(F.shiftright("bits", i).bitwiseAND(F.lit(1))) for i in range(min(SLICE, len(langs))))).collect()
+        kept = {r[0]: max(r[1:]) for r in kept}
+        sizes = [_size(kept.get(i, 0)) for i in range(-(-len(langs) // SLICE))]
+        put = sets.mapInArrow(_bits(sizes), "cell long, slice int, bits long").groupBy("cell", "slice").agg(F.bit_or("bits").alias("bits"))
+        put = materialise(put, "cells")
+        for part, size in enumerate(sizes):
+            width = next(w for w in (8, 16, 32, 64) if min(SLICE, len(langs) - part * SLICE) <= w)
+            cells.append(np.zeros(size, f"uint{width}"))
+            for low in range(0, size, READ):  # a bounded part at once comes to the driver
+                rows = put.where((F.col("slice") == part) & F.col("cell").between(low, low + READ - 1)).select("cell", "bits").toArrow()
+                cells[part][rows.column(0).to_numpy()] = rows.column(1).to_numpy().astype(cells[part].dtype)
     share = [float((cells[i // SLICE] >> i % SLICE & 1).mean()) for i in range(len(langs))]
     common = max(langs, key=lambda x: (totals[x], x), default=UNDETERMINED)
     return {"langs": langs, "cells": cells, "false": [s**K for s in share], "common": common}
@@ -166,9 +204,9 @@ def _predictor(model):
                 x, owner, lettered = _grams(parts)
                 letters[lettered] = True
                 if len(x):
-                    at = _cells(x)
                     n += np.bincount(owner, minlength=len(texts))
                     for part, own in enumerate(cells):
+                        at = _cells(x, len(own))
                         sets = own[at[0]]
                         for a in at[1:]:
                             sets &= own[a]
@@ -202,7 +240,10 @@ def identify(docs: DataFrame) -> DataFrame:
     one without any letter, is `und` with score 0; so is everything if nothing can be
     learned. A text whose n-grams no language has gets the most common learned language with
     score 0. Ties go to the first language by name. Repeated rows give repeated rows; other
-    columns are ignored. The filter has a fixed size whatever the corpus: 8 MB for each 62 languages.
+    columns are ignored. Each slice of 62 languages has 2^20 cells (8 bytes each, 1 for up to 8
+    languages), or 4.33 for each n-gram of its largest language where that is more; what is
+    kept of a language grows with its vocabulary, not with the number of texts (see RARE). A
+    language of a few texts has all their n-grams.
     """
     d = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"))
     model = docs.sparkSession.sparkContext.broadcast(learn(d.where("doc_id is not null").where(~held_out())))
