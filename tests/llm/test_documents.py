@@ -197,6 +197,26 @@ def test_find_spans_and_redact(docs):
     assert red[0]["text"] == dict(texts())[0] and red[1]["text"] is None
 
 
+def found(text):
+    return {(k, text[s:e]) for k, s, e, _ in pii.candidates(text, pii.base_spans(text))}
+
+
+def test_titles_and_long_secrets_are_candidates():
+    for text, name in (("Please contact Ms Jones today", "Jones"), ("Signed Mrs Olga Smith", "Olga Smith"), ("see Dr. Who", "Who")):
+        assert found(text) == {("name", name)}
+    key = "aB3" * 100
+    assert found(f"token={key} x") == {("secret", f"token={key}")} and found("b" * 300 + " 1") == set()
+
+
+def test_overlaps_are_settled_after_the_classifier():
+    for text, kind, value in (("customer_ssn=123-45-6789", "ssn", "123-45-6789"), ("phone=555-234-4567", "phone", "555-234-4567")):
+        assert found(text) == {(kind, value), ("secret", text)}
+        codes = {k: c for k, _, _, c in pii.candidates(text, pii.base_spans(text))}
+        at = text.index(value)
+        assert pii._all_spans(text, {codes[kind]})[1] == [(kind, at, len(text))]
+        assert pii._all_spans(text, set(codes.values()))[1] == [("secret", 0, len(text))]
+
+
 def test_em_finds_the_better_labeler():
     r = random.Random(4)
     seen = {}

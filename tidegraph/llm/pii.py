@@ -39,9 +39,11 @@ WIDE = {
     "ssn": re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     "phone": re.compile(r"(?<![0-9+(])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"),
     "card": CARD,
-    "secret": re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,200}(?![A-Za-z0-9+/_=-])"),
+    "secret": re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}+"),
 }
 LOOSE_EMAIL = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63}(?:(?: ?[\[(]dot[\])] ?|\.)[A-Za-z0-9-]{1,63}){1,4}")
+#: A part of every title that NAME begins with.
+TITLES = ("Mr", "Ms", "Dr", "Prof")
 NAME = re.compile(r"\b(?:Mr|Mrs|Ms|Dr|Prof)\.? ([A-Z][a-z]{1,30}(?: [A-Z][a-z]{1,30}){0,2})")
 
 # Words near personal data, by kind, and title or prefix gazetteers.
@@ -133,7 +135,7 @@ def _votes(kind: str, text: str, start: int, end: int, value: str) -> tuple[int,
 
 
 def candidates(text: str, base: dict[str, list[tuple[int, int]]]) -> list[tuple[str, int, int, str]]:
-    """(kind, start, end, code) of what the wide patterns find outside base spans and outside each other.
+    """(kind, start, end, code) of all that the wide patterns find outside base spans; they may overlap (see settle).
 
     code is the discrete description that the labelers and the classifier see.
     """
@@ -150,15 +152,13 @@ def candidates(text: str, base: dict[str, list[tuple[int, int]]]) -> list[tuple[
                 found.append((kind, s, e))
     if "at]" in text or "at)" in text:
         found += [("email", *m.span()) for m in LOOSE_EMAIL.finditer(text)]
-    if "r. " in text or "r " in text or "s. " in text or "Prof" in text:
+    if any(t in text for t in TITLES):
         found += [("name", *m.span(1)) for m in NAME.finditer(text)]
     if not found:
         return []
     taken = sorted(x for spans in base.values() for x in spans)
     out = []
     for kind, s, e in sorted(found, key=lambda x: (x[1], -x[2], x[0])):
-        if out and s < out[-1][2]:
-            continue
         if any(a < e and s < b for a, b in taken):
             continue
         value = text[s:e]
@@ -170,6 +170,15 @@ def candidates(text: str, base: dict[str, list[tuple[int, int]]]) -> list[tuple[
     return out
 
 
+def settle(found: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """Accepted candidates, ordered by start and length, without overlaps: leftmost, then longest, wins."""
+    out: list[tuple[str, int, int]] = []
+    for x in found:
+        if not out or x[1] >= out[-1][2]:
+            out.append(x)
+    return out
+
+
 def reliabilities(patterns: dict[tuple[int, ...], float], rounds: int = 50) -> tuple[np.ndarray, float]:
     """EM for two classes with conditionally independent labelers.
 
@@ -263,7 +272,7 @@ def _written(spans: list[tuple[str, int, int]]) -> str:
 def _all_spans(text: str, accepted) -> tuple[list, list]:
     base = base_spans(text)
     first = [(k, s, e) for k in BASE for s, e in base[k]]
-    more = [(k, s, e) for k, s, e, code in candidates(text, base) if code in accepted]
+    more = settle([(k, s, e) for k, s, e, code in candidates(text, base) if code in accepted])
     return first, sorted(first + more, key=lambda x: (KINDS.index(x[0]), x[1]))
 
 
@@ -274,7 +283,8 @@ def find_spans(docs: DataFrame) -> DataFrame:
     """Spans of every row: counts and digest of the base detectors, and all spans written out.
 
     A null text is empty: no spans, digest of the empty string. Candidates never overlap base
-    spans or each other (leftmost, then longest, wins). Repeated rows give repeated rows; no
+    spans or each other: of accepted ones that overlap, the leftmost,
+    then longest, wins. Repeated rows give repeated rows; no
     rows give none; other columns are ignored. Both passes are scans without a shuffle of text.
     """
     accepted = docs.sparkSession.sparkContext.broadcast(accepted_codes(docs))
