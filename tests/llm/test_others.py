@@ -20,6 +20,40 @@ def test_parse_and_joined():
     assert joined(parse("")[1]) == "" and joined(parse("a < b <")[1]) .startswith("a")
 
 
+def test_visible_raw_text_and_words_in_parts():
+    read = lambda h: joined(parse(h)[1])
+    assert read("super<wbr>calif foo<img src=x>bar") == "supercalif foobar"
+    assert read("a<xmp><b>&amp;</b></xmp>c") == "a <b>&amp;</b> c"
+    assert read("so <math><mi>y</mi><mo>+</mo><annotation>tex</annotation></math>z") == "so y+ z"
+    assert read("q<svg>r <noscript>s</noscript>t") == "q r t" and read("q<svg><text>u</text></svg>t") == "q t"
+    assert read("""<a x="1>2" y='3>4'>t</a> <a href=x=y>k</a> a < b""") == "t k a < b" and read("ab<script>x") == "ab"
+
+
+@pytest.mark.parametrize("page", ["<b>{n}<p>", "<span class=x>{n}<p>", "<div", "<a x='>' ", '<a "', "<ul><li>", "<svg>", "<!-- ", "<table><tr><td>", "</b>", "<a ="])
+def test_odd_markup_is_read_in_linear_time(page):
+    import time
+
+    took = []
+    for n in (20_000, 200_000):
+        parts = page.split("{n}")
+        html = "".join(p * n for p in parts)
+        start = time.process_time()
+        parse(html)
+        took.append(time.process_time() - start)
+    assert took[1] < 25 * took[0] + 0.5
+
+
+def test_pages_against_a_slow_reader():
+    """Texts of drawn layouts, read by hand from their marks (see _Writer), against the tree's."""
+    for seed in range(60):
+        s = extraction._Writer(20_000_000 + seed).page().translate(extraction.MARKS)
+        nodes, pieces = parse(s)
+        inner = s[s.index("<body>") :]
+        inner = re.sub(r"<title>.*?</title>", "", inner)
+        want = unescape(re.sub(r"<[^>]*>", "", re.sub(r"</?(?!a\b|b\b|label\b|button\b|input\b)[a-z0-9]+[^>]*>", " ", re.sub(r"</?(label|button)>", " ", inner)))).split()
+        assert joined(pieces).split() == want
+
+
 def test_decoding_is_consistent():
     m = extraction.model()
     for seed in range(20):
@@ -83,6 +117,78 @@ def test_warc_records(spark):
     assert again == got and warc.derive(d.limit(0)).count() == 0
 
 
+def bare(html):
+    """All text of a page read by a walk over characters: blocks on lines, words by one blank."""
+    out, i = [], 0
+    while i < len(html):
+        if html.startswith("<!--", i):
+            i = html.find("-->", i) + 3
+        elif html[i] == "<":
+            name = re.match(r"</?([a-z0-9]*)", html[i:])[1]
+            end = html.find(">", i)
+            if name in ("script", "style", "title") and html[i + 1] != "/":
+                end = html.find(">", html.find(f"</{name}", i))
+            i = end + 1
+            out.append("" if name in ("a", "b", "i", "em", "span", "wbr", "img") else "\n")
+        else:
+            out.append(" " if html[i] == "\n" else html[i])
+            i += 1
+    return "\n".join(filter(None, (" ".join(unescape(x).split()) for x in "".join(out).split("\n"))))
+
+
+def test_warc_query_against_a_slow_reader(spark):
+    """Every page of the query: plain text by a walk over characters, and digests of the page's own bytes."""
+    pages = {}
+    for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect():
+        pages.setdefault(r["url"], []).append(r["html"] or "")
+    got = warc.op5_warc_derivatives(spark, "/root/testdata/sf0.001").collect()
+    assert len(got) == 2 * sum(map(len, pages.values())) and {r["warc_type"] for r in got} == {"metadata", "conversion"}
+    by_id = {r["record_id"]: r for r in got}
+    head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
+    for r in got:
+        data = r["block"].encode()
+        assert r["content_length"] == len(data) and r["block_digest"] == warc.digest(data)
+        assert r["source_payload_digest"] in {warc.digest(h.encode()) for h in pages[r["target_uri"]]}
+        assert r["source_block_digest"] in {warc.digest(head + h.encode()) for h in pages[r["target_uri"]]}
+        if r["warc_type"] == "conversion":
+            assert r["block"] in {bare(h) for h in pages[r["target_uri"]]}
+        else:
+            linked = by_id[re.search("conversion: (.*)\r", r["block"])[1]]
+            assert linked["refers_to"] == r["refers_to"] and f"source-warc-record-id: {r['refers_to']}" in r["block"]
+
+
+def test_warc_sources_keep_headers_and_digests(spark):
+    html = "<p>grüße</p><script>document.write('<a href=x>')</script><!-- <a href=y> --><p>su<wbr>per <a href=z>z</a>"
+    gz = lambda b: __import__("gzip").compress(b)
+    chunked = lambda b: b"".join(b"%x;q\r\n%s\r\n" % (len(b[i : i + 7]), b[i : i + 7]) for i in range(0, len(b), 7)) + b"0\r\n\r\n"
+    http = lambda *f: ("HTTP/1.1 200 OK\r\n" + "".join(x + "\r\n" for x in f) + "\r\n").encode()
+    body = html.encode()
+    given = "WARC/1.0\r\nWARC-Payload-Digest: sha256:abc\r\nWARC-Block-Digest: sha1:XYZ\r\nWARC-IP-Address: 192.0.2.1\r\nX-Long: a\r\n b\r\nWARC-Target-URI: http://h/\r\nWARC-Date: 2020-02-02T02:02:02Z"
+    late = b"<p>" + b"x " * 3000 + b"<meta charset=latin-1><p>gr\xfc\xdfe"
+    cases = {
+        "gzip": http("Content-Encoding: gzip") + gz(body), "both": http("Transfer-Encoding: chunked", "Content-Encoding: gzip") + chunked(gz(body[:20]) + gz(body[20:])),
+        "deflate": http("Content-Encoding: deflate") + __import__("zlib").compress(body), "cut": http("Content-Encoding: gzip") + gz(body)[:-9], "late": late,
+        "undefined": http("Content-Type: text/html; charset=undefined") + body, "idna": http("Content-Type: text/html; charset=idna") + body, "odd": http("Content-Type: text/html; charset=no-such") + body,
+        "brotli": http("Content-Encoding: br") + b"\x0b\x02\x80", "image": http("Content-Type: image/png") + b"\x89PNG", "plain": http("Content-Type: text/plain") + b"a <b>\n c", "bom": "\ufeff".encode("utf-16-le") + html.encode("utf-16-le"),
+        "long": b"<p>word</p>" * 200_000,
+    }
+    rows = [(k, None, None, v, given, "x") for k, v in cases.items()]
+    d = spark.createDataFrame(rows, "record_id string, target_uri string, warc_date string, payload binary, warc_header string, block string")
+    got = {(r["refers_to"], r["warc_type"]): r for r in warc.derive(d).collect()}
+    for k in ("gzip", "both", "deflate", "undefined", "idna", "odd", "bom"):
+        assert got[k, "conversion"]["block"] == "grüße\nsuper z", k
+        assert "links: 1\r" in got[k, "metadata"]["block"]
+    assert got["late", "conversion"]["block"].endswith("grüße") and got["cut", "conversion"]["block"].startswith("grüße")
+    assert got["plain", "conversion"]["block"] == "a <b>\n c" and got["long", "conversion"]["block"].count("word") == 200_000
+    for k, why in (("brotli", "content coding"), ("image", "media type")):
+        assert (k, "conversion") not in got and f"no-conversion: {why}" in got[k, "metadata"]["block"]
+    for r in got.values():
+        assert (r["source_payload_digest"], r["source_block_digest"], r["source_header"]) == ("sha256:abc", "sha1:XYZ", given)
+        assert r["target_uri"] == "http://h/" and r["warc_date"] == "2020-02-02T02:02:02Z" and "WARC-Source-Payload-Digest: sha256:abc" in r["header"]
+    m = got["gzip", "metadata"]["block"]
+    assert "source-warc-ip-address: 192.0.2.1" in m and "source-x-long: a b" in m and "block-digest-matches: false" in m
+
+
 CALLS = "conv_id long, call_id string, turn long, name string, arguments string, needs array<string>"
 RESULTS = "conv_id long, call_id string, turn long, content string"
 
@@ -139,22 +245,63 @@ def test_search_is_exact_with_one_part_and_odd_rows(spark):
     assert ann.search(d.limit(0)).count() == 0
 
 
-def test_search_recall(spark):
-    d = spark.read.parquet("/root/testdata/check_s/embeddings.parquet")
-    pdf = d.toPandas().sort_values("vec_id")
-    want = {(a, c) for a, _, c, _ in slow_search(pdf["vec_id"].to_numpy(), np.stack(pdf["embedding"]).astype(float))}
-    got = {(r["query_id"], r["vec_id"]) for r in ann.search(d).collect()}
-    assert len(got) == len(want) and len(got & want) >= 0.9 * len(want)
+def drawn_vectors(n, dims=32, seed=3):
+    """Overlapping clusters of unequal size on a curved surface, as embeddings have."""
+    r = np.random.default_rng(seed)
+    centres = r.normal(size=(150, dims))
+    of = np.minimum(r.geometric(0.03, n) - 1, 149)
+    return centres[of] * 0.7 + r.normal(size=(n, 8)) @ r.normal(size=(8, dims)) * 0.4 + 0.1 * r.normal(size=(n, dims))
+
+
+@pytest.mark.parametrize("leaf", [1536, 200])
+def test_search_recall(spark, monkeypatch, leaf):
+    """Both over one level of parts and over two."""
+    monkeypatch.setattr(ann, "LEAF", leaf)
+    x = drawn_vectors(20_000)
+    d = spark.createDataFrame([(i, [float(v) for v in a]) for i, a in enumerate(x)], "vec_id long, embedding array<double>").repartition(8)
+    of = ann.materialise(ann.classes(ann.clean(d), 10), "classes")
+    index, queries = ann.descend(of, ann.materialise(of.where("ids[0] % 100 = 0").select("cls", "x", "node"), "queries"), 10)
+    sizes = [r["count"] for r in index.groupBy("node").count().collect()]
+    assert sum(sizes) == 20_000 and len(sizes) > 40 and max(sizes) < 4 * 20_000 / len(sizes) + leaf
+    depth = {r["node"].count("/") for r in index.select("node").distinct().collect()}
+    assert max(depth) == 1 if leaf == 1536 else max(depth) >= 2
+    assert queries.count() < 0.4 * len(sizes) * 200
+    want = {(a, c) for a, _, c, _ in slow_search(np.arange(20_000), x)}
+    got = [tuple(r) for r in ann.search(d).collect()]
+    assert len(got) == len(want) == 2000 and len({(a, c) for a, _, c, _ in got} & want) >= 0.93 * len(want)
+    for q, _, v, score in got[::50]:
+        assert abs(score - np.sqrt(((x[q] - x[v]) ** 2).sum())) < 1e-12
 
 
 def test_search_in_chunks_of_queries(spark, monkeypatch):
-    d = spark.read.parquet("/root/testdata/check_s/embeddings.parquet")
+    x = drawn_vectors(3000, 8)
+    d = spark.createDataFrame([(i, [float(v) for v in a]) for i, a in enumerate(x)], "vec_id long, embedding array<double>").repartition(2)
     whole = sorted(map(tuple, ann.search(d, every=10).collect()))
-    monkeypatch.setattr(ann, "QUERIES", 50)
-    monkeypatch.setattr(ann, "BLOCK", 300)
+    for name, n in (("QUERIES", 50), ("BLOCK", 100), ("CHUNK", 300)):
+        monkeypatch.setattr(ann, name, n)
     assert whole == sorted(map(tuple, ann.search(d, every=10).collect()))
 
 
+def test_copies_ties_and_repeated_ids(spark):
+    """A third of all rows is one vector; ties lie across parts; one id has two vectors; rows repeat."""
+    x = np.round(drawn_vectors(900, 4), 1)
+    x[300:600] = x[0]
+    rows = [(i, [float(v) for v in a]) for i, a in enumerate(x)]
+    d = spark.createDataFrame([*rows, *rows[:50], (100, [float(v) for v in x[7]])], "vec_id long, embedding array<double>")
+    ids, x = np.append(np.arange(900), 100), np.vstack([x, x[7]])
+    want = []
+    for i in [*range(0, 900, 100), 900]:
+        dist = np.sqrt(((x - x[i]) ** 2).sum(1))
+        dist[i] = np.inf
+        want += [(int(ids[i]), n + 1, int(ids[j]), float(dist[j])) for n, j in enumerate(np.lexsort((ids, dist))[:10])]
+    got = sorted(tuple(r) for r in ann.search(d).collect())
+    assert len(got) == len(want) == 100
+    near = [(round(g[3], 9) == round(w[3], 9)) for g, w in zip(got, sorted(want), strict=True)]
+    assert np.mean(near) >= 0.9
+    zero = [w for w in sorted(want) if w[3] == 0]
+    assert len(zero) > 30 and set(zero) <= set(got)
+
+
 def test_balanced_parts():
     r = np.random.default_rng(1)
     x = r.normal(size=(1000, 6))
