@@ -12,8 +12,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from hashlib import sha256
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -41,26 +43,45 @@ WIDE = {
     "card": CARD,
     "secret": re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}+"),
 }
-LOOSE_EMAIL = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63}(?:(?: ?[\[(]dot[\])] ?|\.)[A-Za-z0-9-]{1,63}){1,4}")
+#: The sign of a spelled-out address, and what follows it; what stands before is read backwards, as far as it goes.
+AT = re.compile(r" ?[\[(]at[\])] ?")
+SPELLED = re.compile(r"[A-Za-z0-9-]++(?:(?: ?[\[(]dot[\])] ?|\.)[A-Za-z0-9-]++)++")
+NAME = re.compile(r"\b(?:Mr|Mrs|Ms|Dr|Prof)\.? ([A-Z][a-z]++(?: [A-Z][a-z]++)*+)")
+#: Words with capitals in a row; from the first given name on they are a candidate.
+CAPITALS = re.compile(r"\b[A-Z][a-z]++(?: [A-Z][a-z]++)++")
 #: A part of every title that NAME begins with.
 TITLES = ("Mr", "Ms", "Dr", "Prof")
-NAME = re.compile(r"\b(?:Mr|Mrs|Ms|Dr|Prof)\.? ([A-Z][a-z]{1,30}(?: [A-Z][a-z]{1,30}){0,2})")
 
-# Words near personal data, by kind, and title or prefix gazetteers.
+# Words near personal data, by kind, and gazetteers.
 CONTEXT = {
     "email": ("mail", "contact", "reply"),
     "card": ("card", "visa", "mastercard", "credit", "payment"),
     "phone": ("phone", "tel", "call", "mobile", "fax"),
     "iban": ("iban", "account", "bank", "transfer"),
-    "name": ("dear", "sincerely", "patient", "signed"),
+    "name": ("dear", "sincerely", "patient", "signed", "mr", "mrs", "ms ", "ms.", "dr ", "dr.", "prof"),
     "secret": ("token", "key", "secret", "password", "passwd", "pwd", "bearer", "auth"),
     "ssn": ("ssn", "social", "security"),
 }
 COUNTRIES = frozenset("AT BE CH CZ DE DK ES FI FR GB GR IE IT LU NL NO PL PT RO SE".split())
 TOP_DOMAINS = frozenset("com org net edu gov io de fr es uk eu info".split())
 CARD_STARTS = ("4", "5", "34", "37", "6011", "65", "35", "30", "36")
+TOLL_FREE = frozenset("800 833 844 855 866 877 888".split())
+SERVICES = frozenset("211 311 411 511 611 711 811 911".split())
+PUBLISHED_SSN = frozenset("078051120 219099999 457555462".split())
+SECRET_STARTS = ("AKIA", "ASIA", "AIza", "eyJ", "ghp_", "gho_", "glpat-", "sk_live_", "sk-", "xoxb-", "xoxp-")
+GIVEN_NAMES = frozenset(
+    "Ahmed Ana Anna Antoine Barbara Camille Carlos Carmen Charles Claire David Elena Elizabeth Emma Fatima Felix Giulia Hans Hiroshi Ivan James Jean Jennifer "
+    "Jessica John Jose Joseph Juan Julia Julien Karen Klaus Laura Lena Liam Linda Luca Lucia Luis Lukas Marco Maria Marie Marta Mary Michael Mohammed Natasha "
+    "Nicolas Noah Olga Olivia Patricia Paul Peter Pierre Priya Rahul Richard Robert Sarah Sofia Sophie Susan Thomas William Yuki".split()
+)
+NOT_NAMES = frozenset(
+    "Monday Tuesday Wednesday Thursday Friday Saturday Sunday January February April June July August September October November December "
+    "Street Avenue Road Square Park River Lake Mount University College Company Bank The And Of".split()
+)
 WINDOW = 24
 LABELERS = ("shape", "check", "gazetteer", "context", "boundary")
+#: How often each labeler's votes are taken to be right before anything is seen, how often it abstains, and how many candidates that belief weighs.
+RIGHT, ABSTAINS, WEIGHT = (0.6, 0.9, 0.75, 0.75, 0.6), 0.3, 10.0
 
 
 def luhn(digits: str) -> bool:
@@ -118,20 +139,69 @@ def _votes(kind: str, text: str, start: int, end: int, value: str) -> tuple[int,
     if kind == "card":
         return (1 if 13 <= len(digits) <= 19 else -1, 1 if luhn(digits) else -1, 1 if digits.startswith(CARD_STARTS) else 0, near, edge)
     if kind == "phone":
-        return (1 if len(digits) == 10 else -1, 1 if digits[0] in "23456789" and digits[3] in "23456789" else -1, 1 if "(" in value else 0, near, edge)
+        known = 1 if digits[:3] in TOLL_FREE else -1 if digits[:3] in SERVICES or digits[3:6] in SERVICES else 0
+        return (1 if len(digits) == 10 else -1, 1 if digits[0] in "23456789" and digits[3] in "23456789" else -1, known, near, edge)
     if kind == "ssn":
         ok = digits[:3] not in ("000", "666") and digits[0] != "9" and digits[3:5] != "00" and digits[5:] != "0000"
-        return (1, 1 if ok else -1, 0, near, edge)
+        return (1 if value.count("-") == 2 else -1, 1 if ok else -1, -1 if digits in PUBLISHED_SSN else 0, near, edge)
     if kind == "iban":
         flat = value.replace(" ", "")
         number = int("".join(str(int(c, 36)) for c in flat[4:] + flat[:4]))
         return (1 if 15 <= len(flat) <= 34 else -1, 1 if number % 97 == 1 else -1, 1 if flat[:2] in COUNTRIES else -1, near, edge)
     if kind == "email":
-        return (1, 1 if DOMAIN.search(value) or "dot" in value else -1, 1 if re.split(r"[^A-Za-z]+", value.rstrip(" )]"))[-1].lower() in TOP_DOMAINS else -1, near, edge)
+        host = SPELLED.search(value)
+        last = re.split(r"[^A-Za-z]+", value.rstrip(" )]"))[-1].lower()
+        return (1 if value[0] not in ".-" else -1, 1 if host and 1 < len(last) < 64 else -1, 1 if last in TOP_DOMAINS else -1, near, edge)
     if kind == "name":
-        return (1, 1 if len(value) > 3 else -1, 1, near, edge)
+        words = value.split(" ")
+        return (1 if 2 <= len(words) <= 3 else 0 if len(words) == 1 else -1, -1 if NOT_NAMES.intersection(words) else 1, 1 if words[0] in GIVEN_NAMES else 0, near, edge)
     mixed = bool(digits) and any(c.isalpha() for c in value)
-    return (1 if mixed else -1, 1 if _entropy(value) >= 3.0 else -1, 1 if before.rstrip().endswith(("=", ":", '"', "'")) else -1, near, edge)
+    return (1 if mixed else -1, 1 if _entropy(value) >= 3.0 else -1, 1 if value.startswith(SECRET_STARTS) else 0, near, edge)
+
+
+def _side(c: str) -> int:
+    """What a span touches: 0 white space or an end of the text, 1 a quote, bracket, = or :, 2 anything else."""
+    return 0 if not c or c.isspace() else 1 if c in "\"'`()[]{}<>=:," else 2
+
+
+def _code(kind: str, text: str, s: int, e: int) -> str:
+    """The discrete description of a candidate: votes, size, shares of digits and capitals, what it touches, and how many context words are near."""
+    value = text[s:e]
+    votes = _votes(kind, text, s, e, value)
+    size = min(7, (e - s).bit_length())
+    share = round(4 * sum("0" <= c <= "9" for c in value) / len(value))
+    upper = int(any("A" <= c <= "Z" for c in value))
+    around = f"{text[max(0, s - WINDOW) : s]} {text[e : e + WINDOW]}".lower()
+    words = min(2, sum(w in around for w in CONTEXT[kind]))
+    return f"{kind}|{','.join(map(str, votes))}|{size}|{share}|{upper}|{_side(text[s - 1 : s])}|{_side(text[e : e + 1])}|{words}"
+
+
+def _spelled(text: str) -> list[tuple[int, int]]:
+    """Addresses with the sign spelled out: leftmost, non-overlapping, in time linear in the text."""
+    out, end = [], 0
+    for at in AT.finditer(text):
+        start = at.start()
+        while start > end and text[start - 1] in LOCAL:
+            start -= 1
+        m = SPELLED.match(text, at.end()) if start < at.start() else None
+        if m:
+            end = m.end()
+            out.append((start, end))
+    return out
+
+
+def _names(text: str) -> set[tuple[int, int]]:
+    """Words with capitals after a title, or from a given name on."""
+    out = {m.span(1) for m in NAME.finditer(text)} if any(t in text for t in TITLES) else set()
+    for m in CAPITALS.finditer(text):
+        at = m.start()
+        words = m[0].split(" ")
+        for w in words[:-1]:
+            if w in GIVEN_NAMES:
+                out.add((at, m.end()))
+                break
+            at += len(w) + 1
+    return out
 
 
 def candidates(text: str, base: dict[str, list[tuple[int, int]]]) -> list[tuple[str, int, int, str]]:
@@ -140,8 +210,7 @@ def candidates(text: str, base: dict[str, list[tuple[int, int]]]) -> list[tuple[
     code is the discrete description that the labelers and the classifier see.
     """
     found = []
-    digit = DIGIT.search(text) is not None
-    if digit:
+    if DIGIT.search(text) is not None:
         for kind, pattern in WIDE.items():
             for m in pattern.finditer(text):
                 s, e = m.span()
@@ -151,22 +220,17 @@ def candidates(text: str, base: dict[str, list[tuple[int, int]]]) -> list[tuple[
                     continue
                 found.append((kind, s, e))
     if "at]" in text or "at)" in text:
-        found += [("email", *m.span()) for m in LOOSE_EMAIL.finditer(text)]
-    if any(t in text for t in TITLES):
-        found += [("name", *m.span(1)) for m in NAME.finditer(text)]
+        found += [("email", *x) for x in _spelled(text)]
+    found += [("name", *x) for x in _names(text)]
     if not found:
         return []
     taken = sorted(x for spans in base.values() for x in spans)
+    starts, ends = [a for a, _ in taken], list(accumulate((b for _, b in taken), max))
     out = []
     for kind, s, e in sorted(found, key=lambda x: (x[1], -x[2], x[0])):
-        if any(a < e and s < b for a, b in taken):
-            continue
-        value = text[s:e]
-        votes = _votes(kind, text, s, e, value)
-        n = min(7, (e - s).bit_length())
-        share = round(4 * sum("0" <= c <= "9" for c in value) / len(value))
-        upper = int(any("A" <= c <= "Z" for c in value))
-        out.append((kind, s, e, f"{kind}|{','.join(map(str, votes))}|{n}|{share}|{upper}"))
+        before = bisect_left(starts, e)
+        if not before or ends[before - 1] <= s:
+            out.append((kind, s, e, _code(kind, text, s, e)))
     return out
 
 
@@ -179,24 +243,32 @@ def settle(found: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     return out
 
 
+def _beliefs() -> np.ndarray:
+    """Per labeler and class (no, yes), the probability of each vote (-1, 0, 1) before anything is seen."""
+    r, speaks = np.array(RIGHT), 1 - ABSTAINS
+    yes = np.stack([speaks * (1 - r), np.full(len(r), ABSTAINS), speaks * r], axis=1)
+    return np.stack([yes[:, ::-1], yes], axis=1)
+
+
 def reliabilities(patterns: dict[tuple[int, ...], float], rounds: int = 50) -> tuple[np.ndarray, float]:
     """EM for two classes with conditionally independent labelers.
 
     patterns: votes and how often they occur. Returns, per labeler and class (no, yes), the
-    probability of each vote (-1, 0, 1), and the prior of yes. It starts from labelers that
-    are right in 7 of 10 votes; counts are smoothed, and the prior is held in 0.01 to 0.99.
+    probability of each vote (-1, 0, 1), and the prior of yes. It starts from what is believed
+    of the labelers (RIGHT), which weighs as much as WEIGHT candidates; a checksum is believed
+    more than a shape. The prior is held in 0.01 to 0.99.
     """
     keys = sorted(patterns)
     v = np.array(keys, int) + 1
     n = np.array([patterns[k] for k in keys], float)
-    like = np.tile(np.array([[0.5, 0.3, 0.2], [0.2, 0.3, 0.5]]), (v.shape[1], 1, 1))
-    prior = 0.5
+    belief = _beliefs()[: v.shape[1]]
+    like, prior = belief.copy(), 0.5
     for _ in range(rounds):
         yes = posterior(v, like, prior)
         prior = float(np.clip((n * yes).sum() / n.sum(), 0.01, 0.99))
         for k in range(v.shape[1]):
             for c, w in ((0, n * (1 - yes)), (1, n * yes)):
-                seen = np.bincount(v[:, k], w, minlength=3) + 2 * np.array([[0.5, 0.3, 0.2], [0.2, 0.3, 0.5]])[c]
+                seen = np.bincount(v[:, k], w, minlength=3) + WEIGHT * belief[k, c]
                 like[k, c] = seen / seen.sum()
     return like, prior
 
@@ -208,17 +280,19 @@ def posterior(v: np.ndarray, like: np.ndarray, prior: float) -> np.ndarray:
 
 
 def _features(code: str) -> np.ndarray:
-    kind, votes, n, share, upper = code.split("|")
+    kind, votes, n, share, upper, left, right, words = code.split("|")
     v = [float(x) for x in votes.split(",")]
-    return np.array([1.0, *v, *(float(kind == k) for k in KINDS), float(n) / 7, float(share) / 4, float(upper)])
+    sides = [float(x == y) for x in (left, right) for y in "012"]
+    return np.array([1.0, *v, *(float(kind == k) for k in KINDS), float(n) / 7, float(share) / 4, float(upper), *sides, float(words)])
 
 
 def train(counts: dict[str, int]) -> set[str]:
     """Codes that the final classifier accepts, learned from how often each code occurs.
 
     The codes form a finite grid (kinds, votes, three small features), so what is gathered
-    here does not grow with the corpus. A span needs half of the probability and more
-    labelers for it than against.
+    here does not grow with the corpus. The classifier is logistic over votes, kind, size,
+    characters, neighbours and context; it learns the probabilities that EM gives the
+    candidates, each code as heavy as the root of its count, and accepts those of half and more.
     """
     if not counts:
         return set()
@@ -247,7 +321,7 @@ def train(counts: dict[str, int]) -> set[str]:
         if np.abs(step).max() < 1e-8:
             break
     p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-    return {c for c, q in zip(codes, p, strict=True) if q >= 0.5 and sum(votes[c]) > 0 and votes[c][1] >= 0}
+    return {c for c, q in zip(codes, p, strict=True) if q >= 0.5}
 
 
 def _tally(batches):
