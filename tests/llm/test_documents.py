@@ -272,7 +272,7 @@ def personal_texts():
 
     makers = [
         lambda: f"phone {r.randint(200, 999)}-{r.randint(200, 999)}-{digits(4)}", lambda: f"call ({r.randint(200, 999)}) {r.randint(200, 999)}-{digits(4)}", lambda: f"ssn {r.randint(100, 665)}-{r.randint(10, 99)}-{r.randint(1000, 9999)}",
-        lambda: f'token = "{token(40)}"', lambda: f"api_key={token(r.randint(300, 900))}", lambda: f"card {card()[:15]}", lambda: f"pay {card(13)} with", lambda: f"mail jo{digits(2)} [at] example [dot] org", lambda: f"Dear Mrs {r.choice('Olga Marta Petra'.split())} Smith",
+        lambda: f'token = "{token(40)}"', lambda: f"api_key={token(r.randint(300, 900))}", lambda: f"row {card()[:15]}", lambda: f"card {card(13)} with", lambda: f"mail jo{digits(2)} [at] example [dot] org", lambda: f"Dear Mrs {r.choice('Olga Marta Petra'.split())} Smith",
         lambda: f"{r.choice('John Mary Peter'.split())} {r.choice('Miller Brown Fisher'.split())}", lambda: "IBAN DE89 3704 0044 0532 0130 00", lambda: f"order {digits(3)}-{digits(2)}-{digits(5)}", lambda: f"IBAN DE{digits(2)} 3704 0044 0532 0130 00",
         lambda: f"mail a{digits(2)}@example.org", lambda: f"at 10.0.{r.randint(0, 255)}.7", lambda: f"number {digits(14)}",
     ]
