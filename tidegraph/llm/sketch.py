@@ -24,6 +24,8 @@ SCALE = 4
 LIMIT = np.uint64((1 << 48) // SCALE)
 #: Rows that a run of neighbouring documents has on average, and the most runs.
 RUN_ROWS, MOST_RUNS = 64, 32_768
+#: An id with more rows than this many runs, or than one in HEAVY of all rows, is cut into runs by a hash of the text.
+HEAVY_RUNS, HEAVY = 8, 4_096
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -114,44 +116,55 @@ _ARROW = pa.schema(
 def fingerprint_with_next(docs: DataFrame) -> DataFrame:
     """Each document's sketch, that of its edited text, and its likeness to that and to the next document.
 
-    The next document is that with the next larger doc_id (repeated ids: by text; null ids come
-    first); after the last comes the first, and a single document follows itself. Null texts
-    are empty: empty fingerprints, likeness 1 to another empty one. An empty table gives no
-    rows; other columns are ignored.
+    The next document is that with the next larger doc_id (repeated ids: by a hash of the text,
+    then by text; null ids come first); after the last comes the first, and a single document
+    follows itself. Null texts are empty: empty fingerprints, likeness 1 to another empty one.
+    An empty table gives no rows; other columns are ignored.
 
-    The ids are cut into runs at quantiles; the texts are shuffled once by run, together with
-    a copy of the first document of each run for the run before it, and each run is read in
-    order as a stream. The quantiles and first ids (a few numbers a run, MOST_RUNS at most)
-    are all that the driver and the broadcasts hold.
+    The ids are cut into runs at quantiles, and an id of very many rows (null, say) into runs
+    by the hash; the texts are shuffled once by run, together with a copy of the first document
+    of each run for the run before it, and each run is read in order as a stream. Quantiles,
+    heavy ids and first ids (a few numbers a run, about MOST_RUNS at most) are all that the
+    driver and the broadcasts hold.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long"), text, F.xxhash64(F.coalesce(text, F.lit(""))).alias("h"))
     n = rows.count()
     runs = max(1, min(MOST_RUNS, n // RUN_ROWS))
     steps = [i / runs for i in range(1, runs)]
     cuts = rows.agg(F.percentile_approx("doc_id", steps, 10 * runs + 1000)).first()[0] if steps else []
-    edges = np.unique(np.array(cuts or [], np.int64))
-
-    @F.pandas_udf("int")
-    def run_of(ids: pd.Series) -> pd.Series:
-        has = ids.notna().to_numpy()
-        at = np.searchsorted(edges, ids.fillna(0).to_numpy(np.int64), side="right")
-        return pd.Series(np.where(has, at, -1).astype(np.int32))
-
-    first = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    heads = rows.select(run_of("doc_id").alias("run"), first.alias("first")).groupBy("run").agg(F.min("first").alias("first"))
-    order = sorted((r["run"], r["first"]) for r in heads.collect())
-    to = [(order[i][1], order[i - 1][0]) for i in range(len(order))]
-    copies = rows.withColumn("first", first).join(
-        F.broadcast(spark.createDataFrame(to, "first long, run int")), "first"
-    )
-    dealt = (
-        rows.select(run_of("doc_id").alias("run"), F.lit(False).alias("copy"), "doc_id", "text")
-        .union(copies.select("run", F.lit(True), "doc_id", "text"))
+    many = rows.groupBy("doc_id").count().where(F.col("count") > max(HEAVY_RUNS * RUN_ROWS, n // HEAVY)).collect()
+    pieces = {r["doc_id"]: -(-r["count"] // max(RUN_ROWS, n // MOST_RUNS)) for r in many}
+    nulls = pieces.pop(None, 1)
+    heavy = np.array(sorted(pieces), np.int64)
+    cut = np.array([1, *(pieces[i] for i in heavy.tolist())], np.int64)
+    edges = np.unique(np.concatenate([np.array(cuts or [], np.int64), heavy, heavy + 1]))
+
+    @F.pandas_udf("run long, heavy boolean")
+    def run_of(ids: pd.Series, h: pd.Series) -> pd.DataFrame:
+        has, own = ids.notna().to_numpy(), ids.fillna(0).to_numpy(np.int64)
+        at = np.searchsorted(heavy, own)
+        is_heavy = has & (np.append(heavy, 0)[at] == own) & (at < len(heavy))
+        of = np.where(has, cut[np.where(is_heavy, at + 1, 0)], nulls)
+        sub = np.minimum((h.to_numpy(np.float64) + 2.0**63) / 2.0**64 * of, of - 1).astype(np.int64)
+        return pd.DataFrame({"run": np.where(has, np.searchsorted(edges, own, side="right"), -1) * (1 << 24) + sub, "heavy": is_heavy | ~has})
+
+    dealt = rows.withColumn("r", run_of("doc_id", "h")).select("doc_id", "text", "h", "r.run", "r.heavy")
+    # the first row of a run: by id, or, in a run of one heavy id, by hash
+    dealt = dealt.withColumn("first", F.coalesce("doc_id", F.lit(-(1 << 63)))).withColumn("key", F.when(F.col("heavy"), F.col("h")).otherwise(F.lit(0)))
+    heads = dealt.groupBy("run").agg(F.min("first").alias("first"), F.min("key").alias("key"))
+    order = sorted((r["run"], r["first"], r["key"]) for r in heads.collect())
+    to = [(order[i][1], order[i][2], order[i - 1][0]) for i in range(len(order))]
+    ahead = F.broadcast(spark.createDataFrame(to, "first long, key long, run long"))
+    copies = dealt.drop("run").join(ahead, ["first", "key"]).select("run", F.lit(True).alias("copy"), "doc_id", "text", "h").dropDuplicates(["run", "doc_id", "h"])
+    sorted_runs = (
+        dealt.select("run", F.lit(False).alias("copy"), "doc_id", "text", "h")
+        .union(copies)
         .repartition("run")
-        .sortWithinPartitions("run", "copy", "doc_id", "text")
+        .sortWithinPartitions("run", "copy", "doc_id", "h", "text")
     )
-    return dealt.mapInArrow(_compare, OUT)
+    return sorted_runs.select("run", "copy", "doc_id", "text").mapInArrow(_compare, OUT)
 
 
 def op3_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
