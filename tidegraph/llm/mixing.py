@@ -70,11 +70,9 @@ def replicate(docs: DataFrame, weights: dict[str, float] | None = None, size: in
     rows = docs.select(F.struct(*docs.columns).alias("doc"))
     joined = rows.join(F.broadcast(right) if few else right, F.col("doc.source").cast("string").eqNullSafe(F.col("_s")))
     doc_id = F.coalesce(F.col("doc.doc_id").cast("string"), F.lit("null"))
-    count = F.aggregate(
-        F.sequence(F.lit(1), F.col("parts")),
-        F.lit(0),
-        lambda acc, i: acc + F.size(F.filter("cdf", lambda c: c <= uniform(F.lit(SEED), doc_id, i.cast("string")))),
-    )
+    # one hash per row and part, then a look-up in the distribution
+    draws = F.transform(F.sequence(F.lit(1), F.col("parts")), lambda i: uniform(F.lit(SEED), doc_id, i.cast("string")))
+    count = F.aggregate(draws, F.lit(0), lambda acc, u: acc + F.size(F.filter("cdf", lambda c: c <= u)))
     copies = (
         joined.select("doc", count.alias("copies"))
         .where("copies > 0")
