@@ -29,7 +29,8 @@ CELLS_LOG2, K = 20, 3
 LEAST_COUNT, SHARE, RARE = 3, 0.25, 100_000
 #: Languages in one slice of the filter: as many as a long has safe bits.
 SLICE = 62
-PIECE = 1 << 20
+#: Characters that are looked at together, and different n-grams that a task holds before it hands on its counts.
+PIECE, HELD = 1 << 20, 1 << 22
 #: Cells that come to the driver at once.
 READ = 1 << 22
 UNDETERMINED = "und"
@@ -100,40 +101,55 @@ def _cells(x: np.ndarray, size):
 
 
 def _count(batches):
-    """(lang, gram, n) of a whole partition: n texts (or pieces of long ones) have the n-gram; a null gram counts all texts.
+    """(lang, gram, n) of a partition: n of its texts have the n-gram; a null gram counts all texts.
 
-    Counting texts keeps one long text with a wrong label from speaking for its language.
+    Counting texts, however long, keeps one with a wrong label from speaking for its language.
+    Rows may come in several portions, which add up: a task holds about HELD n-grams at most.
     """
     have: dict[str, list] = {}
     seen: Counter = Counter()
 
+    def add(lang, keys, n):
+        have.setdefault(lang, []).append((keys, n))
+        if len(have[lang]) > 8:
+            fold(lang)
+
     def fold(lang):
         parts = have[lang]
         keys, where = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
         have[lang] = [(keys, np.bincount(where, np.concatenate([n for _, n in parts])).astype(np.int64))]
 
+    def portions():
+        for lang in have:
+            fold(lang)
+            keys, n = have[lang][0]
+            for i in range(0, len(keys), PIECE // 8):
+                k = keys[i : i + PIECE // 8].view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(k), pa.string()), pa.array(k), pa.array(n[i : i + PIECE // 8])], names=["lang", "gram", "n"]
+                )
+        have.clear()
+
     for b in batches:
         by: dict[str, list] = {}
         for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             by.setdefault(lang, []).append(text)
         for lang, texts in by.items():
             seen[lang] += len(texts)
-            for parts in _pieces(texts):
+            for text in (t for t in texts if len(t) > PIECE):
+                keys = np.empty(0, np.uint64)
+                for parts in _pieces([text]):
+                    keys = np.union1d(keys, _grams(parts)[0])
+                add(lang, keys, np.ones(len(keys), np.int64))
+            for parts in _pieces([t for t in texts if len(t) <= PIECE]):
                 x, owner, _ = _grams(parts)
                 once = np.unique(x + owner.astype(np.uint64) * _MUL[3], return_index=True)[1]
-                have.setdefault(lang, []).append(np.unique(x[once], return_counts=True))
-                if len(have[lang]) > 8:
-                    fold(lang)
+                add(lang, *np.unique(x[once], return_counts=True))
+            if sum(len(k) for parts in have.values() for k, _ in parts) > HELD:
+                yield from portions()
     none = pa.array([None] * len(seen), pa.int64())
     yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), none, pa.array(list(seen.values()), pa.int64())], names=["lang", "gram", "n"])
-    for lang in have:
-        fold(lang)
-        keys, n = have[lang][0]
-        for i in range(0, len(keys), PIECE // 8):
-            k = keys[i : i + PIECE // 8].view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(k), pa.string()), pa.array(k), pa.array(n[i : i + PIECE // 8])], names=["lang", "gram", "n"]
-            )
+    yield from portions()
 
 
 def _bits(sizes):
@@ -162,7 +178,7 @@ def learn(labelled: DataFrame) -> dict:
     cells = []
     if langs:
         known = [(x, float(totals[x]), _enough(texts[x]), i // SLICE, 1 << i % SLICE) for i, x in enumerate(langs)]
-        of = F.broadcast(labelled.sparkSession.createDataFrame(known, "lang string, total double, least long, slice int, bit long"))  # one row a language
+        of = labelled.sparkSession.createDataFrame(known, "lang string, total double, least long, slice int, bit long")  # one row a language
         # One text less in the highest rate: what a single text of a small language has takes nothing from the others.
         rated = counts.where("gram is not null").join(of, "lang").select("gram", "n", "least", (F.col("n") / F.col("total")).alias("rate"), ((F.col("n") - 1) / F.col("total")).alias("sure"), "slice", "bit")
         most = rated.groupBy("gram").agg(F.collect_list(F.struct("n", "least", "rate", "slice", "bit")).alias("of"), F.max("sure").alias("top"))
