@@ -51,6 +51,17 @@ def slow_fingerprint(t):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
+def slow_kept(fps):
+    """The smallest id of every component; one id may stand for several."""
+    roots = {}
+    for (i, f), low in zip(fps, slow_components(fps), strict=True):
+        group = {f}
+        while more := {g for _, g in fps if any((g ^ x).bit_count() <= 2 for x in group)} - group:
+            group |= more
+        roots[min(group)] = low
+    return sorted(roots.values())
+
+
 def slow_components(fps):
     """fps: list of (id, fingerprint)."""
     low = {f: min((i for i, g in fps if g == f and i is not None), default=None) for _, f in fps}
@@ -98,7 +109,16 @@ def test_keep_one(docs):
     assert kept.columns == docs.columns
     ids = [r["doc_id"] for r in kept.collect()]
     fps = [(i, slow_fingerprint(t)) for i, t in texts() if i is not None]
-    assert sorted(x for x in ids if x is not None) == sorted({c for c in slow_components(fps)}) and ids.count(None) == 1
+    assert sorted(x for x in ids if x is not None) == slow_kept(fps) and ids.count(None) == 1
+
+
+def test_keep_one_with_repeated_ids(spark):
+    long = " ".join(f"w{i}" for i in range(300))
+    rows = [(5, long, "b"), (5, "quite another text stands here", "a"), (5, long + " x", "a"), (9, long, "z"), (9, "quite another text stands here", "y"), (7, None, "n"), (7, " ", "m"), (None, long, "k")]
+    for _ in range(2):
+        got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, root string").repartition(3)).collect()
+        assert sorted(map(tuple, got), key=str) == sorted([(5, long, "b"), (5, "quite another text stands here", "a"), (7, None, "n"), (None, long, "k")], key=str)
+        rows = rows[::-1]
 
 
 def test_empty_tables(spark, docs):
@@ -133,11 +153,45 @@ def test_bpe_on_random_strings():
         assert b.encode(s) == (" ".join(map(str, e.ids)), t.decode(e.ids, skip_special_tokens=False), len(e.ids)), s
 
 
+def slow_sketch(t):
+    """Hashes of five-word shingles in whole numbers; those under a quarter of 48 bits, or the smallest."""
+    words = re.findall(rb"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t).encode())
+    odd = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
+    k, out = min(5, len(words)), set()
+    for i in range(len(words) - k + 1 if words else 0):
+        x = sum(xxhash.xxh64_intdigest(w) * o for w, o in zip(words[i : i + k], odd, strict=False)) % (1 << 64)
+        x = (x ^ (x >> 32)) * odd[0] % (1 << 64)
+        out.add(((x ^ (x >> 29)) * odd[1] % (1 << 64)) >> 16)
+    return sorted(x for x in out if x < 1 << 46) or sorted(out)[:1]
+
+
+def slow_likeness(a, b):
+    return len(set(a) & set(b)) / len(set(a) | set(b)) if a or b else 1.0
+
+
+def in_order(rows):
+    h = lambda t: xxhash.xxh64_intdigest(t.encode(), seed=42)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    return sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0, signed(h(x[1])), x[1]))
+
+
+def test_heavy_ids_are_cut_into_runs(spark, monkeypatch):
+    monkeypatch.setattr(sketch, "HEAVY_RUNS", 1)
+    monkeypatch.setattr(sketch, "RUN_ROWS", 8)
+    r = random.Random(9)
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, " ".join(r.choice("abcdefgh") for _ in range(r.randint(0, 30)))) for i in range(300)] + [(8, "x")]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    order = in_order(rows)
+    want = sorted((i or -1, hashlib.sha256((t[: len(t) - len(t) // 2] + n[: len(t) // 2]).encode()).hexdigest(), slow_likeness(slow_sketch(t), slow_sketch(n))) for (i, t), (_, n) in zip(order, order[1:] + order[:1], strict=True))
+    got = [(x["doc_id"] or -1, x["edited_sha256"], x["near_next"]) for x in sketch.fingerprint_with_next(d).collect()]
+    assert sorted(got) == want
+
+
 def test_sketch_and_next_document(docs):
     got = {}
     for r in sketch.fingerprint_with_next(docs).collect():
         got.setdefault((r["doc_id"], r["n_chars"]), []).append(r)
-    order = sorted(texts(), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+    order = in_order(texts())
     assert sum(map(len, got.values())) == len(order)
     for (i, t), (_, nxt) in zip(order, order[1:] + order[:1], strict=True):
         half = len(t) // 2
@@ -145,9 +199,9 @@ def test_sketch_and_next_document(docs):
         sha = hashlib.sha256(e.encode()).hexdigest()
         row = next(r for r in got[(i, len(t))] if r["edited_sha256"] == sha)
         got[(i, len(t))].remove(row)
-        a, b, c = sketch.sketch(t), sketch.sketch(e), sketch.sketch(nxt)
-        assert row["fingerprint"] == sketch.to_string(a) and row["edited_fingerprint"] == sketch.to_string(b)
-        assert (row["near_edited"], row["near_next"]) == (sketch.likeness(a, b), sketch.likeness(a, c))
+        a, b, c = slow_sketch(t), slow_sketch(e), slow_sketch(nxt)
+        assert row["fingerprint"] == "".join(f"{x:012x}" for x in a) and row["edited_fingerprint"] == "".join(f"{x:012x}" for x in b)
+        assert (row["near_edited"], row["near_next"]) == (slow_likeness(a, b), slow_likeness(a, c))
 
 
 def test_sketch_estimates_and_merges():
@@ -361,6 +415,77 @@ def test_language_identification(docs):
     assert out.columns == docs.columns and out.where("lang = 'und'").count() == 0
 
 
+def slow_languages(rows):
+    """Exact sets of n-grams in place of the filter: share of a text's n-grams that each language has."""
+    def grams(t):
+        t = "\0" + t.lower() + "\0\0\0"
+        return [tuple(c if c.isalpha() else "\0" for c in t[i : i + 4]) for i in range(len(t) - 3) if t[i + 1].isalpha() and t[i + 2].isalpha()]
+
+    learned = [(lang, t) for i, t, lang in rows if None not in (i, t, lang) and zlib.crc32(str(i).encode()) % 4 != 2]
+    texts, n = {}, {}
+    for lang, t in learned:
+        texts[lang] = texts.get(lang, 0) + 1
+        for g in set(grams(t)):
+            n.setdefault(g, {}).setdefault(lang, 0)
+            n[g][lang] += 1
+    total = {lang: sum(c.get(lang, 0) for c in n.values()) for lang in texts}
+    least = {lang: min(3, 1 + k // 8) for lang, k in texts.items()}
+    kept = {g: {lang for lang, k in of.items() if k >= least[lang] and k / total[lang] >= 0.25 * max((x - 1) / total[y] for y, x in of.items())} for g, of in n.items()}
+    out = {}
+    for i, t, _ in rows:
+        g = grams(t or "")
+        share = {lang: sum(lang in kept.get(x, ()) for x in g) / max(1, len(g)) for lang in sorted(total) if total[lang]}
+        out[i, t] = share if any(c.isalpha() for c in t or "") else None
+    return out, kept, sorted(x for x in total if total[x])
+
+
+def test_languages_against_exact_sets(spark, docs, monkeypatch):
+    rows = [r[:3] for r in odd_rows()]
+    want, kept, langs = slow_languages(rows)
+    m = langid.learn(docs.where("doc_id is not null").where(~langid.held_out()).select("lang", "text"))
+    assert m["langs"] == langs
+    false = []
+    for g, of in kept.items():
+        x = langid._grams([(0, "".join(g))])[0]
+        if len(x) != 1:  # the window of a lone n-gram has both ends outside
+            continue
+        at = langid._cells(x, len(m["cells"][0]))
+        sets = int(m["cells"][0][at[0]][0] & m["cells"][0][at[1]][0] & m["cells"][0][at[2]][0])
+        has = {lang for i, lang in enumerate(langs) if sets >> i & 1}
+        assert of <= has
+        false.append(has - of)
+    assert len(false) > 80 and sum(map(len, false)) <= 2
+    by_id = {}
+    for r in langid.identify(docs).collect():
+        by_id.setdefault(r["doc_id"], r)
+    for (i, t), share in want.items():
+        r = by_id[i]
+        if share is None:
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+        elif max(share.values()):
+            best = min(share, key=lambda x: (-share[x], x))
+            assert abs(r["score"] - share[best]) < 0.01 and share[r["lang_pred"]] > share[best] - 0.01
+    tie = langid.identify(spark.createDataFrame([(i, "abcd efgh", lang) for i, lang in enumerate(["b", "a"] * 20)], "doc_id long, text string, lang string"))
+    assert {r["lang_pred"] for r in tie.collect()} == {"a"}
+
+
+def test_counts_of_long_texts_and_in_portions(spark, monkeypatch):
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 5 + ["fr"]), pa.array(["abab " * 50, "abab", "abab cdcd", "x", "abab " * 90, "abab"])], names=["lang", "text"])
+
+    def counted():
+        out = {}
+        for b in langid._count([batch, batch]):
+            for r in b.to_pylist():
+                out[r["lang"], r["gram"]] = out.get((r["lang"], r["gram"]), 0) + r["n"]
+        return out
+
+    whole = counted()
+    assert max(n for (_, g), n in whole.items() if g is not None) == 8 and whole["en", None] == 10
+    monkeypatch.setattr(langid, "PIECE", 64)
+    monkeypatch.setattr(langid, "HELD", 3)
+    assert counted() == whole
+
+
 def test_more_languages_than_one_slice(spark):
     r = random.Random(8)
     rows = []
@@ -428,6 +553,40 @@ def test_mixing_matches_poisson(spark):
     assert abs(big - 10_000) < 500
 
 
+def test_mixing_ties_and_null_ids(spark):
+    rows = [(None, "a", "s", -1)] * 3 + [(1, "a", "s", -1)] * 2 + [(1, "b", None, -1), (2, None, None, -1)] + [(i, "t", "s", -1) for i in range(3, 60)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string, copies int")
+    got = [r.asDict(True) for r in mixing.replicate(d, size=300).collect()]
+    n = {}
+    for r in got:
+        key = (r["doc"]["doc_id"], r["doc"]["source"], r["doc"]["text"])
+        n.setdefault(key, []).append((r["copies"], r["copy"], r["position"]))
+    times = {(None, "s", "a"): 3, (1, "s", "a"): 2}
+    for key, of in n.items():
+        k = times.get(key, 1)
+        assert len(of) == k * of[0][0] and sorted(x[1] for x in of) == sorted([*range(1, of[0][0] + 1)] * k)
+    # a slow inversion of the Poisson distribution
+    rate = {s: 300 * c**0.5 / (2**0.5 + 62**0.5) / c for s, c in (("s", 62), (None, 2))}
+    for i, _, s, _ in rows:
+        u = (int(hashlib.sha256(f"mix-1:{'null' if i is None else i}:1".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+        k, p = 0, np.exp(-rate[s])
+        total = p
+        while total <= u:
+            k += 1
+            p *= rate[s] / k
+            total += p
+        have = [of[0][0] for key, of in n.items() if key[:2] == (i, s)]
+        assert (have[0] if have else 0) == k
+    again = sorted((str(r["doc"]), r["copy"], r["position"]) for r in mixing.replicate(d.repartition(7), size=300).collect())
+    assert again == sorted((str(mixing_row(r)), r["copy"], r["position"]) for r in got)
+
+
+def mixing_row(r):
+    from pyspark.sql import Row
+
+    return Row(**r["doc"])
+
+
 def test_mixing_odd_rows(docs):
     got = mixing.mixed(docs, size=500)
     assert got.columns == docs.columns

@@ -193,8 +193,11 @@ CALLS = "conv_id long, call_id string, turn long, name string, arguments string,
 RESULTS = "conv_id long, call_id string, turn long, content string"
 
 
+ADD = {"properties": {"a": {"type": "integer"}, "b": {"type": "number"}}, "required": ["a"]}
+
+
 def test_tool_links(spark):
-    schemas = {"add": {"a": ("integer", True), "b": ("number", False)}, "none": {}}
+    schemas = {"add": ADD, "none": {}}
     calls = [
         (1, "x", 0, "add", '{"b": 2.5, "a": 1}', []), (1, "y", 1, "add", '{"a": "1"}', ["x"]), (1, "z", 2, "none", "{}", ["y", "x", "gone"]), (1, "x", 9, "add", "{}", []),
         (1, "c1", 3, "none", "{}", ["c2"]), (1, "c2", 4, "none", "{}", ["c1"]), (1, "c3", 5, "none", "{}", ["c2"]), (2, "x", 0, "odd", "[1]", None), (2, "n", 1, "none", "nope", []), (None, "x", 0, "add", "{}", []),
@@ -203,23 +206,95 @@ def test_tool_links(spark):
     got = {(r["conv_id"], r["call_id"]): r for r in tools.link(spark.createDataFrame(calls, CALLS), spark.createDataFrame(results, RESULTS), schemas).collect()}
     assert set(got) == {(1, "x"), (1, "y"), (1, "z"), (1, "c1"), (1, "c2"), (1, "c3"), (2, "x"), (2, "n"), (3, "lost")}
     status = {k: (r["status"], r["level"]) for k, r in got.items()}
-    assert status[1, "x"] == ("linked", 0) and status[1, "y"] == ("invalid", 1) and status[1, "z"] == ("linked", 2)
+    assert status[1, "x"] == ("linked", 0) and status[1, "y"] == ("invalid", 0) and status[1, "z"] == ("linked", 0)
     assert status[1, "c1"] == status[1, "c3"] == ("cycle", None) and status[3, "lost"] == ("orphan_result", None)
-    assert status[2, "x"][0] == status[2, "n"][0] == "invalid" and got[1, "y"]["errors"] == "a: not integer"
+    assert status[2, "x"][0] == status[2, "n"][0] == "invalid" and got[1, "y"]["errors"] == "arguments.a: not integer"
     assert got[1, "x"]["json"] == '{"arguments":{"a":1,"b":2.5},"id":"x","name":"add","result":"first"}' and got[1, "x"]["n_results"] == 2
     assert json.loads(got[1, "z"]["json"])["result"] == 'say "hi"\n'
 
 
 def test_conversations_to_calls(spark):
     rows = [
-        (1, 0, "user", "hi"), (1, 1, "assistant", json.dumps({"tool_calls": [{"id": "a", "name": "f", "arguments": {"q": 1}, "needs": []}]})),
+        (1, 0, "user", "hi"), (1, 1, "assistant", "\n\t" + json.dumps({"tool_calls": [{"id": "a", "name": "f", "arguments": {"q": 1}, "needs": []}]})),
         (1, 2, "tool", json.dumps({"tool_call_id": "a", "content": "ok"})), (1, 3, "assistant", "bye"), (2, 0, "user", None), (2, 0, "user", None), (None, 0, "user", "x"), (3, 1, None, "y"),
+        (3, 2, "system", "be \"kind\""), (3, 2, "system", "zz"), (4, 0, "user", "w " * 300_000),
+    ]
+    d = spark.createDataFrame([(*r, "c", 1) for r in rows], "conv_id long, turn long, role string, text string, call_id string, level int")
+    got = {(r["conv_id"], r["call_id"]): r for r in tools.link_conversations(d, tools.PLAIN | {"f": {"properties": {"q": {"type": "integer"}}}}).collect()}
+    assert {k: r["status"] for k, r in got.items()} == {
+        (1, "turn-0"): "no_result", (1, "a"): "linked", (1, "turn-2"): "orphan_result", (2, "turn-0"): "no_result", (3, "other-null-1"): "other_turn", (3, "other-system-2"): "other_turn", (4, "turn-0"): "no_result",
+    }
+    assert got[3, "other-system-2"]["n_calls"] == 2 and got[3, "other-system-2"]["json"] == '{"content":"be \\"kind\\"","id":"other-system-2","role":"system"}'
+    assert json.loads(got[4, "turn-0"]["json"])["arguments"]["prompt"] == "w " * 300_000
+    assert tools.link_conversations(d.limit(0), tools.PLAIN).count() == 0
+
+
+NESTED = {
+    "type": "object", "required": ["q", "list"], "additionalProperties": False,
+    "properties": {
+        "q": {"type": "string", "enum": ["a", "é\"b"]}, "list": {"type": "array", "items": {"type": "object", "required": ["n"], "properties": {"n": {"type": "integer"}, "tags": {"type": "array", "items": {"type": "string"}}}}},
+        "deep": {"type": "object", "properties": {"x y": {"type": "object", "properties": {"z'": {"enum": [1, None, True]}}}}}, "maybe": {"type": "null"}, "a'b\"c": {"type": "boolean"},
+    },
+}
+
+
+def slow_wrong(v, schema, at="arguments"):
+    kinds = {"string": (str,), "integer": (int,), "number": (int, float), "boolean": (bool,), "array": (list,), "object": (dict,), "null": (type(None),)}
+    out, kind = [], schema.get("type")
+    if kind and (not isinstance(v, kinds[kind]) or (isinstance(v, bool) and kind != "boolean")):
+        return [f"{at}: not {kind}"]
+    if "enum" in schema and json.dumps(v) not in {json.dumps(x) for x in schema["enum"]}:
+        out.append(f"{at}: not one of the listed")
+    if isinstance(v, dict):
+        for k in sorted(set(schema.get("properties", {})) | set(schema.get("required", []))):
+            if k in v:
+                out += slow_wrong(v[k], schema.get("properties", {}).get(k, {}), f"{at}.{k}")
+            elif k in schema.get("required", []):
+                out.append(f"{at}.{k}: missing")
+        if schema.get("additionalProperties") is False:
+            out += [f"{at}.{k}: not expected" for k in sorted(set(v) - set(schema.get("properties", {})))]
+    if isinstance(v, list) and "items" in schema:
+        out += [e for i, x in enumerate(v) for e in slow_wrong(x, schema["items"], f"{at}[{i}]")]
+    return out
+
+
+def test_nested_schemas(spark):
+    args = [
+        {"q": "a", "list": []}, {"q": "é\"b", "list": [{"n": 1, "tags": ["x"]}, {"n": "1"}, {"tags": [1, "y"]}, 3]}, {"q": "c", "list": {}, "more": 1, "also": 2}, {"list": [{"n": 2}], "deep": {"x y": {"z'": 2}}},
+        {"q": "a", "list": [], "deep": {"x y": {"z'": None}}, "maybe": None}, {"q": "a", "list": [], "deep": {"x y": 1}, "maybe": 0, "a'b\"c": 1}, {"q": None, "list": None}, {"q": "a", "list": [], "deep": {"x y": {"z'": True}}},
     ]
-    d = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    calls, results = tools.from_conversations(d)
-    got = {(r["conv_id"], r["call_id"]): r["status"] for r in tools.link(calls, results, tools.PLAIN | {"f": {"q": ("integer", True)}}).collect()}
-    assert got == {(1, "turn-0"): "no_result", (1, "a"): "linked", (1, "turn-2"): "orphan_result", (2, "turn-0"): "no_result"}
-    assert tools.link(*tools.from_conversations(d.limit(0)), tools.PLAIN).count() == 0
+    calls = [(1, f"k{i}", i, "t", json.dumps(a), []) for i, a in enumerate(args)]
+    got = {r["call_id"]: r["errors"] for r in tools.link(spark.createDataFrame(calls, CALLS), spark.createDataFrame([], RESULTS), {"t": NESTED}).collect()}
+    assert got == {f"k{i}": "; ".join(slow_wrong(a, NESTED)) for i, a in enumerate(args)} and sum(x == "" for x in got.values()) == 3
+
+
+def slow_levels(calls):
+    """By relaxation until nothing changes; calls that need a cycle have none."""
+    at = {(c, i): (t, i) for c, i, t, _ in calls}
+    needs = {(c, i): [(c, n) for n in w if (c, n) in at] for c, i, _, w in calls}
+    done = {}
+    while True:
+        free = {k for k in needs if k not in done and all(n in done for n in needs[k])}
+        if not free:
+            return done
+        done |= {k: max((done[n] + (at[n] >= at[k]) for n in needs[k]), default=0) for k in free}
+
+
+def test_levels_against_a_slow_version(spark):
+    """Chains of 1,000 forwards and backwards, a long chain behind a cycle, and random needs with several each."""
+    r = np.random.default_rng(6)
+    calls = [(1, f"f{i:04d}", i, [f"f{i - 1:04d}"] if i else []) for i in range(1000)]
+    calls += [(2, f"b{i:04d}", i, [f"b{i + 1:04d}"]) for i in range(1000)]
+    calls += [(3, f"c{i:04d}", i, [f"c{max(0, i - 1):04d}"]) for i in range(300)]
+    calls += [(4, f"s{i}", i % 7, [f"s{i - 1}", f"s{max(0, i - 3)}", "gone"]) for i in range(1, 9)] + [(4, "s0", 3, [])]
+    for c in range(5, 25):
+        calls += [(c, f"r{i}", int(r.integers(0, 6)), [f"r{j}" for j in r.integers(0, 12, r.integers(0, 3))]) for i in range(12)]
+    d = spark.createDataFrame(calls, "conv_id long, call_id string, turn long, needs array<string>")
+    got = {(x["conv_id"], x["call_id"]): x["level"] for x in tools.levels(d).collect()}
+    want = slow_levels(calls)
+    assert got == want and want[2, "b0000"] == 999 and not any(c == 3 for c, _ in want) and len({c for c, _ in want}) > 10
+    order = {k: (lv, t, i) for c, i, t, _ in calls if (k := (c, i)) in got for lv in [got[k]]}
+    assert all(order[c, n] < order[c, i] for c, i, _, w in calls if (c, i) in got for n in w if (c, n) in order)
 
 
 def slow_search(ids, x, k=10):
@@ -324,3 +399,40 @@ def test_pipeline(spark):
     want = sorted(tuple(r) for r in bpe.encode_digests(docs).collect())
     assert want == sorted(tuple(r) for r in c.run(spark, "/root/testdata/sf0.001").collect()) and len(want) > 50
     assert docs.where("text rlike '[A-Za-z0-9]@[a-z0-9]+[.]'").count() == 0
+
+
+@pytest.mark.skipif(not Path(__file__).parents[2].joinpath("corpus_pipeline.py").exists(), reason="no pipeline")
+def test_pipeline_on_odd_and_empty_tables(spark, tmp_path):
+    """Every stage against a slow reading of its own input."""
+    import corpus_pipeline as c
+    from test_documents import odd_rows, slow_base, slow_fingerprint, slow_kept, slow_languages
+    from tokenizers import Tokenizer
+
+    from tidegraph.llm import bpe
+
+    rows = odd_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, fp string, component_id long, run string, copy int, spans string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    docs.limit(0).write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    final = sorted(map(tuple, c.run(spark, str(tmp_path)).collect()), key=str)
+    assert c.run(spark, str(tmp_path / "none")).count() == 0
+    stages = dict(c.STAGES)
+    known = {x[0]: x[1] for x in rows}
+    one = ann.materialise(stages["language_id"](spark, docs, ""), "one")
+    got = one.collect()
+    share, _, _ = slow_languages([x[:3] for x in rows])
+    assert sorted((str(r["doc_id"]) for r in got)) == sorted(str(x[0]) for x in rows if share[x[0], x[1]] is not None)
+    two = ann.materialise(stages["near_duplicates"](spark, one, ""), "two")
+    fps = [(r["doc_id"], slow_fingerprint(r["text"])) for r in got if r["doc_id"] is not None]
+    assert sorted(r["doc_id"] for r in two.collect() if r["doc_id"] is not None) == slow_kept(fps)
+    three = ann.materialise(stages["personal_data"](spark, two, ""), "three")
+    after = {r["doc_id"]: r for r in three.collect()}
+    assert set(after) == {r["doc_id"] for r in two.collect()}
+    for i, r in after.items():
+        assert not any(slow_base(r["text"]).values()) and r["n_chars"] == (len(r["text"]) if r["text"] != known[i] else r["n_chars"])
+        assert ("[" in r["text"]) == (i == 7)
+    four = ann.materialise(stages["mixture"](spark, three, ""), "four")
+    assert {r["doc_id"] for r in four.collect()} <= set(after) and four.columns == docs.columns
+    t = Tokenizer.from_file(bpe.default_vocabulary())
+    want = sorted((r["doc_id"], len(t.encode(r["text"], add_special_tokens=False).ids)) for r in four.collect() if r["doc_id"] is not None)
+    assert want == sorted((r[0], r[1]) for r in final if r[0] is not None) and len(want) > 20

@@ -29,10 +29,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             break
         state = (now["n"], now["h"])
         both = e.union(e.select(F.col("v"), F.col("u")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        # written, so that both sides of the join come from shuffles, which Spark can split where a node has very many edges
+        low = materialise(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "cc")
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = materialise(large, "cc")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = materialise(large.groupBy("u").agg(F.min("v").alias("m")), "cc")
         small = large.join(low, "u").select(
             F.explode(
                 F.when(F.col("v") == F.col("m"), F.array(F.struct("u", F.col("m").alias("v")))).otherwise(

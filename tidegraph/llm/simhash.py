@@ -7,8 +7,9 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegraph.llm._tables import materialise, table
 from tidegraph.llm.components import connected_components
@@ -110,7 +111,7 @@ def links(fps: DataFrame) -> DataFrame:
 
 
 def group(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of docs.
+    """(doc_id, fp, component_id, root) for every row of docs; root is the smallest fingerprint of the component.
 
     Rows are linked when their fingerprints differ in at most two bits; component_id is the
     smallest doc_id that can be reached over links, the row's own included. Equal
@@ -127,8 +128,8 @@ def group(docs: DataFrame) -> DataFrame:
     )
     rooted = materialise(rooted, "rooted")
     lows = materialise(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "lows")
-    of = materialise(rooted.join(lows, "root").select("fp", "component_id"), "of")
-    return rows.join(of, "fp").select("doc_id", "fp", "component_id")
+    of = materialise(rooted.join(lows, "root").select("fp", "component_id", "root"), "of")
+    return rows.join(of, "fp").select("doc_id", "fp", "component_id", "root")
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,12 +142,27 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """docs without near duplicates: of each component the document with the smallest doc_id stays.
 
-    Of repeated rows with that id one stays. Rows without a doc_id stay, as nothing can be
-    said to stand for them. Columns and their order are those of docs.
+    Where that id has several rows, the smallest of the component's by all columns in their
+    order stays; different texts under one id that are no near duplicates all stay. Rows
+    without a doc_id stay, as nothing can be said to stand for them. Null and blank texts are
+    one component. An empty table gives no rows. Columns and their order are those of docs.
     """
-    ids = materialise(group(docs.where("doc_id is not null")), "groups").where("doc_id = component_id")
-    twice = ids.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    kept = docs.join(ids.select("doc_id").distinct(), "doc_id", "left_semi").select(*docs.columns)
-    if twice:
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.union(docs.where("doc_id is null"))
+    ids = materialise(group(docs.where("doc_id is not null")).where("doc_id = component_id"), "groups")
+    several = materialise(ids.groupBy("doc_id").count().where("count > 1").select("doc_id"), "several")
+    kept = docs.join(ids.join(several, "doc_id", "left_anti").select("doc_id"), "doc_id", "left_semi")
+    rest = docs.where("doc_id is null")
+    if not several.isEmpty():  # few rows: their fingerprints tell which component each belongs to
+        twice = docs.join(several, "doc_id", "left_semi").select(F.struct(*docs.columns).alias("doc"))
+        marked = twice.select("doc", F.col("doc.text").cast("string").alias("text"), F.col("doc.doc_id").cast("long").alias("doc_id")).mapInArrow(
+            _fingerprinted, T.StructType([twice.schema["doc"], T.StructField("doc_id", T.LongType()), T.StructField("fp", T.LongType())])
+        )
+        own = marked.join(ids.join(several, "doc_id").select("doc_id", "fp", "root").distinct(), ["doc_id", "fp"])
+        first = F.row_number().over(Window.partitionBy("doc_id", "root").orderBy("doc"))
+        rest = rest.select(*docs.columns).union(own.withColumn("at", first).where("at = 1").select("doc.*"))
+    return kept.select(*docs.columns).union(rest.select(*docs.columns))
+
+
+def _fingerprinted(batches):
+    for b in batches:
+        fp = [_fingerprint(t) for t in b.column(1).cast(pa.binary()).to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(fp, pa.int64())], names=["doc", "doc_id", "fp"])
