@@ -63,7 +63,10 @@ class Raw:
         """(end of the content, place after its end tag); the content is empty if there is no end tag and none is asked for."""
         found = -1
         if name not in self.none:
-            self.lower = self.lower or self.html.translate(_LOWER)
+            if not self.lower:
+                self.lower = self.html.lower()
+                if len(self.lower) != len(self.html):  # a few letters grow
+                    self.lower = self.html.translate(_LOWER)
             found = self.lower.find(f"</{name}", at)
         if found < 0:
             self.none.add(name)

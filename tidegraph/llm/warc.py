@@ -183,7 +183,8 @@ def derive_one(rid: str, uri: str, date: str, payload: bytes, header: str = "")
     uri, date = uri or warc.get("warc-target-uri", ""), date or warc.get("warc-date", "")
     fields, body = http_parts(payload)
     http = dict(reversed(fields))
-    source, block_digest = warc.get("warc-payload-digest") or digest(body), warc.get("warc-block-digest") or digest(payload)
+    given_digests = [(k, warc.get(f"warc-{k}-digest", ""), data) for k, data in (("payload", body), ("block", payload))]
+    source, block_digest = (said or digest(data) for _, said, data in given_digests)
     content: bytes | None = _unchunked(body) if "chunked" in http.get("transfer-encoding", "").lower() else body
     for coding in reversed(http.get("content-encoding", "").lower().split(",")):
         content = _inflated(content, coding.strip()) if content is not None else None
@@ -191,8 +192,7 @@ def derive_one(rid: str, uri: str, date: str, payload: bytes, header: str = "")
     kind = media.split(";")[0].strip()
     readable = content is not None and (not kind or TEXT.fullmatch(kind) is not None)
     facts = [("source-payload-digest", source), ("source-block-digest", block_digest), ("content-bytes", str(len(body)))]
-    checks = (("payload", source, body), ("block", block_digest, payload))
-    facts += [(f"{what}-digest-matches", str(digest(data) == said).lower()) for what, said, data in checks if said.lower().startswith("sha1:")]
+    facts += [(f"{k}-digest-matches", str(digest(data) == said).lower()) for k, said, data in given_digests if said.lower().startswith("sha1:")]
     facts += [(f"source-{k}", v) for k, v in given] + [(f"http-{k.strip(':')}", v) for k, v in fields]
     text = ""
     if readable:
