@@ -84,10 +84,29 @@ def test_islands_and_orphans(spark):
     assert graph.strip_orphans(e, n.where("entity_id <> 'b'")).count() == 1
 
 
-def test_inference_skips_loops_and_known(spark):
-    r = spark.createDataFrame([(1, "a", "P", "b", 0.5), (2, "b", "Q", "c", 0.5), (3, "b", "Q", "a", 0.9), (4, "z", "P", "b", 1.0), (5, "z", "N", "c", 1.0)], "relation_id long, source_id string, rel string, target_id string, confidence double")
-    got = [tuple(x) for x in graph.infer_two_hop(r, "P", "Q", "N", 0.8).orderBy("source_id").collect()]
-    assert got == [("a", "N", "c", "b", 0.2), ("z", "N", "a", "b", 0.72)]
+def test_inference_over_a_table_of_rules(spark):
+    """Types, loops, known edges, one order over all rules, and the cap."""
+    r = spark.createDataFrame(
+        [(1, "a", "P", "b", 0.5), (2, "b", "Q", "c", 0.5), (3, "b", "Q", "a", 0.9), (4, "z", "P", "b", 1.0), (5, "z", "N", "c", 1.0), (6, "b", "Q", "y", 1.0), (7, "a", "P", "y", 0.5)],
+        "relation_id long, source_id string, rel string, target_id string, confidence double",
+    )
+    e = spark.createDataFrame([(k, "T" if k != "y" else "Y") for k in "abcyz"], "entity_id string, type string")
+    rules = [([("P", "T", "T"), ("Q", "T", "T")], "N", 0.8), ([("Q", "T", "T")], "N", 1.0), ([("P", "Y", "T")], "M", 1.0), ([("P", "T", "T"), ("Q", "T", "T"), ][:2], "M", 0.5)]
+    got = [tuple(x) for x in graph.infer(r, e, rules).collect()]
+    assert got == [("a", "N", "c", 0, 1, 2, 0.2), ("z", "N", "a", 0, 4, 3, 0.72), ("b", "N", "c", 1, 2, None, 0.5), ("b", "N", "a", 1, 3, None, 0.9), ("a", "M", "c", 3, 1, 2, 0.125), ("z", "M", "c", 3, 4, 2, 0.25), ("z", "M", "a", 3, 4, 3, 0.45)]
+    assert [tuple(x) for x in graph.infer(r, e, rules, 2).collect()] == got[:2]
+    c = spark.createDataFrame([("a", "P", "b"), ("a", "P", "c"), ("a", "P", "c"), ("a", "Q", "b")], "source_id string, rel string, target_id string")
+    assert sorted(map(tuple, graph.new_edges(c, r).collect())) == [("a", "P", "c"), ("a", "Q", "b")]
+
+
+def test_trending_view(spark):
+    rows = [("t1", "t2"), ("t3", "b"), ("b", "t1"), ("t3", "lone"), ("t4", "z"), ("z", "q"), ("b", "b2"), ("b2", "t3"), ("b2", "t2")]
+    r = spark.createDataFrame([(i, a, "X", b, "asserted", 0.5, f"d{i}", "s") for i, (a, b) in enumerate(rows)], "relation_id long, source_id string, rel string, target_id string, kind string, confidence double, doc_id string, snippet string")
+    nodes, edges = graph.trending_view(r, spark.createDataFrame([(f"t{i}", float(i)) for i in range(1, 5)], "entity_id string, trend_score double"))
+    assert {tuple(x) for x in nodes.collect()} == {*((f"t{i}", float(i), False) for i in range(1, 5)), ("b", 0.0, True), ("b2", 0.0, True)}
+    assert {x["edge_id"] for x in edges.collect()} == {"e:t1:X:t2", "e:t3:X:b", "e:b:X:t1", "e:b2:X:t3", "e:b2:X:t2"}
+    steps = {x["entity_id"]: x["hops"] for x in graph.hops(r, spark.createDataFrame([("q", "x")], "entity_id string, tag string"), 2).collect()}
+    assert steps == {"q": 0, "z": 1, "t4": 2}
 
 
 def slow_select(rows, budget, stretch):
@@ -139,6 +158,17 @@ def test_blocked_pairs_and_greedy_pass(spark):
     want = {(a[0], b[0]) for a in names for b in names if a[2] < b[2] and a[1] == b[1] and slow_similarity(a[3], b[3]) >= 0.6}
     pairs = resolve.similar_pairs(d, 0.6)
     assert {(p["a"], p["b"]) for p in pairs.collect()} == want
+    # aliases count against names, not against each other; decided pairs go
+    aliases = [(f"e{i}", " ".join(r.choice(words) for _ in range(2))) for i in range(0, 60, 3)]
+    kind, place, of = {n[0]: n[1] for n in names}, {n[0]: n[2] for n in names}, {}
+    for e, _, _, n in names:
+        for f, m in [(n[0], n[3]) for n in names] + aliases:
+            if e != f and kind[e] == kind[f]:
+                key = (e, f) if place[e] < place[f] else (f, e)
+                of[key] = max(of.get(key, 0), slow_similarity(n, m))
+    decided = sorted(k for k, v in of.items() if v >= 0.5)[:5]
+    got = resolve.similar_pairs(d, 0.5, 0.9, spark.createDataFrame(aliases, "id string, name string"), spark.createDataFrame([(b, a) for a, b in decided], "a string, b string"))
+    assert {(p["a"], p["b"]): p["similarity"] for p in got.collect()} == {k: round(v, 6) for k, v in of.items() if 0.5 <= v < 0.9 and k not in decided}
     canon = {}
     for i, _, _, _ in names:
         if i not in canon:
@@ -163,11 +193,15 @@ def test_merge(spark):
 
 
 def test_answers(spark):
-    good = '{"docId":"1","entities":[{"name":"A"},{"name":"B"}],"relations":[{"source":"a","rel":"R","target":"B","kind":"asserted","confidence":0.9,"evidence":[{"snippet":"x"}]}]}'
+    good = '{"docId":"1","entities":[{"name":"A","type":"T"},{"name":"B","type":"T"}],"relations":[{"source":"a","rel":"R","target":"B","kind":"asserted","confidence":0.9,"evidence":[{"docId":"1","snippet":"x"}]}],"techTerms":["t",{"term":"u"},{"name":"v"},{"z":1},""]}'
     bad = '{"docId":"2","entities":[],"relations":[{"source":"a","rel":"R","target":"Z","kind":"maybe","confidence":95,"evidence":[]},{"source":"a","rel":"R","target":"Z","kind":"asserted","confidence":0.9,"evidence":[]}]}'
     p = extraction.parse(spark.createDataFrame([(1, f"```json\n{good}\n```"), (2, bad), (3, "sorry")], "doc_id int, answer string"))
     e = {r["doc_id"]: r["errors"] for r in extraction.validate(p).collect()}
     assert e[1] == [] and set(e[2]) == {"kind", "confidence", "asserted without evidence"} and "not JSON" in e[3]
+    texts = spark.createDataFrame([(1, "some X here", 900), (2, "y", 900), (3, "z", 9)], "doc_id int, text string, n_chars int")
+    v = {r["doc_id"]: (r["passed"], r["reasons"]) for r in extraction.verdict(p, texts).collect()}
+    assert v == {1: (1, ""), 2: (0, "orphan_endpoints: 4 orphans; zero_value: no entities; high_conf_bad_evidence: 1 flagged"), 3: (0, "not JSON")}
+    assert [r[0] for r in p.where("doc_id = 1").select(extraction.tech_terms(F.col("x.techTerms"))).collect()] == [["t", "u", "v", '{"z":1}']]
     b = {r["doc_id"]: (r["bare"], r["passed"]) for r in extraction.bare_assertions(p).collect() if r["doc_id"] < 3}
     assert b == {1: (0, 1), 2: (1, 0)}
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegraph.functions.text import name_similarity, normalize_name
-from tidegraph.operators.resolve import blocks, first_gram
+from tidegraph.operators.resolve import candidates
 
 #: Date resolutions as models write them, and the three that are stored.
 RESOLUTIONS = {
@@ -40,19 +40,15 @@ def lookup(wanted: DataFrame, names: DataFrame, aliases: DataFrame, low: float =
 
     wanted: query, type. names: id, type, name. aliases: alias, id (one per alias). An alias
     that equals the query ends its search with similarity 1; otherwise every name of the type
-    with at least `low` counts. Null queries find nothing. Candidates share a block, so no name
+    with at least `low` counts. Null queries find nothing. Candidates share a rare key, so no name
     is compared with all others.
     """
     q = wanted.where("query is not null").select("query", "type").distinct()
     exact = q.join(aliases.select(F.col("alias").alias("query"), "id"), "query").select("query", "type", "id", F.lit(1.0).alias("similarity"))
     rest = q.join(aliases.select(F.col("alias").alias("query")), "query", "left_anti").withColumn("name", normalize_name(F.col("query")))
     n = names.select("id", "type", normalize_name(F.col("name")).alias("name"))
-    left, right = (blocks(d.select("type", "name").distinct()) for d in (rest, n))
-    # Either name may hold the other: the shorter one's first q-gram meets all of the longer one's.
-    short = ~F.col("key").rlike("^[123]=") | (F.col("key") == first_gram(F.col("name")))
-    as_ = lambda d, c: d.select("type", "key", F.col("name").alias(c))
-    pairs = as_(left.where(short), "n1").join(as_(right, "n2"), ["type", "key"]).union(as_(left, "n1").join(as_(right.where(short), "n2"), ["type", "key"]))
-    good = pairs.select("type", "n1", "n2").distinct().withColumn("similarity", name_similarity(F.col("n1"), F.col("n2"))).where(F.col("similarity") >= low)
+    pairs = candidates(rest.select("type", "name").distinct(), n.select("type", "name").distinct(), low)
+    good = pairs.withColumn("similarity", name_similarity(F.col("n1"), F.col("n2"))).where(F.col("similarity") >= low)
     near = good.join(rest.withColumnRenamed("name", "n1"), ["type", "n1"]).join(n.withColumnRenamed("name", "n2"), ["type", "n2"])
     return exact.union(near.select("query", "type", "id", "similarity"))
 

@@ -30,18 +30,35 @@ def normalize_rel(rel: Column, mapping: dict[str, str], canonical: tuple[str, ..
     return F.coalesce(F.try_element_at(m, up), F.when(up.isin(*canonical), rel), F.try_element_at(m, snake), rel)
 
 
+def tech_terms(terms: Column) -> Column:
+    """array<variant> to array<string>: texts as they are, of objects their term, else name, else their JSON; empty ones go."""
+
+    def one(v):
+        written = F.coalesce(*(F.when(F.try_variant_get(v, f"$.{k}", "string") != "", F.try_variant_get(v, f"$.{k}", "string")) for k in ("term", "name")), F.to_json(v))
+        return F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string")).when(F.schema_of_variant(v).startswith("OBJECT"), written)
+
+    return F.filter(F.transform(terms, one), lambda x: x.isNotNull() & (x != ""))
+
+
 def validate(parsed: DataFrame) -> DataFrame:
-    """doc_id and an array of errors; asserted relations need evidence."""
-    r = F.col("x.relations")
-    bad = lambda name, test: F.when(F.exists(r, test), F.lit(name))
+    """doc_id and an array of errors: required fields, listed kinds, confidences from 0 to 1; asserted relations need evidence."""
+    r, e = F.col("x.relations"), F.col("x.entities")
+    none = lambda v: F.coalesce(F.trim(v), F.lit("")) == ""
+    bad = lambda name, of, test: F.when(F.exists(of, test), F.lit(name))
+    evidence = F.flatten(F.transform(r, lambda v: F.coalesce(v["evidence"], F.array().cast("array<struct<docId string, snippet string>>"))))
     errors = F.array_compact(
         F.array(
             F.when(F.col("x").isNull(), F.lit("not JSON")),
             F.when(F.col("x.docId").isNull(), F.lit("docId missing")),
-            F.when(F.col("x.entities").isNull(), F.lit("entities missing")),
-            bad("kind", lambda v: ~F.coalesce(v["kind"].isin(*KINDS), F.lit(False))),
-            bad("confidence", lambda v: ~F.coalesce(v["confidence"].between(0, 1), F.lit(False))),
-            bad("asserted without evidence", lambda v: (v["kind"] == "asserted") & (F.coalesce(F.size(v["evidence"]), F.lit(0)) <= 0)),
+            F.when(e.isNull(), F.lit("entities missing")),
+            F.when(r.isNull(), F.lit("relations missing")),
+            bad("entity without name", e, lambda v: none(v["name"])),
+            bad("entity without type", e, lambda v: none(v["type"])),
+            bad("relation without end", r, lambda v: none(v["source"]) | none(v["target"]) | none(v["rel"])),
+            bad("kind", r, lambda v: ~F.coalesce(v["kind"].isin(*KINDS), F.lit(False))),
+            bad("confidence", r, lambda v: ~F.coalesce(v["confidence"].between(0, 1), F.lit(False))),
+            bad("asserted without evidence", r, lambda v: (v["kind"] == "asserted") & (F.coalesce(F.size(v["evidence"]), F.lit(0)) <= 0)),
+            bad("evidence without document", evidence, lambda v: none(v["docId"])),
         )
     )
     return parsed.select("doc_id", errors.alias("errors"))
@@ -63,7 +80,8 @@ def orphan_rate(parsed: DataFrame, most: float = 0.3) -> DataFrame:
     ends = F.flatten(F.transform("x.relations", lambda r: F.array(F.lower(r["source"]), F.lower(r["target"]))))
     lost = F.size(F.filter(ends, lambda e: ~F.coalesce(F.array_contains(names, e), F.lit(False))))
     rate = F.when(F.size(ends) > 0, lost / F.size(ends)).otherwise(0.0)
-    return parsed.select("doc_id", rate.alias("rate"), (rate <= most).cast("int").alias("passed"))
+    rate = F.coalesce(rate, F.lit(0.0))
+    return parsed.select("doc_id", F.coalesce(lost, F.lit(0)).alias("orphans"), rate.alias("rate"), (rate <= most).cast("int").alias("passed"))
 
 
 def zero_value(n_chars: Column, entities: Column, relations: Column) -> Column:
@@ -76,5 +94,81 @@ def bare_assertions(parsed: DataFrame, sure: float = 0.8) -> DataFrame:
     hit = lambda r: (
         (r["kind"] == "asserted") & (r["confidence"] >= sure) & ((F.coalesce(F.size(r["evidence"]), F.lit(0)) <= 0) | F.exists(r["evidence"], lambda e: F.coalesce(F.trim(e["snippet"]), F.lit("")) == ""))
     )
-    n = F.size(F.filter("x.relations", hit))
+    n = F.coalesce(F.size(F.filter("x.relations", hit)), F.lit(0))
     return parsed.select("doc_id", n.alias("bare"), (n == 0).cast("int").alias("passed"))
+
+
+def verdict(parsed: DataFrame, texts: DataFrame) -> DataFrame:
+    """(doc_id, passed, reasons): all four gates of every readable answer, with the reasons of those that fail.
+
+    texts: doc_id, text, n_chars. An answer that can't be read fails with one reason.
+    """
+    per = F.explode_outer(F.flatten(F.transform("x.relations", lambda r: F.transform(r["evidence"], lambda e: e["snippet"]))))
+    snippets = parsed.select("doc_id", per.alias("snippet")).where("snippet is not null")
+    a = evidence_fidelity(snippets, texts.join(parsed.select("doc_id"), "doc_id", "left_semi")).select("doc_id", "snippets", "found", F.col("passed").alias("a"))
+    size = lambda c: F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0))
+    c = parsed.join(texts.select("doc_id", "n_chars"), "doc_id", "left").select(
+        "doc_id", zero_value(F.coalesce("n_chars", F.lit(0)), size("x.entities"), size("x.relations")).alias("c"), (size("x.entities") == 0).alias("empty"), F.col("x").isNull().alias("unread")
+    )
+    b = orphan_rate(parsed).select("doc_id", "orphans", F.col("passed").alias("b"))
+    d = bare_assertions(parsed).select("doc_id", "bare", F.col("passed").alias("d"))
+    j = c.join(a, "doc_id", "left").join(b, "doc_id").join(d, "doc_id")
+    reasons = F.array_compact(
+        F.array(
+            F.when(F.col("a") == 0, F.concat(F.lit("evidence_fidelity: "), "found", F.lit(" of "), "snippets")),
+            F.when(F.col("b") == 0, F.concat(F.lit("orphan_endpoints: "), "orphans", F.lit(" orphans"))),
+            F.when(F.col("c") == 0, F.concat(F.lit("zero_value: "), F.when(F.col("empty"), "no entities").otherwise("no relations"))),
+            F.when(F.col("d") == 0, F.concat(F.lit("high_conf_bad_evidence: "), "bare", F.lit(" flagged"))),
+        )
+    )
+    reasons = F.when(F.col("unread"), F.array(F.lit("not JSON"))).otherwise(reasons)
+    return j.select("doc_id", (F.size(reasons) == 0).cast("int").alias("passed"), F.array_join(reasons, "; ").alias("reasons"))
+
+
+VERDICTS = ("merge", "keep_separate", "uncertain")
+
+
+def pair_verdicts(pairs: DataFrame, answers: DataFrame) -> DataFrame:
+    """(batch, i, a, b, verdict, confidence, reason) of every pair that was asked about.
+
+    pairs: batch, i (from 0), a, b. answers: batch, answer: a JSON array of verdicts in the
+    pairs' order, or one object, bare, in a code fence or inside other text. Unlisted verdicts,
+    missing ones and answers that can't be read leave a pair uncertain, with the reason.
+    """
+    body = F.regexp_replace(F.regexp_replace(F.trim("answer"), "^```(?:json)?\\s*", ""), "\\s*```$", "")
+    v = F.coalesce(F.try_parse_json(body), F.try_parse_json(F.regexp_extract(body, r"(?s)\[.*\]", 0)))
+    listed = F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.when(v.isNotNull(), F.array(v)))
+    j = pairs.join(answers.select("batch", listed.alias("listed")), "batch", "left")
+    own = F.try_element_at("listed", F.col("i") + 1)
+    said = F.lower(F.trim(F.try_variant_get(own, "$.verdict", "string")))
+    lost = F.when(F.col("listed").isNull(), "answer can't be read").when(own.isNull(), "no verdict for this pair")
+    return j.select(
+        "batch", "i", "a", "b", F.when(said.isin(*VERDICTS), said).otherwise("uncertain").alias("verdict"),
+        F.coalesce(F.try_variant_get(own, "$.confidence", "double"), F.lit(0.0)).alias("confidence"),
+        F.coalesce(lost, F.try_variant_get(own, "$.reason", "string"), F.lit("")).alias("reason"),
+    )
+
+
+def import_answers(parsed: DataFrame, ids: DataFrame, documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(relations, evidence, states) of parsed answers.
+
+    ids: name, entity_id (one per name); documents: doc_id, url. Relation ends are resolved by
+    name; a relation with an end that isn't known is dropped, and counted. Every known entity
+    of an answer gets a MENTIONS relation from its document (asserted, confidence 1).
+    Evidence takes the document's url before its own. states: doc_id, status (extracted, or
+    error for an answer that can't be read), relations, dropped.
+    """
+    ok = parsed.where("x is not null")
+    r = ok.select("doc_id", F.posexplode("x.relations").alias("i", "r"))
+    end = lambda name: ids.select(F.col("name").alias(name), F.col("entity_id").alias(f"{name}_id"))
+    named = r.select("doc_id", "i", F.col("r.source").alias("source"), F.col("r.rel").alias("rel"), F.col("r.target").alias("target"), F.col("r.kind").alias("kind"), F.col("r.confidence").alias("confidence"), F.col("r.evidence").alias("evidence"))
+    solved = named.join(end("source"), "source", "left").join(end("target"), "target", "left")
+    lost = F.col("source_id").isNull() | F.col("target_id").isNull()
+    told = solved.where(~lost)
+    said = ok.select("doc_id", F.explode(F.array_distinct(F.transform("x.entities", lambda e: e["name"]))).alias("name")).join(ids, "name")
+    mentions = said.select("doc_id", F.col("doc_id").alias("source_id"), F.lit("MENTIONS").alias("rel"), F.col("entity_id").alias("target_id"), F.lit("asserted").alias("kind"), F.lit(1.0).alias("confidence"))
+    relations = told.select(*mentions.columns).union(mentions)
+    evidence = told.select("doc_id", "i", F.explode("evidence").alias("e")).join(documents.select("doc_id", "url"), "doc_id", "left").select("doc_id", "i", F.coalesce("url", "e.docId").alias("url"), F.col("e.snippet").alias("snippet"))
+    counts = solved.groupBy("doc_id").agg(F.count_if(~lost).alias("n"), F.count_if(lost).alias("dropped"))
+    states = parsed.join(counts, "doc_id", "left").select("doc_id", F.when(F.col("x").isNull(), "error").otherwise("extracted").alias("status"), F.coalesce("n", F.lit(0)).alias("relations"), F.coalesce("dropped", F.lit(0)).alias("dropped"))
+    return relations, evidence, states

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegraph.functions.scoring import bridge_score
+from tidegraph.sources.shared import materialise
 
 RANK = {"asserted": 0, "inferred": 1, "hypothesis": 2}
 
@@ -86,17 +87,29 @@ def undirected(edges: DataFrame) -> DataFrame:
     return edges.select(F.explode(F.array(F.struct(F.col("source_id").alias("a"), F.col("target_id").alias("b")), F.struct(F.col("target_id").alias("a"), F.col("source_id").alias("b")))).alias("e")).select("e.a", "e.b").distinct()
 
 
-def spread(edges: DataFrame, seeds: DataFrame, hops: int = 2) -> DataFrame:
-    """(entity_id, tag) for all within `hops` undirected steps of a seed (entity_id, tag)."""
-    e, reached = undirected(edges), seeds.select("entity_id", "tag").distinct()
-    for _ in range(hops):
-        further = reached.join(e, reached["entity_id"] == e["a"]).select(F.col("b").alias("entity_id"), "tag")
-        reached = reached.union(further).distinct()
+def hops(edges: DataFrame, seeds: DataFrame, most: int) -> DataFrame:
+    """(entity_id, tag, hops) for all within `most` undirected steps of a seed (entity_id, tag), with the fewest steps.
+
+    Each round goes on from what the last one found first, and is written to the shared folder.
+    """
+    e = materialise(undirected(edges), "undirected")
+    fresh = materialise(seeds.select("entity_id", "tag").distinct().withColumn("hops", F.lit(0)), "hops")
+    reached = fresh
+    for k in range(1, most + 1):
+        further = fresh.join(e.withColumnRenamed("a", "entity_id"), "entity_id").select(F.col("b").alias("entity_id"), "tag").distinct()
+        fresh = further.join(reached.select("entity_id", "tag"), ["entity_id", "tag"], "left_anti").withColumn("hops", F.lit(k))
+        fresh = materialise(fresh, "hops")
+        reached = reached.union(fresh)
     return reached
 
 
-def region_tags(edges: DataFrame, seeds: DataFrame, hops: int = 2) -> DataFrame:
-    return spread(edges, seeds, hops).groupBy("entity_id").agg(F.array_join(F.array_sort(F.collect_set("tag")), ",").alias("regions"))
+def spread(edges: DataFrame, seeds: DataFrame, most: int = 2) -> DataFrame:
+    """(entity_id, tag) for all within `most` undirected steps of a seed (entity_id, tag)."""
+    return hops(edges, seeds, most).select("entity_id", "tag")
+
+
+def region_tags(edges: DataFrame, seeds: DataFrame, most: int = 2) -> DataFrame:
+    return spread(edges, seeds, most).groupBy("entity_id").agg(F.array_join(F.array_sort(F.collect_set("tag")), ",").alias("regions"))
 
 
 def neighbours(relations: DataFrame, base: str = "MENTIONS") -> DataFrame:
@@ -126,22 +139,67 @@ def bridges(relations: DataFrame, trending: DataFrame) -> DataFrame:
     )
 
 
-def infer_two_hop(relations: DataFrame, first: str, second: str, new: str, discount: float, cap: int = 500) -> DataFrame:
-    """a -first-> b -second-> c gives a -new-> c; no loops, none that exists; the first `cap` by relation ids."""
-    a = relations.where(F.col("rel") == first).select(F.col("source_id").alias("a"), F.col("target_id").alias("b"), F.col("relation_id").alias("r0"), F.col("confidence").alias("c0"))
-    b = relations.where(F.col("rel") == second).select(F.col("source_id").alias("b"), F.col("target_id").alias("c"), F.col("relation_id").alias("r1"), F.col("confidence").alias("c1"))
-    have = relations.where(F.col("rel") == new).select(F.col("source_id").alias("a"), F.col("target_id").alias("c")).distinct()
-    found = a.join(b, "b").where("a <> c").join(have, ["a", "c"], "left_anti")
-    first_of = found.groupBy("a", "c").agg(F.min(F.struct("r0", "r1", "c0", "c1", "b")).alias("m"))
+def trending_view(relations: DataFrame, trending: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(nodes, edges) of the trending view.
+
+    Nodes are the trending entities (entity_id, trend_score) and the bridges that reconnect
+    isolated ones, which have score 0. Edges join two trending entities, or a bridge and a
+    trending one, and are aggregated over documents.
+    """
+    t = trending.select("entity_id", "trend_score")
+    b = materialise(bridges(relations, t).select(F.col("bridge").alias("entity_id")), "bridges")
+    nodes = t.withColumn("is_bridge", F.lit(False)).union(b.select("entity_id", F.lit(0.0), F.lit(True)))
+    ends = nodes.select("entity_id", "is_bridge")
+    side = lambda end, name: ends.select(F.col("entity_id").alias(end), F.col("is_bridge").alias(name))
+    inside = relations.join(side("source_id", "sb"), "source_id").join(side("target_id", "tb"), "target_id").where("not (sb and tb)")
+    return nodes, aggregate_edges(inside.drop("sb", "tb"))
+
+
+#: A rule: its antecedents, one or two of (relation, type of source, type of target), the new relation and its discount.
+#: Of two, the first's target is the second's source; the new edge joins the ends of the chain.
+Rule = tuple[list[tuple[str, str, str]], str, float]
+
+
+def infer(relations: DataFrame, entities: DataFrame, rules: list[Rule], cap: int = 500) -> DataFrame:
+    """New edges of all rules: source_id, rel, target_id, rule, r0, r1, confidence.
+
+    Ends must have the types that a rule names. Loops and edges that exist, of any kind, are
+    left out; of several ways to one edge the first by (rule, relation ids) counts, over all
+    rules. confidence is the product of the antecedents' times the discount, 1 at most. The
+    first `cap` by (rule, relation ids) stay. Rules are a table: all are matched in one pass.
+    """
+    spark = relations.sparkSession
+    rows = [(i, *a[0], *(a[1] if len(a) > 1 else (None, None, None)), new, float(discount)) for i, (a, new, discount) in enumerate(rules)]
+    of = spark.createDataFrame(rows, "rule int, rel0 string, s0 string, t0 string, rel1 string, s1 string, t1 string, new string, discount double")
+    kinds = entities.select("entity_id", "type")
+    kind = lambda end, name: kinds.select(F.col("entity_id").alias(end), F.col("type").alias(name))
+    used = relations.select("relation_id", "source_id", "rel", "target_id", "confidence").join(of.selectExpr("rel0 as rel").union(of.selectExpr("rel1")).distinct(), "rel", "left_semi")
+    typed = used.join(kind("source_id", "s"), "source_id").join(kind("target_id", "t"), "target_id")
+    first = typed.join(of, (F.col("rel") == F.col("rel0")) & (F.col("s") == F.col("s0")) & (F.col("t") == F.col("t0"))).select(
+        "rule", "rel1", "t1", "new", "discount", F.col("source_id").alias("a"), F.col("target_id").alias("b"), F.col("relation_id").alias("r0"), F.col("confidence").alias("c0")
+    )
+    alone = first.where("rel1 is null").select("rule", "new", "discount", "a", F.col("b").alias("c"), "r0", F.lit(None).cast("long").alias("r1"), "c0", F.lit(1.0).alias("c1"))
+    # the second antecedent's source is the first one's target, so its type needs no second look
+    second = typed.select(F.col("rel").alias("rel1"), F.col("t").alias("t1"), F.col("source_id").alias("b"), F.col("target_id").alias("c"), F.col("relation_id").alias("r1"), F.col("confidence").alias("c1"))
+    chains = first.join(second, ["rel1", "t1", "b"]).select("rule", "new", "discount", "a", "c", "r0", "r1", "c0", "c1")
+    have = relations.select(F.col("source_id").alias("a"), F.col("rel").alias("new"), F.col("target_id").alias("c")).distinct()
+    found = alone.union(chains).where("a <> c").join(have, ["a", "new", "c"], "left_anti")
+    once = found.groupBy("a", "new", "c").agg(F.min(F.struct("rule", "r0", "r1", "c0", "c1", "discount")).alias("m"))
     return (
-        first_of.orderBy("m.r0", "m.r1").limit(cap)
+        once.orderBy("m.rule", "m.r0", "m.r1").limit(cap)
         .select(
-            F.col("a").alias("source_id"), F.lit(new).alias("rel"), F.col("c").alias("target_id"), F.col("m.b").alias("via"),
-            F.round(F.least(F.lit(1.0), F.col("m.c0") * F.col("m.c1") * discount), 3).alias("confidence"),
+            F.col("a").alias("source_id"), F.col("new").alias("rel"), F.col("c").alias("target_id"), "m.rule", "m.r0", "m.r1",
+            F.round(F.least(F.lit(1.0), F.col("m.c0") * F.col("m.c1") * F.col("m.discount")), 3).alias("confidence"),
         )
     )
 
 
+def new_edges(candidates: DataFrame, relations: DataFrame) -> DataFrame:
+    """Candidates (source_id, rel, target_id) that no relation has, of any kind, each once."""
+    key = ["source_id", "rel", "target_id"]
+    return candidates.select(*key).distinct().join(relations.select(*key), key, "left_anti")
+
+
 def islands(entities: DataFrame, relations: DataFrame, base: str = "MENTIONS") -> DataFrame:
     """Entities without any edge beside the base relation."""
     ends = endpoints(relations.where(F.col("rel") != base).select("source_id", "target_id")).select("entity_id")

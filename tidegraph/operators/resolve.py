@@ -16,43 +16,73 @@ def qgrams(name: Column, q: int) -> Column:
     return F.transform(starts, lambda i: F.concat(F.lit(f"{q}="), F.substring(name, i, F.lit(q))))
 
 
-def blocks(names: DataFrame) -> DataFrame:
-    """(id, type, name, key): every pair with similarity over 0 shares a key.
-
-    Keys are the compact form, each word, and q-grams: a name's own first q-gram (q is 3, or
-    its length if shorter) meets all q-grams of a longer name that holds it.
-    """
+def keys(names: DataFrame) -> DataFrame:
+    """names (type, name) with all their keys: c, the compact form; words; grams, the runs of 1 to 3 characters."""
     n = F.col("name")
-    grams = [qgrams(n, q) for q in (1, 2, 3)]
-    words = F.transform(F.filter(F.split(n, " "), lambda w: w != ""), lambda w: F.concat(F.lit("w="), w))
-    keys = F.array_distinct(F.concat(F.array(F.concat(F.lit("c="), compact(n))), words, *grams))
-    return names.where(n != "").select("*", F.explode(keys).alias("key"))
+    words = F.array_distinct(F.transform(F.filter(F.split(n, " "), lambda w: w != ""), lambda w: F.concat(F.lit("w="), w)))
+    grams = F.array_distinct(F.concat(*(qgrams(n, q) for q in (1, 2, 3))))
+    return names.where(n != "").select("type", "name", F.array(F.concat(F.lit("c="), compact(n))).alias("c"), words.alias("words"), grams.alias("grams"))
 
 
-def first_gram(name):
-    return F.concat(F.least(F.length(name), F.lit(3)).cast("string"), F.lit("="), F.substring(name, 1, 3))
+def probes(keyed: DataFrame, low: float) -> DataFrame:
+    """(type, name, key): the few keys of a name under which everything at least `low` alike is found.
 
+    Its compact form; its rarest words, as many as can't all be missing from a name that
+    shares enough of them (the rarest one suffices where one name's words are all in the
+    other); and the rarest of its longest runs, which a name that holds it has, too. A
+    frequent word is thus looked under by those names alone that have nothing rarer.
+    """
+    every = keyed.select("type", "name", F.explode(F.concat("words", "grams")).alias("key"))
+    common = every.groupBy("type", "key").agg(F.count("*").alias("n"))
+    size = F.least(F.length("name"), F.lit(3)).cast("string")
+    own = every.where(F.col("key").startswith("w=") | F.col("key").startswith(F.concat(size, F.lit("="))))
+    rare = own.join(common, ["type", "key"]).groupBy("type", "name").agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("all"))
+    words = F.filter("all", lambda x: x["key"].startswith("w="))
+    some = F.size(words) - F.ceil(low * F.size(words) - 1e-9).cast("int") + 1
+    grams = F.filter("all", lambda x: ~x["key"].startswith("w="))
+    taken = F.concat(F.slice(words, F.lit(1), F.greatest(some, F.lit(1))), F.slice(grams, 1, 1))
+    found = rare.select("type", "name", F.explode(F.transform(taken, lambda x: x["key"])).alias("key"))
+    return found.union(keyed.select("type", "name", F.explode("c").alias("key")))
+
+
+def candidates(left: DataFrame, right: DataFrame, low: float) -> DataFrame:
+    """(type, n1, n2): every pair of a left and a right name (type, name) with similarity of `low` and more, and some others.
+
+    Either side's probes meet all keys of the other, except that runs only meet those of a
+    name that is not too long to hold it at such a similarity.
+    """
+    a, b = keys(left), keys(right)
+    every = lambda k: k.select("type", "name", F.explode(F.concat("c", "words", "grams")).alias("key"))
+    as_ = lambda d, n: d.select("type", "key", F.col("name").alias(n))
+    near = F.col("key").rlike("^[cw]=") | (F.least(F.length("n1"), F.length("n2")) >= low * F.greatest(F.length("n1"), F.length("n2")) - 1e-9)
+    pairs = as_(probes(a, low), "n1").join(as_(every(b), "n2"), ["type", "key"])
+    pairs = pairs.union(as_(probes(b, low), "n2").join(as_(every(a), "n1"), ["type", "key"]).select("type", "key", "n2", "n1").select("type", "key", "n1", "n2"))
+    return pairs.where(near).select("type", "n1", "n2").distinct()
 
-def similar_pairs(names: DataFrame, low: float, high: float | None = None) -> DataFrame:
+
+def similar_pairs(names: DataFrame, low: float, high: float | None = None, aliases: DataFrame | None = None, decided: DataFrame | None = None) -> DataFrame:
     """(a, b, type, similarity) of the pairs of one type, a before b, with low <= similarity (< high).
 
-    names: id, type, name (as given), ord (place in the order). Names are compared once per
-    distinct normalized name, so equal names never multiply the candidates.
+    names: id, type, name (as given), ord (place in the order). aliases (id, name): a name is
+    also compared with the aliases of the other entity, and the best counts. Pairs in decided
+    (a, b, either way round) are left out. Names are compared once per distinct normalized
+    name, so equal names never multiply the candidates. low is above 0.
     """
-    n = names.select("id", "type", "ord", normalize_name(F.col("name")).alias("name"))
+    n = names.select("id", "type", "ord", normalize_name(F.col("name")).alias("name"), F.lit(False).alias("alias"))
+    if aliases is not None:
+        n = n.union(aliases.select("id", normalize_name(F.col("name")).alias("name")).join(names.select("id", "type", "ord"), "id").select("id", "type", "ord", "name", F.lit(True)))
     distinct = n.select("type", "name").distinct()
-    keyed = blocks(distinct)
-    a = keyed.where(~F.col("key").rlike("^[123]=") | (F.col("key") == first_gram(F.col("name")))).select("type", "key", F.col("name").alias("n1"))
-    b = keyed.select("type", "key", F.col("name").alias("n2"))
-    cand = a.join(b, ["type", "key"]).select("type", "n1", "n2").distinct()
-    sim = name_similarity(F.col("n1"), F.col("n2"))
-    good = cand.withColumn("similarity", sim).where(F.col("similarity") >= low)
-    if high is not None:
-        good = good.where(F.col("similarity") < high)
+    good = candidates(distinct, distinct, low).withColumn("similarity", name_similarity(F.col("n1"), F.col("n2"))).where(F.col("similarity") >= low)
     both = good.union(good.select("type", F.col("n2"), F.col("n1"), "similarity")).distinct()
-    x = n.select(F.col("id").alias("a"), "type", F.col("ord").alias("oa"), F.col("name").alias("n1"))
-    y = n.select(F.col("id").alias("b"), "type", F.col("ord").alias("ob"), F.col("name").alias("n2"))
-    return both.join(x, ["type", "n1"]).join(y, ["type", "n2"]).where("oa < ob").select("a", "b", "oa", "ob", "type", F.round("similarity", 6).alias("similarity"))
+    side = lambda e, o, m, al: n.select(F.col("id").alias(e), "type", F.col("ord").alias(o), F.col("name").alias(m), F.col("alias").alias(al))
+    found = both.join(side("a", "oa", "n1", "x"), ["type", "n1"]).join(side("b", "ob", "n2", "y"), ["type", "n2"]).where("oa < ob and not (x and y)")
+    best = found.groupBy("a", "b", "oa", "ob", "type").agg(F.max("similarity").alias("similarity"))
+    if high is not None:
+        best = best.where(F.col("similarity") < high)
+    if decided is not None:
+        known = decided.select("a", "b").union(decided.select("b", "a")).distinct()
+        best = best.join(known, ["a", "b"], "left_anti")
+    return best.select("a", "b", "oa", "ob", "type", F.round("similarity", 6).alias("similarity"))
 
 
 def assign(names: DataFrame, pairs: DataFrame, checkpoint=lambda df: materialise(df, "greedy")) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegraph.functions import scoring as s
+from tidegraph.sources.shared import materialise
 
 MIN_QUALITY, STRETCH_QUALITY, EXPIRY_DAYS = 0.20, 0.55, 5
 
@@ -31,26 +32,28 @@ def select(scored: DataFrame, budget: int, stretch: int | None = None) -> DataFr
     Below the least quality documents are rejected. If the rest fits the budget, all are
     selected; else each source's best (up to `stretch` of them), then others by score up to
     the budget, then up to `stretch` those of stretch quality. Ties go to the smaller doc_id.
-    The global ranks need one order over all candidates: they are the documents of a day.
+    Only the first `stretch` places matter, so there is no order over all candidates: the
+    best of each source and the best of the rest are distributed top-k queries, and their few
+    ids are joined back. Texts are scored once.
     """
     stretch = budget + 5 if stretch is None else stretch
-    good = scored.where(F.col("combined_score") >= MIN_QUALITY)
-    o = [F.desc("combined_score"), F.col("doc_id")]
-    g = good.withColumn("fr", F.row_number().over(Window.partitionBy("source").orderBy(*o)))
-    g = g.withColumn("rr", F.sum(F.when(F.col("fr") == 1, 1).otherwise(0)).over(Window.orderBy(*o).rowsBetween(Window.unboundedPreceding, 0)))
-    g = g.withColumn("rep", (F.col("fr") == 1) & (F.col("rr") <= stretch))
-    g = g.withColumn("pr", F.sum(F.when(F.col("rep"), 0).otherwise(1)).over(Window.orderBy(*o).rowsBetween(Window.unboundedPreceding, 0)))
-    totals = g.agg(F.count("*").alias("n"), F.count_if("rep").alias("reps"))
-    g = g.crossJoin(F.broadcast(totals))  # one row
-    chosen = (
-        (F.col("n") <= budget)
-        | F.col("rep")
-        | (F.col("pr") <= F.greatest(budget - F.col("reps"), F.lit(0)))
-        | (F.lit(stretch > budget) & (F.col("pr") <= stretch - F.col("reps")) & (F.col("combined_score") >= STRETCH_QUALITY))
-    )
-    out = g.select("doc_id", "source", "combined_score", F.when(chosen, "selected").otherwise("benched").alias("outcome"))
-    low = scored.where(F.col("combined_score") < MIN_QUALITY).select("doc_id", "source", "combined_score", F.lit("rejected").alias("outcome"))
-    return out.union(low)
+    rows = materialise(scored.select("doc_id", "source", "combined_score"), "scored")
+    good = rows.where(F.col("combined_score") >= MIN_QUALITY)
+    order = [F.desc("combined_score"), F.col("doc_id")]
+    best = good.groupBy("source").agg(F.min(F.struct((-F.col("combined_score")).alias("low"), "doc_id")).alias("m"))
+    reps = best.select(F.col("m.doc_id").alias("doc_id"), (-F.col("m.low")).alias("combined_score")).orderBy(*order).limit(stretch).select("doc_id")
+    reps = materialise(reps, "reps")
+    n, k = good.count(), reps.count()
+    if n <= budget:
+        chosen = good.select("doc_id")
+    else:
+        room = max(budget, stretch) - k
+        rest = good.join(F.broadcast(reps), "doc_id", "left_anti").orderBy(*order).limit(max(0, room))  # `stretch` ids at most
+        place = F.row_number().over(Window.orderBy(*order))
+        fill = rest.withColumn("place", place).where((F.col("place") <= budget - k) | ((F.col("place") <= stretch - k) & (F.col("combined_score") >= STRETCH_QUALITY)))
+        chosen = reps.union(fill.select("doc_id"))
+    outcome = F.when(F.col("combined_score") < MIN_QUALITY, "rejected").when(F.col("in").isNotNull(), "selected").otherwise("benched")
+    return rows.join(chosen.select("doc_id", F.lit(1).alias("in")), "doc_id", "left").select("doc_id", "source", "combined_score", outcome.alias("outcome"))
 
 
 def bench_add(bench: DataFrame, overflow: DataFrame, now: str) -> DataFrame:

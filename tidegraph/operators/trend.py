@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegraph.functions import scoring as s
+from tidegraph.sources.shared import materialise
 
 
 def back(as_of: str, days: int) -> str:
@@ -57,8 +58,9 @@ def trending(mentions: DataFrame, as_of: str, p: s.Profile, k: int = 20) -> Data
 
 def hot_list(scored: DataFrame, mentions: DataFrame, k: int = 10, most: int = 3) -> DataFrame:
     """The k best moving or scored entities, with up to `most` of their sources by name."""
-    sources = mentions.groupBy("entity_id").agg(F.array_sort(F.collect_set("source")).alias("all"))
     top = scored.where("velocity > 0 or trend_score > 0").orderBy(F.desc("trend_score"), "entity_id").limit(k)
+    of_top = mentions.join(F.broadcast(top.select("entity_id")), "entity_id", "left_semi")  # k ids
+    sources = of_top.groupBy("entity_id").agg(F.array_sort(F.collect_set("source")).alias("all"))
     return top.join(sources, "entity_id", "left").select(
         "entity_id", "velocity", F.round("trend_score", 6).alias("trend_score"), F.array_join(F.slice("all", 1, most), ",").alias("sources")
     )
@@ -79,9 +81,17 @@ def history(mentions: DataFrame, runs: list[str], p: s.Profile) -> DataFrame:
 
 
 def ranks(rows: DataFrame) -> DataFrame:
-    """Place of every entity in its run."""
-    w = Window.partitionBy("run_date").orderBy(F.desc("trend_score"), "entity_id")
-    return rows.withColumn("rank", F.row_number().over(w))
+    """Place of every entity in its run, by score, ties by entity_id.
+
+    Rows are dealt to ranges of that order and written; a place is one within the range plus
+    the rows of the run in earlier ranges, so no task orders a whole run.
+    """
+    order = ["run_date", F.desc("trend_score"), "entity_id"]
+    dealt = materialise(rows.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), "ranges")
+    before = F.sum("n").over(Window.partitionBy("run_date").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
+    start = dealt.groupBy("run_date", "range").agg(F.count("*").alias("n")).select("run_date", "range", F.coalesce(before, F.lit(0)).alias("start"))
+    place = F.row_number().over(Window.partitionBy("run_date", "range").orderBy(*order[1:]))
+    return dealt.withColumn("place", place).join(start, ["run_date", "range"]).withColumn("rank", (F.col("place") + F.col("start")).cast("int")).drop("range", "place", "start")
 
 
 def prior_run(rows: DataFrame, latest: str, days: int = 7) -> str | None:
@@ -116,7 +126,7 @@ def run_overlap(rows: DataFrame, k: int = 10) -> DataFrame:
     top = ranks(rows).where(F.col("rank") <= k).select("run_date", "entity_id")
     dates = rows.select("run_date").distinct()
     pairs = dates.withColumn("prior", F.lag("run_date").over(Window.orderBy("run_date"))).where("prior is not null")  # a row per run
-    a = top.join(F.broadcast(pairs), "run_date")
+    a = top.join(pairs, "run_date")
     b = top.select(F.col("run_date").alias("prior"), "entity_id", F.lit(1).alias("shared"))
     sizes = top.groupBy("run_date").agg(F.count("*").alias("n"))
     return (

@@ -39,11 +39,12 @@ def f24(spark, sf):
     return m.select(F.round(day, 6).alias("per_day"), F.round(doc, 6).alias("per_doc"), F.round(F.greatest(F.lit(0), 500 - F.col("e")) / (day * doc), 6).alias("days_to_goal"))
 
 
-@add("j11_name_lookup", NAMES + SIM.replace("join z b on a.type = b.type and a.ord < b.ord", "join z b on a.type = b.type and a.ord % 10 = 0") + ", al as (select name as alias, min(id) as id from nm where ord % 4 = 0 group by 1), q as (select name, type, id from nm where ord % 10 = 0) select name as query, q.type, al.id, 1.0::double as similarity from q join al on alias = name union all select distinct q.name, q.type, b, round(s, 6) from sims join q on q.id = a and q.type = sims.type where s >= 0.8 and q.name not in (select alias from al)")
+@add("j11_name_lookup", NAMES + SIM.replace("join z b on a.type = b.type and a.ord < b.ord", "join z b on a.type = b.type and a.type = 'A'") + ", al as (select name as alias, min(id) as id from nm where type = 'B' group by 1) select name as query, nm.type, al.id, 1.0::double as similarity from nm join al on alias = name union all select distinct nm.name, nm.type, b, round(s, 6) from sims join nm on nm.id = a and nm.type = sims.type where s >= 0.8 and nm.name not in (select alias from al)")
 def j11(spark, sf):
+    """Every name is looked up; names of type B are the aliases."""
     n = names(spark, sf)
-    aliases = n.where("ord % 4 = 0").groupBy(F.col("name").alias("alias")).agg(F.min("id").alias("id"))
-    return c.lookup(n.where("ord % 10 = 0").select(F.col("name").alias("query"), "type"), n, aliases).withColumn("similarity", F.round("similarity", 6))
+    aliases = n.where("type = 'B'").groupBy(F.col("name").alias("alias")).agg(F.min("id").alias("id"))
+    return c.lookup(n.select(F.col("name").alias("query"), "type"), n, aliases).withColumn("similarity", F.round("similarity", 6))
 
 
 @add("g16_cluster_entities", ", m as (select o_custkey as cluster, 'part:' || l_partkey as entity_id, count(distinct l_orderkey) as docs_mentioning from lines group by 1, 2 having count(distinct l_orderkey) >= 2), x as (select *, row_number() over (partition by cluster order by entity_id) as n from m) select cluster, entity_id, docs_mentioning from x where n <= 30")

@@ -25,6 +25,16 @@ def places(spark, sf):
     return t.places(spark, sf)
 
 
+#: Undirected edges of the whole graph, and the entities with the most edges (ties by id).
+UND = ", und as (select source_id as a, target_id as b from graph union select target_id, source_id from graph)"
+TOP = ", deg as (select e as entity_id, count(*) as n from (select source_id as e from graph union all select target_id from graph) group by 1), t as (select entity_id, n from deg order by n desc, entity_id limit {k})"
+
+
+def busiest(spark, sf, k):
+    ends = g.endpoints(t.graph(spark, sf).select("source_id", "target_id"))
+    return ends.groupBy("entity_id").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "entity_id").limit(k)
+
+
 @add("g2_edge_aggregation", AGG.format(src="relations where rel <> 'MENTIONS'") + " select * from edges")
 def g2(spark, sf):
     return g.aggregate_edges(g.view(rel(spark, sf), exclude=["MENTIONS"]))
@@ -32,22 +42,22 @@ def g2(spark, sf):
 
 @add("g4_mentions_view", IN_WINDOW + " select relation_id, source_id, target_id from inw where rel = 'MENTIONS'")
 def g4(spark, sf):
-    return g.view(rel(spark, sf), t.documents(spark, sf), *WINDOW, include=["MENTIONS"]).select("relation_id", "source_id", "target_id")
+    return g.view(rel(spark, sf), t.documents(spark, sf, *WINDOW), include=["MENTIONS"]).select("relation_id", "source_id", "target_id")
 
 
 @add("g5_claims_view", IN_WINDOW + AGG.format(src="inw where rel <> 'MENTIONS'") + " select edge_id, kind, confidence, doc_count from edges")
 def g5(spark, sf):
-    return g.aggregate_edges(g.view(rel(spark, sf), t.documents(spark, sf), *WINDOW, exclude=["MENTIONS"])).select("edge_id", "kind", "confidence", "doc_count")
+    return g.aggregate_edges(g.view(rel(spark, sf), t.documents(spark, sf, *WINDOW), exclude=["MENTIONS"])).select("edge_id", "kind", "confidence", "doc_count")
 
 
 @add("g6_dependencies_view", IN_WINDOW + AGG.format(src="inw where rel = 'SUPPLIES'") + " select edge_id, kind, confidence, doc_count from edges")
 def g6(spark, sf):
-    return g.aggregate_edges(g.view(rel(spark, sf), t.documents(spark, sf), *WINDOW, include=["SUPPLIES"])).select("edge_id", "kind", "confidence", "doc_count")
+    return g.aggregate_edges(g.view(rel(spark, sf), t.documents(spark, sf, *WINDOW), include=["SUPPLIES"])).select("edge_id", "kind", "confidence", "doc_count")
 
 
 @add("g7_all_view", IN_WINDOW + " select relation_id, source_id, rel, target_id, kind from inw")
 def g7(spark, sf):
-    return g.view(rel(spark, sf), t.documents(spark, sf), *WINDOW).select("relation_id", "source_id", "rel", "target_id", "kind")
+    return g.view(rel(spark, sf), t.documents(spark, sf, *WINDOW)).select("relation_id", "source_id", "rel", "target_id", "kind")
 
 
 @add("g8_strip_orphans", "select relation_id from relations r where source_id in (select entity_id from entities where type in ('Supplier', 'Part')) and target_id in (select entity_id from entities where type in ('Supplier', 'Part'))")
@@ -55,25 +65,42 @@ def g8(spark, sf):
     return g.strip_orphans(rel(spark, sf), t.entities(spark, sf).where(F.col("type").isin("Supplier", "Part"))).select("relation_id")
 
 
-@add("g9_region_tags", """, und as (select source_id as a, target_id as b from places union select target_id, source_id from places),
-seeds as (select entity_id, lower(name) as tag from entities where type = 'Region'), h1 as (select entity_id, tag from seeds union select b, tag from seeds join und on a = entity_id),
+@add("g9_region_tags", UND + """, seeds as (select entity_id, lower(name) as tag from entities where type = 'Region'), h1 as (select entity_id, tag from seeds union select b, tag from seeds join und on a = entity_id),
 h2 as (select * from h1 union select b, tag from h1 join und on a = entity_id) select entity_id, string_agg(tag, ',' order by tag) as regions from h2 group by 1""")
 def g9(spark, sf):
     seeds = t.entities(spark, sf).where("type = 'Region'").select("entity_id", F.lower("name").alias("tag"))
-    return g.region_tags(places(spark, sf), seeds)
+    return g.region_tags(t.graph(spark, sf), seeds)
 
 
-TREND = ", t as (select entity_id from (select entity_id, row_number() over (order by entity_id) as n from entities where type = 'Supplier') where n % 3 = 1)"
+BRIDGES = TOP.format(k=60) + """, r as (select distinct source_id, target_id, source_id in (select entity_id from t) as s, target_id in (select entity_id from t) as u from graph),
+ins as (select source_id as e from r where s and u union select target_id from r where s and u), iso as (select entity_id from t where entity_id not in (from ins)),
+touch as (select distinct case when s then target_id else source_id end as bridge, case when s then source_id else target_id end as e from r where s <> u),
+br as (select bridge, count(*) as touched, count(iso.entity_id) as isolated from touch left join iso on iso.entity_id = e group by 1 having count(iso.entity_id) > 0 and count(*) >= 2)"""
 
 
-@add("g10_bridges", TREND + """, r as (select distinct source_id, target_id, source_id in (from t) as s, target_id in (from t) as u from (select source_id, target_id from places union all select target_id, source_id from places)),
-ins as (select source_id as e from r where s and u union select target_id from r where s and u), iso as (select entity_id from t where entity_id not in (from ins)),
-touch as (select distinct case when s then target_id else source_id end as bridge, case when s then source_id else target_id end as e from r where s <> u)
-select bridge, count(*) as touched, count(iso.entity_id) as isolated from touch left join iso on iso.entity_id = e group by 1 having count(iso.entity_id) > 0 and count(*) >= 2""")
+@add("g10_bridges", BRIDGES + " select * from br")
 def g10(spark, sf):
-    s = t.entities(spark, sf).where("type = 'Supplier'").select("entity_id")
-    chosen = s.withColumn("n", F.row_number().over(Window.orderBy("entity_id"))).where("n % 3 = 1")  # a small dimension
-    return g.bridges(places(spark, sf), chosen)
+    """The busiest entities stand for the trending ones."""
+    return g.bridges(t.graph(spark, sf), busiest(spark, sf, 60))
+
+
+def trending(spark, sf):
+    """The 60 entities with the most relations, and how many those are as their score."""
+    ends = g.endpoints(rel(spark, sf).select("source_id", "target_id")).groupBy("entity_id").agg(F.count("*").alias("n"))
+    return ends.orderBy(F.desc("n"), "entity_id").limit(60).select("entity_id", F.col("n").cast("double").alias("trend_score"))
+
+
+VIEW = BRIDGES.replace("from graph", "from relations") + ", nd as (select entity_id, n::double as trend_score, false as is_bridge from t union all select bridge, 0.0, true from br)"
+
+
+@add("g10_trending_nodes", VIEW + " select * from nd")
+def g10_nodes(spark, sf):
+    return g.trending_view(rel(spark, sf), trending(spark, sf))[0]
+
+
+@add("g10_trending_edges", VIEW + AGG.format(src="(select r.* from relations r join nd x on x.entity_id = r.source_id join nd y on y.entity_id = r.target_id where not (x.is_bridge and y.is_bridge)) as v") + " select edge_id, kind, confidence, doc_count from edges")
+def g10_edges(spark, sf):
+    return g.trending_view(rel(spark, sf), trending(spark, sf))[1].select("edge_id", "kind", "confidence", "doc_count")
 
 
 @add("g11_bridge_score", """, o as (select source_id as entity_id, count(distinct target_id) as out_n from relations where rel <> 'MENTIONS' group by 1), i as (select target_id as entity_id, count(distinct source_id) as in_n from relations where rel <> 'MENTIONS' group by 1)
@@ -82,29 +109,38 @@ def g11(spark, sf):
     return g.neighbours(rel(spark, sf))
 
 
-@add("g12_focus", """, und as (select source_id as a, target_id as b from places union select target_id, source_id from places), vis as (select 'nation:1' as id union select b from und where a = 'nation:1')
-select source_id, rel, target_id from places where source_id in (from vis) and target_id in (from vis)""")
+@add("g12_focus", UND + """, vis as (select 'nation:1' as id union select b from und where a = 'nation:1' union select 'part:1' union select b from und where a = 'part:1')
+select source_id, rel, target_id, relation_id from graph where source_id in (from vis) and target_id in (from vis)""")
 def g12(spark, sf):
-    e = places(spark, sf)
-    seen = g.spread(e, spark.createDataFrame([("nation:1", "x")], "entity_id string, tag string"), 1)
-    return g.strip_orphans(e, seen).select("source_id", "rel", "target_id")
+    e = t.graph(spark, sf)
+    seen = g.spread(e, spark.createDataFrame([("nation:1", "x"), ("part:1", "x")], "entity_id string, tag string"), 1)
+    return g.strip_orphans(e, seen).select("source_id", "rel", "target_id", "relation_id")
 
 
-@add("g13_k_hops", """, und as (select source_id as a, target_id as b from places union select target_id, source_id from places),
-h(id, d) as (select 'supplier:1', 0 union select b, d + 1 from h join und on a = id where d < 3) select id as entity_id, min(d) as hops from h group by 1""")
+@add("g13_k_hops", UND + """, h1 as (select 'supplier:1' as id, 0 as d union select b, 1 from und where a = 'supplier:1'), h2 as (from h1 union select b, 2 from h1 join und on a = id), h3 as (from h2 union select b, 3 from h2 join und on a = id)
+select id as entity_id, min(d) as hops from h3 group by 1""")
 def g13(spark, sf):
-    e, start = places(spark, sf), spark.createDataFrame([("supplier:1", "x")], "entity_id string, tag string")
-    out = None
-    for k in range(4):
-        x = g.spread(e, start, k).select("entity_id", F.lit(k).alias("hops"))
-        out = x if out is None else out.union(x)
-    return out.groupBy("entity_id").agg(F.min("hops").alias("hops"))
+    start = spark.createDataFrame([("supplier:1", "x")], "entity_id string, tag string")
+    return g.hops(t.graph(spark, sf), start, 3).select("entity_id", "hops")
+
+
+#: Rules over the graph, with the types of their ends.
+RULES = [
+    ([("LOCATED_IN", "Supplier", "Nation"), ("PART_OF", "Nation", "Region")], "OPERATES_IN", 0.8),
+    ([("LOCATED_IN", "Supplier", "Nation")], "BASED_IN", 0.5),
+    ([("PART_OF", "Region", "Nation")], "NEVER", 0.9),
+    ([("SUPPLIES", "Supplier", "Part")], "SUPPLIES", 0.9),
+]
 
 
-@add("g14_two_hop_rules", """, f as (select a.source_id as s, b.target_id as o, a.relation_id as r0, b.relation_id as r1, a.confidence as c0, b.confidence as c1, a.target_id as via from places a join places b on a.target_id = b.source_id where a.rel = 'LOCATED_IN' and b.rel = 'PART_OF'),
-m as (select *, row_number() over (partition by s, o order by r0, r1) as n from f) select s as source_id, 'OPERATES_IN' as rel, o as target_id, via, round(least(1.0, c0 * c1 * 0.8), 3) as confidence from m where n = 1 order by r0, r1 limit 500""")
+@add("g14_two_hop_rules", """, ty as (select g.*, s.type as s, o.type as o from graph g join entities s on s.entity_id = source_id join entities o on o.entity_id = target_id),
+m as (select 0 as rule, a.source_id, 'OPERATES_IN' as rel, b.target_id, a.relation_id as r0, b.relation_id as r1, a.confidence * b.confidence * 0.8 as c from ty a join ty b on a.target_id = b.source_id where a.rel = 'LOCATED_IN' and a.s = 'Supplier' and a.o = 'Nation' and b.rel = 'PART_OF' and b.o = 'Region'
+  union all select 1, source_id, 'BASED_IN', target_id, relation_id, null, confidence * 0.5 from ty where rel = 'LOCATED_IN' and s = 'Supplier' and o = 'Nation'),
+f as (select *, row_number() over (partition by source_id, rel, target_id order by rule, r0, r1) as n from m where source_id <> target_id)
+select source_id, rel, target_id, rule, r0, r1, round(least(1.0, c), 3) as confidence from f where n = 1 order by rule, r0, r1 limit 500""")
 def g14(spark, sf):
-    return g.infer_two_hop(places(spark, sf), "LOCATED_IN", "PART_OF", "OPERATES_IN", 0.8)
+    """Of four rules one has no matching types and one only finds edges that exist."""
+    return g.infer(t.graph(spark, sf), t.entities(spark, sf), RULES)
 
 
 @add("g17_islands", "select entity_id from entities where entity_id not in (select source_id from relations where rel <> 'MENTIONS' union select target_id from relations where rel <> 'MENTIONS')")
@@ -134,9 +170,9 @@ def g3(spark, sf):
     return g.edge_evidence(rel(spark, sf).where("rel <> 'MENTIONS'"))
 
 
-@add("p17_graph_stats", ", x as (select source_id as e from places union all select target_id from places) select count(distinct e) as nodes, (select count(*) from places) as edges, 2 * (select count(*) from places) / greatest(count(distinct e), 1)::double as avg_degree from x")
+@add("p17_graph_stats", ", x as (select source_id as e from graph union all select target_id from graph) select count(distinct e) as nodes, (select count(*) from graph) as edges, 2 * (select count(*) from graph) / greatest(count(distinct e), 1)::double as avg_degree from x")
 def p17(spark, sf):
-    return g.stats(places(spark, sf))
+    return g.stats(t.graph(spark, sf))
 
 
 @add("p18_date_range", "select min(first_seen) as first_seen, max(last_seen) as last_seen from entities")
@@ -151,7 +187,7 @@ def p1(spark, sf):
 
 @add("p2_documents_between", "select doc_id from docs where published_at between '1997-01-01' and '1997-03-31'")
 def p2(spark, sf):
-    return t.documents(spark, sf).where(F.col("published_at").between("1997-01-01", "1997-03-31")).select("doc_id")
+    return t.documents(spark, sf, "1997-01-01", "1997-03-31").select("doc_id")
 
 
 @add("p3_relation_filter", "select relation_id from relations where rel in ('SUPPLIES', 'ORDERS') and rel not in ('ORDERS') and kind in ('asserted', 'inferred')")
@@ -167,11 +203,12 @@ def p14(spark, sf):
     return g.strip_orphans(r, n).select("relation_id", "confidence")
 
 
-@add("p15_region_lens", """, und as (select source_id as a, target_id as b from places union select target_id, source_id from places), h1 as (select 'region:2' as id union select b from und where a = 'region:2'), h2 as (from h1 union select b from h1 join und on a = id)
-select (select count(*) from h2) as nodes, count(*) as edges from places where source_id in (from h2) and target_id in (from h2)""")
+@add("p15_region_lens", UND + """, h1 as (select 'region:2' as id union select b from und where a = 'region:2'), h2 as (from h1 union select b from h1 join und on a = id), h3 as (from h2 union select b from h2 join und on a = id)
+select (select count(*) from h3) as nodes, count(*) as edges from graph where source_id in (from h3) and target_id in (from h3)""")
 def p15(spark, sf):
-    e = places(spark, sf)
-    n = g.spread(e, spark.createDataFrame([("region:2", "x")], "entity_id string, tag string"), 2).select("entity_id")
+    """Three steps: nations, their suppliers, and the parts of those."""
+    e = t.graph(spark, sf)
+    n = g.spread(e, spark.createDataFrame([("region:2", "x")], "entity_id string, tag string"), 3).select("entity_id")
     return n.agg(F.count("*").alias("nodes")).crossJoin(g.strip_orphans(e, n).agg(F.count("*").alias("edges")))  # one row each
 
 
@@ -182,7 +219,7 @@ def p16(spark, sf):
 
 @add("j1_relations_of_window", IN_WINDOW + " select relation_id, doc_id from inw")
 def j1(spark, sf):
-    d = t.documents(spark, sf).where(F.col("published_at").between(*WINDOW)).select("doc_id")
+    d = t.documents(spark, sf, *WINDOW).select("doc_id")
     return rel(spark, sf).join(d, "doc_id").select("relation_id", "doc_id")
 
 
@@ -212,21 +249,16 @@ def j8(spark, sf):
     return t.entities(spark, sf).join(m, "entity_id", "left").groupBy("type").agg(F.count("*").alias("entities"), F.count_if(F.col("n") >= 2).alias("repeated"), F.count_if(F.col("n") >= 25).alias("frequent"))
 
 
-@add("j16_pair_closed", TREND + " select relation_id from (select *, row_number() over () as z from places) where source_id in (from t) or target_id in (select 'nation:' || n_nationkey from nation where n_regionkey = 1) and source_id in (select entity_id from entities where type = 'Supplier')")
+@add("j16_pair_closed", TOP.format(k=300) + " select relation_id from graph where source_id in (select entity_id from t) and target_id in (select entity_id from t)")
 def j16(spark, sf):
-    s = t.entities(spark, sf).where("type = 'Supplier'").select("entity_id")
-    chosen = s.withColumn("n", F.row_number().over(Window.orderBy("entity_id"))).where("n % 3 = 1").select(F.col("entity_id").alias("source_id"))  # a small dimension
-    e = places(spark, sf)
-    n = t.table(spark, sf, "nation").where("n_regionkey = 1").select(F.concat(F.lit("nation:"), "n_nationkey").alias("target_id"))
-    b = e.join(n, "target_id", "left_semi").join(s.withColumnRenamed("entity_id", "source_id"), "source_id", "left_semi")
-    return e.join(chosen, "source_id", "left_semi").select("relation_id").union(b.select("relation_id")).distinct()
+    return g.strip_orphans(t.graph(spark, sf), busiest(spark, sf, 300)).select("relation_id")
 
 
-@add("j17_new_edges", ", c as (select distinct source_id, target_id from relations where rel = 'ORDERS') select count(*) as fresh from c where not exists (select 1 from relations r where r.rel = 'SUPPLIES' and r.target_id = c.target_id and r.kind = 'hypothesis')")
+@add("j17_new_edges", ", c as (select distinct source_id, case when kind = 'inferred' then 'SUPPLIES' else 'RESELLS' end as rel, target_id from relations where rel in ('SUPPLIES', 'ORDERS')) select source_id, rel, target_id from c where not exists (select 1 from relations r where r.source_id = c.source_id and r.rel = c.rel and r.target_id = c.target_id)")
 def j17(spark, sf):
     r = rel(spark, sf)
-    have = r.where("rel = 'SUPPLIES' and kind = 'hypothesis'").select("target_id")
-    return r.where("rel = 'ORDERS'").select("source_id", "target_id").distinct().join(have, "target_id", "left_anti").agg(F.count("*").alias("fresh"))
+    wanted = r.where("rel in ('SUPPLIES', 'ORDERS')").select("source_id", F.when(F.col("kind") == "inferred", "SUPPLIES").otherwise("RESELLS").alias("rel"), "target_id")
+    return g.new_edges(wanted, r)
 
 
 @add("j18_evidence_count", "select p.relation_id, (select count(*) from relations r where r.source_id = p.source_id and r.rel = 'SUPPLIES') as evidence_count from places p")
@@ -260,9 +292,9 @@ def u1(spark, sf):
     return g.endpoints(rel(spark, sf).select("source_id", "target_id")).groupBy("entity_id").agg(F.count("*").alias("n"))
 
 
-@add("u2_union_distinct", "select source_id as entity_id from places union select target_id from places")
+@add("u2_union_distinct", "select source_id as entity_id from graph union select target_id from graph")
 def u2(spark, sf):
-    e = places(spark, sf)
+    e = t.graph(spark, sf)
     return e.select(F.col("source_id").alias("entity_id")).union(e.select("target_id")).distinct()
 
 
@@ -284,7 +316,7 @@ def a8(spark, sf):
 
 @add("a9_mention_overlap", IN_WINDOW + " select target_id as entity_id, count(distinct doc_id) as docs from inw where rel = 'MENTIONS' group by 1 having count(distinct doc_id) >= 2")
 def a9(spark, sf):
-    r = g.view(rel(spark, sf), t.documents(spark, sf), *WINDOW, include=["MENTIONS"])
+    r = g.view(rel(spark, sf), t.documents(spark, sf, *WINDOW), include=["MENTIONS"])
     return r.groupBy(F.col("target_id").alias("entity_id")).agg(F.count_distinct("doc_id").alias("docs")).where("docs >= 2")
 
 

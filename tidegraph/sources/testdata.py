@@ -16,9 +16,16 @@ def day(column: str):
     return F.date_format(F.col(column).cast("date"), "yyyy-MM-dd")
 
 
-def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream-like mentions: entity_id, doc_id, published, source."""
-    return table(spark, sf_dir, "events").select(
+def _between(column: str, start: str | None, end: str | None):
+    """Whole days from start to end, as a range of the stored column, which reaches the scan."""
+    c = F.col(column)
+    low = c >= F.lit(start).cast("timestamp") if start else F.lit(True)
+    return low & (c < F.timestamp_add("DAY", F.lit(1), F.lit(end).cast("timestamp"))) if end else low
+
+
+def mentions(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Stream-like mentions: entity_id, doc_id, published, source; all, or those of the days from start to end."""
+    return table(spark, sf_dir, "events").where(_between("ts", start, end)).select(
         F.concat(F.lit("user:"), "user_id").alias("entity_id"),
         F.col("event_id").alias("doc_id"),
         day("ts").alias("published"),
@@ -26,9 +33,9 @@ def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as documents: doc_id, published_at, source, status."""
-    return table(spark, sf_dir, "orders").select(
+def documents(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Orders as documents: doc_id, published_at, source, status; all, or those of the days from start to end."""
+    return table(spark, sf_dir, "orders").where(_between("o_orderdate", start, end)).select(
         F.concat(F.lit("doc:"), "o_orderkey").alias("doc_id"),
         day("o_orderdate").alias("published_at"),
         F.col("o_orderpriority").alias("source"),
@@ -50,25 +57,31 @@ def text_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def relations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Edges: a document mentions a part, a supplier supplies it, a customer orders it."""
-    line = table(spark, sf_dir, "lineitem").join(
-        table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey"
-    )
+    """Edges: a document mentions a part, a supplier supplies it, a customer orders it.
+
+    A union of one select per relation, so that a filter on rel leaves the other branches, and
+    the join that only orders need, out of the plan.
+    """
+    line = table(spark, sf_dir, "lineitem")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     key = (F.col("l_orderkey") * 100000 + F.col("l_partkey")) * 10000 + F.col("l_suppkey")
     kind = F.when(F.col("l_returnflag") == "A", "asserted").when(F.col("l_returnflag") == "N", "inferred").otherwise("hypothesis")
     doc = F.concat(F.lit("doc:"), "l_orderkey")
-    edges = F.explode(F.array(*(
-        F.struct(F.lit(i).alias("i"), s.alias("source_id"), F.lit(r).alias("rel"))
-        for i, (s, r) in enumerate((
-            (doc, "MENTIONS"),
-            (F.concat(F.lit("supplier:"), "l_suppkey"), "SUPPLIES"),
-            (F.concat(F.lit("customer:"), "o_custkey"), "ORDERS"),
-        ))
-    )))
-    return line.select(
-        key.alias("k"), edges.alias("e"), F.concat(F.lit("part:"), "l_partkey").alias("target_id"), kind.alias("kind"),
-        F.round(1 - F.col("l_discount"), 2).alias("confidence"), doc.alias("doc_id"), F.concat("l_returnflag", "l_linestatus").alias("snippet"),
-    ).select((F.col("k") * 3 + F.col("e.i")).alias("relation_id"), "e.source_id", "e.rel", "target_id", "kind", "confidence", "doc_id", "snippet")
+
+    def edges(lines: DataFrame, i: int, rel: str, source) -> DataFrame:
+        return lines.select(
+            (key * 3 + i).alias("relation_id"), source.alias("source_id"), F.lit(rel).alias("rel"), F.concat(F.lit("part:"), "l_partkey").alias("target_id"),
+            kind.alias("kind"), F.round(1 - F.col("l_discount"), 2).alias("confidence"), doc.alias("doc_id"), F.concat("l_returnflag", "l_linestatus").alias("snippet"),
+        )
+
+    said = edges(line, 0, "MENTIONS", doc).union(edges(line, 1, "SUPPLIES", F.concat(F.lit("supplier:"), "l_suppkey")))
+    return said.union(edges(line.join(orders, "l_orderkey"), 2, "ORDERS", F.concat(F.lit("customer:"), "o_custkey")))
+
+
+def graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All edges of the graph, relations and places: source_id, rel, target_id, relation_id, confidence."""
+    own = ["source_id", "rel", "target_id", "relation_id", "confidence"]
+    return relations(spark, sf_dir).select(*own).union(places(spark, sf_dir).select(*own))
 
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,6 +134,7 @@ relations as (
   union all select k + 2, 'customer:' || o_custkey, 'ORDERS', 'part:' || l_partkey, kind, confidence, 'doc:' || l_orderkey, l_returnflag || l_linestatus from lines),
 places as (select 'supplier:' || s_suppkey as source_id, 'LOCATED_IN' as rel, 'nation:' || s_nationkey as target_id, s_suppkey as relation_id, 0.9::double as confidence from supplier
   union all select 'nation:' || n_nationkey, 'PART_OF', 'region:' || n_regionkey, n_nationkey + 1000000000, 0.8::double from nation),
+graph as (select source_id, rel, target_id, relation_id, confidence from relations union all select source_id, rel, target_id, relation_id, confidence from places),
 seen as (select entity_id, min(d) as first_seen, max(d) as last_seen from (
   select 'part:' || l_partkey as entity_id, d from lines union all select 'supplier:' || l_suppkey, d from lines union all select 'customer:' || o_custkey, d from lines) group by 1),
 entities as (select n.*, first_seen, last_seen from (
