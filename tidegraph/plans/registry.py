@@ -33,3 +33,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 from tidegraph.plans import graph_queries, health_queries, resolve_queries, select_queries, trend_queries  # noqa: E402, F401, I001
 from tidegraph.plans import ingest_queries  # noqa: E402, F401  (uses SQL of the others)
 from tidegraph.plans import cleanup_queries  # noqa: E402, F401  (uses SQL of the others)
+from tidegraph.plans import operations_queries  # noqa: E402, F401  (uses SQL of the others)

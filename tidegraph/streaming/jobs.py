@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +37,37 @@ def error_sessions(stream: DataFrame, gap: str = "1 hour", late: str = "2 hours"
     return e.groupBy(F.session_window("ts", gap), "source").agg(F.count("*").alias("errors"))
 
 
+def _benched(key, frames, state):
+    """Rows of one document that enter the bench; the state is when its last entry expires."""
+    if state.hasTimedOut:
+        state.remove()
+        return
+    until = state.get[0] if state.exists else None
+    kept = []
+    for at in sorted(x for f in frames for x in f["scored_at"]):
+        if until is None or at.timestamp() >= until:
+            until = at.timestamp() + key[1] * 86400
+            kept.append(at)
+    state.update((until,))
+    state.setTimeoutTimestamp(int(until * 1000))
+    if kept:
+        yield pd.DataFrame({"doc_id": [key[0]] * len(kept), "scored_at": kept})
+
+
+def bench(stream: DataFrame, days: int = 5, late: str = "2 days") -> DataFrame:
+    """Benched documents (doc_id, scored_at, expires_at); one already on the bench is ignored until it has expired.
+
+    Exact whatever the batches, for rows in order within `late`: the built-in deduplication keeps
+    keys until the end of a later batch. The state of a document goes after its expiry, so it
+    never holds more than the bench and what may still come late. Rows without id or time are left out.
+    """
+    rows = stream.where("doc_id is not null and scored_at is not null").withWatermark("scored_at", late)
+    once = rows.groupBy("doc_id", F.lit(days).alias("days")).applyInPandasWithState(
+        _benched, "doc_id string, scored_at timestamp", "until double", "append", "EventTimeTimeout"
+    )
+    return once.withColumn("expires_at", F.timestamp_add("DAY", F.lit(days), F.col("scored_at")))
+
+
 def run_available(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
     """Everything there is, then stop. A complete result replaces the last one; in append mode each
     batch has its own folder (column `batch`), so a batch that is run again replaces itself."""
