@@ -37,7 +37,7 @@ def error_sessions(stream: DataFrame, gap: str = "1 hour", late: str = "2 hours"
     return e.groupBy(F.session_window("ts", gap), "source").agg(F.count("*").alias("errors"))
 
 
-def _benched(key, frames, state):
+def _benched(days, key, frames, state):
     """Rows of one document that enter the bench; the state is when its last entry expires."""
     if state.hasTimedOut:
         state.remove()
@@ -46,7 +46,7 @@ def _benched(key, frames, state):
     kept = []
     for at in sorted(x for f in frames for x in f["scored_at"]):
         if until is None or at.timestamp() >= until:
-            until = at.timestamp() + key[1] * 86400
+            until = at.timestamp() + days * 86400
             kept.append(at)
     state.update((until,))
     state.setTimeoutTimestamp(int(until * 1000))
@@ -62,8 +62,8 @@ def bench(stream: DataFrame, days: int = 5, late: str = "2 days") -> DataFrame:
     never holds more than the bench and what may still come late. Rows without id or time are left out.
     """
     rows = stream.where("doc_id is not null and scored_at is not null").withWatermark("scored_at", late)
-    once = rows.groupBy("doc_id", F.lit(days).alias("days")).applyInPandasWithState(
-        _benched, "doc_id string, scored_at timestamp", "until double", "append", "EventTimeTimeout"
+    once = rows.groupBy("doc_id").applyInPandasWithState(
+        lambda *x: _benched(days, *x), "doc_id string, scored_at timestamp", "until double", "append", "EventTimeTimeout"
     )
     return once.withColumn("expires_at", F.timestamp_add("DAY", F.lit(days), F.col("scored_at")))
 
