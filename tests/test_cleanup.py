@@ -64,3 +64,13 @@ def test_similar_pairs_include_names_inside_words(spark):
     names = spark.createDataFrame([(w, "Org", w, i) for i, w in enumerate(words)], "id string, type string, name string, ord int")
     got = rows(similar_pairs(names, 0.25).select("a", "b"))
     assert got == [("ac", "acme"), ("b", "beta"), ("beta", "betamax")]
+
+
+def test_repair(spark):
+    rows = [(1, "cleaned", None, "<p>a <b>b</b></p>"), (2, "cleaned", None, None), (3, "cleaned", "t", None), (4, "error", None, "<p>x</p>"), (5, None, None, None)]
+    d = spark.createDataFrame(rows, "doc_id int, status string, text string, html string")
+    got = {r["doc_id"]: (r["done"], r["status"], r["text"], r["error"] is None, r["content_hash"] is None) for r in c.repair(d).collect()}
+    assert got == {
+        1: ("recovered", "cleaned", "a b", True, False), 2: ("lost", "error", None, False, True), 3: ("kept", "cleaned", "t", True, False),
+        4: ("kept", "error", None, True, True), 5: ("kept", None, None, True, True),
+    }

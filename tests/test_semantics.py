@@ -229,3 +229,70 @@ def test_entry_without_llm():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries()) and len(e.queries()) > 100
+
+
+def slow_inference(relations, kinds, rules, cap):
+    have = {(s, r, t) for _, s, r, t, _ in relations}
+    ends = lambda x, a: (x[2], kinds.get(x[1]), kinds.get(x[3])) == a
+    best = {}
+    for i, (a, new, discount) in enumerate(rules):
+        ways = [(x, y) for x in relations for y in relations if ends(x, a[0]) and ends(y, a[1]) and x[3] == y[1]] if len(a) > 1 else [(x, None) for x in relations if ends(x, a[0])]
+        for x, y in ways:
+            c = (y or x)[3]
+            if x[1] != c and (x[1], new, c) not in have:
+                key = (i, x[0], y[0] if y else None)
+                at = (x[1], new, c)
+                if at not in best or key < best[at][0]:
+                    best[at] = (key, int(min(1.0, x[4] * (y[4] if y else 1) * discount) * 1000 + 0.5) / 1000)  # halves go up
+    out = sorted(best.items(), key=lambda z: z[1][0])[:cap]
+    return [(*at, *key, conf) for at, (key, conf) in out]
+
+
+@pytest.mark.parametrize("cap", [1, 3, 1000])
+def test_inference_equals_all_pairs(spark, cap):
+    """Hubs, equal steps, known edges and loops, with caps below and above what there is."""
+    rng = random.Random(cap)
+    rel = [(i, rng.choice("abcdefgh"), rng.choice("PPPQQN"), rng.choice("hhhabcdefg"), rng.randint(1, 8) / 8) for i in range(120)]
+    kinds = {k: "T" for k in "abcdefgh"}
+    rules = [([("P", "T", "T"), ("Q", "T", "T")], "N", 0.5), ([("P", "T", "T")], "M", 0.5), ([("Q", "T", "T"), ("P", "T", "T")], "M", 1.0)]
+    r = spark.createDataFrame(rel, "relation_id long, source_id string, rel string, target_id string, confidence double")
+    e = spark.createDataFrame(list(kinds.items()), "entity_id string, type string")
+    assert [tuple(x) for x in graph.infer(r, e, rules, cap).collect()] == slow_inference(rel, kinds, rules, cap)
+
+
+def slow_clusters(ents, size, least, most):
+    order = sorted(ents, key=lambda d: (-len(ents[d]), d))
+    out, used = [], set()
+    for seed in order:
+        if seed in used:
+            continue
+        group, union = [seed], set(ents[seed])
+        for d in order:
+            if len(group) < size and d not in used and d != seed and len(union & ents[d]) >= least:
+                group.append(d)
+                union |= ents[d]
+        if len(group) > 1:
+            used |= set(group)
+            out.append((group, len(union)))
+        if len(out) >= most:
+            break
+    return [(k, i, d, n) for k, (group, n) in enumerate(out) for i, d in enumerate(group)]
+
+
+@pytest.mark.parametrize(("size", "least", "most"), [(3, 1, 2), (4, 2, 9)])
+def test_clusters_equal_the_loop(spark, size, least, most):
+    rng = random.Random(size)
+    ents = {f"d{i:02}": {rng.randint(0, 30) for _ in range(rng.randint(1, 5))} for i in range(18)}
+    rows = [(d, f"e{x}") for d, xs in ents.items() for x in xs]
+    m = spark.createDataFrame(rows + rows[:3] + [(None, "e1"), ("d99", None)], "doc_id string, entity_id string")
+    got = sorted(map(tuple, graph.clusters(m, size, least, most).select("cluster", "place", "doc_id", "entities").collect()))
+    assert got == slow_clusters(ents, size, least, most) and got
+    assert graph.clusters(m.limit(0)).count() == 0
+
+
+def test_style_of_nodes_and_edges(spark):
+    n = spark.createDataFrame([("a", 1, None, "2024-02-28", None), ("b", 8, 9.0, "2024-02-16", "2024-02-01"), ("c", 0, 0.8, None, "x"), ("d", None, 0.0, "2023-01-01", "2023-12-10")], "id string, degree int, velocity double, first_seen string, last_seen string")
+    got = {r["id"]: (r["size"], r["opacity"], r["labelled"]) for r in graph.node_style(n, AS_OF).collect()}
+    assert got == {"a": (45.0, 0.5, False), "b": (80.0, 0.8, True), "c": (pytest.approx(42.0), 0.5, True), "d": (30.0, 0.6, False)}
+    w = spark.createDataFrame([(None,), (0.0,), (1.0,), (2.0,), (-1.0,)], "c double").select(graph.edge_width(F.col("c")))
+    assert [r[0] for r in w.collect()] == [2.25, 2.25, 4.0, 4.0, 0.5]

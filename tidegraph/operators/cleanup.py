@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegraph.functions import pages
 from tidegraph.functions.text import name_similarity, normalize_name
 from tidegraph.operators.resolve import candidates
 
@@ -82,3 +83,21 @@ def promotion(runs: DataFrame, valid: float = 0.95, entities: float = 0.85, rela
     m = runs.groupBy("model").agg(F.count("*").alias("docs"), F.avg("schema_valid").alias("valid_rate"), F.avg("entity_pct").alias("entity_pct"), F.avg("relation_pct").alias("relation_pct"))
     ok = (F.col("valid_rate") >= valid) & (F.col("entity_pct") >= entities) & (F.col("relation_pct") >= relations) & (F.col("docs") >= docs)
     return m.withColumn("promotable", F.coalesce(ok, F.lit(False)).cast("int"))
+
+
+def repair(documents: DataFrame) -> DataFrame:
+    """documents (status, text, html and more) with lost texts read again from their pages, and what was done.
+
+    Of documents in status cleaned whose text is null: `recovered`, where there is a page, with
+    its text and a new content_hash; else `lost`, which sets status and error. All others are
+    `kept` as they are, with a null error and the hash of their text.
+    """
+    need = (F.coalesce(F.col("status"), F.lit("")) == "cleaned") & F.col("text").isNull()
+    page = pages.cleaned(documents.withColumn("_again", F.when(need, F.col("html"))), "_again")
+    done = F.when(need & F.col("html").isNull(), "lost").when(need, "recovered").otherwise("kept")
+    text = F.when(F.col("done") == "recovered", F.col("page.text")).otherwise(F.col("text"))
+    return (
+        page.withColumn("done", done).withColumn("text", text).withColumn("content_hash", F.sha2("text", 256))
+        .withColumn("status", F.when(F.col("done") == "lost", "error").otherwise(F.col("status")))
+        .withColumn("error", F.when(F.col("done") == "lost", "data_loss: both raw and text missing")).drop("_again", "page")
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegraph.functions.scoring import bridge_score
@@ -167,6 +167,11 @@ def infer(relations: DataFrame, entities: DataFrame, rules: list[Rule], cap: int
     left out; of several ways to one edge the first by (rule, relation ids) counts, over all
     rules. confidence is the product of the antecedents' times the discount, 1 at most. The
     first `cap` by (rule, relation ids) stay. Rules are a table: all are matched in one pass.
+
+    Of equal steps the one with the lowest relation_id counts. Of the edges that lead on from
+    an entity a chain takes the first cap + 1 and as many more as its start has known edges:
+    the rest can't be among the first `cap`, as one loop and the known edges are all that may
+    drop out. They come in blocks, which split an entity of very many edges over the tasks.
     """
     spark = relations.sparkSession
     rows = [(i, *a[0], *(a[1] if len(a) > 1 else (None, None, None)), new, float(discount)) for i, (a, new, discount) in enumerate(rules)]
@@ -178,11 +183,17 @@ def infer(relations: DataFrame, entities: DataFrame, rules: list[Rule], cap: int
     first = typed.join(of, (F.col("rel") == F.col("rel0")) & (F.col("s") == F.col("s0")) & (F.col("t") == F.col("t0"))).select(
         "rule", "rel1", "t1", "new", "discount", F.col("source_id").alias("a"), F.col("target_id").alias("b"), F.col("relation_id").alias("r0"), F.col("confidence").alias("c0")
     )
+    first = first.groupBy("rule", "rel1", "t1", "new", "discount", "a", "b").agg(F.min(F.struct("r0", "c0")).alias("m")).select("rule", "rel1", "t1", "new", "discount", "a", "b", "m.*")
+    have = relations.select(F.col("source_id").alias("a"), F.col("rel").alias("new"), F.col("target_id").alias("c")).join(of.select("new").distinct(), "new", "left_semi").distinct()
     alone = first.where("rel1 is null").select("rule", "new", "discount", "a", F.col("b").alias("c"), "r0", F.lit(None).cast("long").alias("r1"), "c0", F.lit(1.0).alias("c1"))
     # the second antecedent's source is the first one's target, so its type needs no second look
-    second = typed.select(F.col("rel").alias("rel1"), F.col("t").alias("t1"), F.col("source_id").alias("b"), F.col("target_id").alias("c"), F.col("relation_id").alias("r1"), F.col("confidence").alias("c1"))
-    chains = first.join(second, ["rel1", "t1", "b"]).select("rule", "new", "discount", "a", "c", "r0", "r1", "c0", "c1")
-    have = relations.select(F.col("source_id").alias("a"), F.col("rel").alias("new"), F.col("target_id").alias("c")).distinct()
+    second = typed.groupBy(F.col("rel").alias("rel1"), F.col("t").alias("t1"), F.col("source_id").alias("b"), F.col("target_id").alias("c")).agg(F.min(F.struct(F.col("relation_id").alias("r1"), F.col("confidence").alias("c1"))).alias("m"))
+    rank = F.row_number().over(Window.partitionBy("rel1", "t1", "b").orderBy("m.r1"))
+    second = second.select("rel1", "t1", "b", "c", "m.*", F.floor((rank - 1) / (cap + 1)).alias("block"))
+    known = have.groupBy("a", "new").agg(F.count("*").alias("known"))
+    blocks = F.sequence(F.lit(0).cast("long"), F.ceil(F.coalesce("known", F.lit(0)) / (cap + 1)))
+    onward = first.where("rel1 is not null").join(known, ["a", "new"], "left").withColumn("block", F.explode(blocks))
+    chains = onward.join(second, ["rel1", "t1", "b", "block"]).select("rule", "new", "discount", "a", "c", "r0", "r1", "c0", "c1")
     found = alone.union(chains).where("a <> c").join(have, ["a", "new", "c"], "left_anti")
     once = found.groupBy("a", "new", "c").agg(F.min(F.struct("rule", "r0", "r1", "c0", "c1", "discount")).alias("m"))
     return (
@@ -194,6 +205,102 @@ def infer(relations: DataFrame, entities: DataFrame, rules: list[Rule], cap: int
     )
 
 
+def clusters(mentions: DataFrame, size: int = 5, least: int = 1, most: int = 10) -> DataFrame:
+    """(cluster, place, doc_id, entities): greedy groups of documents that share entities.
+
+    mentions: doc_id, entity_id; rows with a null count for nothing, repeats once. Documents
+    are taken by number of entities, then doc_id. Each that is still free starts a group; one
+    pass over the free documents in that order adds those that share at least `least` entities
+    with the group's so far, up to `size`. Groups of one are dropped and leave their document
+    free; `most` groups are made. entities counts the different entities of a group.
+
+    The order asks for one step after the other, but only size x most documents are ever
+    chosen: each step is a query whose first row the driver takes. Starts without a partner
+    are passed over in growing portions, up to 256 at once. No rows in, no rows out.
+    """
+    m = materialise(mentions.select(F.col("doc_id").cast("string").alias("doc_id"), "entity_id").dropna().distinct(), "mentions")
+    n = m.groupBy("doc_id").agg((-F.count("*")).alias("n"))
+    links = m.join(m.groupBy("entity_id").count().where("count > 1"), "entity_id", "left_semi")
+    links = materialise(links.join(n, "doc_id").select("entity_id", F.struct("n", "doc_id").alias("doc")), "links")
+    name = F.col("doc.doc_id")
+    after = lambda doc: (F.col("doc") > F.struct(F.lit(doc["n"]).cast("long").alias("n"), F.lit(doc["doc_id"]).alias("doc_id"))) if doc else F.lit(True)
+    used, groups, tried, portion = [], [], None, 1
+    while len(groups) < most:
+        free = links.where(~name.isin(used)) if used else links
+        front = free.where(after(tried)).select("doc").distinct().orderBy("doc").limit(portion).agg(F.collect_list("doc")).first()[0]
+        if not front:
+            break
+        starts = links.where(name.isin([d["doc_id"] for d in front])).select("entity_id", F.col("doc").alias("start"))
+        met = starts.join(free, "entity_id").where("start <> doc").groupBy("start", "doc").agg(F.count("*").alias("shared")).where(F.col("shared") >= least)
+        start = met.agg(F.min("start")).first()[0]
+        tried, portion = start or max(front), 1 if start else min(portion * 4, 256)
+        if not start:
+            continue
+        group, last = [start["doc_id"]], None
+        while len(group) < size:
+            own = links.where(name.isin(group)).select("entity_id").distinct()
+            others = free.where(~name.isin(group)).where(after(last)).join(own, "entity_id", "left_semi")
+            last = others.groupBy("doc").agg(F.count("*").alias("shared")).where(F.col("shared") >= least).agg(F.min("doc")).first()[0]
+            if not last:
+                break
+            group.append(last["doc_id"])
+        groups.append(group)
+        used += group
+    rows = [(c, i, doc) for c, group in enumerate(groups) for i, doc in enumerate(group)]
+    chosen = mentions.sparkSession.createDataFrame(rows, "cluster int, place int, doc_id string")
+    size_of = m.join(chosen, "doc_id").groupBy("cluster").agg(F.count_distinct("entity_id").alias("entities"))
+    return chosen.join(size_of, "cluster")
+
+
+def document_node(doc_id: Column, title: Column, url: Column, source: Column, published_at: Column) -> Column:
+    """A document as JSON node; its id is its label where it has no title, and empty fields are left out."""
+    some = lambda c: F.when(c.cast("string") != "", c.cast("string"))
+    return F.to_json(
+        F.struct(
+            F.concat(F.lit("doc:"), doc_id).alias("id"), F.coalesce(some(title), doc_id.cast("string")).alias("label"), F.lit("Document").alias("type"),
+            some(url).alias("url"), some(source).alias("source"), some(published_at).alias("publishedAt"),
+        )
+    )
+
+
+def edge_object() -> Column:
+    """A relation as JSON edge; null fields are left out."""
+    name = F.concat(F.lit("e:"), "relation_id", F.lit(":"), "source_id", F.lit("->"), "target_id")
+    return F.to_json(F.struct(name.alias("id"), F.col("source_id").alias("source"), F.col("target_id").alias("target"), "rel", "kind", "confidence", F.col("doc_id").alias("docId")))
+
+
+# Sizes and steps of how nodes and edges are drawn.
+BASE_SIZE, LEAST_SIZE, MOST_SIZE = 30, 20, 80
+BOOST = ((7, 1.5), (14, 1.3), (30, 1.15))
+OPACITY = ((7, 1.0), (14, 0.9), (30, 0.8), (60, 0.7), (90, 0.6))
+THINNEST, THICKEST = 0.5, 4.0
+
+
+def by_age(day: Column, as_of: str, steps, rest: float) -> Column:
+    """The value of the first step (days, value) that an age reaches; `rest` for older and for unknown days."""
+    age = F.datediff(F.lit(as_of).cast("date"), day.try_cast("date"))
+    return F.coalesce(*(F.when(age <= days, F.lit(value)) for days, value in steps), F.lit(rest))
+
+
+def node_style(nodes: DataFrame, as_of: str) -> DataFrame:
+    """nodes (degree, velocity, first_seen, last_seen and more) with size, opacity and labelled (when zoomed out).
+
+    A null velocity counts as 0, a null or zero degree as 1; an unknown day as long ago.
+    """
+    v, d = F.coalesce("velocity", F.lit(0.0)), F.greatest(F.coalesce("degree", F.lit(1)), F.lit(1))
+    size = BASE_SIZE * (1 + F.least(v, F.lit(3.0)) * 0.5) * by_age(F.col("first_seen"), as_of, BOOST, 1.0) * (1 + F.log2(d) * 0.5)
+    return nodes.select(
+        "*", F.least(F.greatest(size, F.lit(float(LEAST_SIZE))), F.lit(float(MOST_SIZE))).alias("size"), by_age(F.col("last_seen"), as_of, OPACITY, 0.5).alias("opacity"),
+        ((d > 5) | (v > 0.7)).alias("labelled"),
+    )
+
+
+def edge_width(confidence: Column) -> Column:
+    """Width by confidence in 0 to 1; null and 0 count as one half."""
+    c = F.when(F.coalesce(confidence, F.lit(0.0)) == 0, F.lit(0.5)).otherwise(confidence)
+    return THINNEST + F.greatest(F.lit(0.0), F.least(F.lit(1.0), c)) * (THICKEST - THINNEST)
+
+
 def new_edges(candidates: DataFrame, relations: DataFrame) -> DataFrame:
     """Candidates (source_id, rel, target_id) that no relation has, of any kind, each once."""
     key = ["source_id", "rel", "target_id"]

@@ -86,3 +86,11 @@ def p13(spark, sf):
 def j19(spark, sf):
     cfg = spark.range(9).select(F.concat(F.lit("feed"), "id").alias("feed_name"))
     return cfg.join(feeds(spark, sf), "feed_name", "left").groupBy("feed_name").agg(F.coalesce(F.sum("fetch_errors"), F.lit(0)).alias("errors"))
+
+
+@add("m9_repair", """select page_id, case when page_id % 4 > 1 or page_id % 5 = 0 then 'kept' when page_id % 3 = 0 then 'lost' else 'recovered' end as done,
+  case when page_id % 5 = 0 then 'extracted' when page_id % 4 <= 1 and page_id % 3 = 0 then 'error' else 'cleaned' end as status, cast(page_id % 4 > 1 or (page_id % 5 > 0 and page_id % 3 > 0) as int) as has_text from pages""")
+def m9(spark, sf):
+    k = F.col("page_id")
+    d = t.table(spark, sf, "pages").select("page_id", F.when(k % 5 == 0, "extracted").otherwise("cleaned").alias("status"), F.when(k % 4 > 1, F.col("url")).alias("text"), F.when(k % 3 > 0, F.col("html")).alias("html"))
+    return c.repair(d).select("page_id", "done", "status", F.col("text").isNotNull().cast("int").alias("has_text"))

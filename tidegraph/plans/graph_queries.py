@@ -148,10 +148,40 @@ def g17(spark, sf):
     return g.islands(t.entities(spark, sf), rel(spark, sf)).select("entity_id")
 
 
-@add("g18_node_style", "select entity_id, doc_count, round(greatest(20.0, least(60.0, 20 + 8 * log2(1 + doc_count))), 6) as size, cast(doc_count > 5 as int) as labelled from (select target_id as entity_id, count(*) as doc_count from relations where rel = 'MENTIONS' group by 1)")
+STYLE = """, deg as (select entity_id, count(*) as degree from (select source_id as entity_id from relations union all select target_id from relations) group by 1),
+ag as (select entity_id, degree, (degree % 5)::double as v, date_diff('day', first_seen::date, date '1998-08-01') as fa, date_diff('day', last_seen::date, date '1998-08-01') as la from entities join deg using (entity_id))"""
+
+
+@add("g18_node_style", STYLE + """ select entity_id, degree, round(greatest(20.0::double, least(80.0::double, 30 * (1 + least(v, 3.0::double) * 0.5::double) * (case when fa <= 7 then 1.5::double when fa <= 14 then 1.3::double when fa <= 30 then 1.15::double else 1.0::double end) * (1 + log2(degree) * 0.5::double))), 6) as size,
+cast(case when la <= 7 then 1.0 when la <= 14 then 0.9 when la <= 30 then 0.8 when la <= 60 then 0.7 when la <= 90 then 0.6 else 0.5 end as double) as opacity, cast(degree > 5 or v > 0.7 as int) as labelled from ag""")
 def g18(spark, sf):
-    n = rel(spark, sf).where("rel = 'MENTIONS'").groupBy(F.col("target_id").alias("entity_id")).agg(F.count("*").alias("doc_count"))
-    return n.select("entity_id", "doc_count", F.round(F.greatest(F.lit(20.0), F.least(F.lit(60.0), 20 + 8 * F.log2(1 + F.col("doc_count")))), 6).alias("size"), (F.col("doc_count") > 5).cast("int").alias("labelled"))
+    degree = g.endpoints(rel(spark, sf).select("source_id", "target_id")).groupBy("entity_id").agg(F.count("*").alias("degree"))
+    n = t.entities(spark, sf).join(degree, "entity_id").withColumn("velocity", (F.col("degree") % 5).cast("double"))
+    return g.node_style(n, "1998-08-01").select("entity_id", "degree", F.round("size", 6).alias("size"), "opacity", F.col("labelled").cast("int").alias("labelled"))
+
+
+@add("g18_edge_width", "select relation_id, round(0.5::double + confidence * 3.5::double, 6) as width from graph")
+def g18_width(spark, sf):
+    return t.graph(spark, sf).select("relation_id", F.round(g.edge_width(F.col("confidence")), 6).alias("width"))
+
+
+@add("g1_document_nodes", "select doc_id, json_object('id', 'doc:' || doc_id, 'label', case when coalesce(title, '') = '' then doc_id::varchar else title end, 'type', 'Document', 'source', source, 'publishedAt', published_at)::varchar as node from tdocs")
+def g1_documents(spark, sf):
+    d = t.text_documents(spark, sf)
+    return d.select("doc_id", g.document_node(F.col("doc_id"), F.col("title"), F.lit(None), F.col("source"), F.col("published_at")).alias("node"))
+
+
+@add("g1_edges", "select relation_id, json_object('id', 'e:' || relation_id || ':' || source_id || '->' || target_id, 'source', source_id, 'target', target_id, 'rel', rel, 'kind', kind, 'confidence', confidence, 'docId', doc_id)::varchar as edge from relations")
+def g1_edges(spark, sf):
+    return rel(spark, sf).select("relation_id", g.edge_object().alias("edge"))
+
+
+@add("g15_document_clusters")
+def g15(spark, sf):
+    """Groups of the extracted documents that no earlier run has taken (every fifth was); no SQL, as each step depends on the last."""
+    open_ = t.documents(spark, sf).where("status = 'extracted'").where(F.substring("doc_id", 5, 20).cast("long") % 5 > 0)
+    said = rel(spark, sf).where("rel = 'MENTIONS'").join(open_.select("doc_id"), "doc_id", "left_semi")
+    return g.clusters(said.select("doc_id", F.col("target_id").alias("entity_id")))
 
 
 @add("g1_nodes", "select entity_id, json_object('id', entity_id, 'label', name)::varchar as node from entities")
