@@ -152,12 +152,29 @@ def test_minhash_matches_brute_force(spark):
 
 
 def test_crowded_buckets_are_compared_block_by_block(spark, monkeypatch):
-    """One band of one minimum: every bucket is crowded with sets of many components."""
+    """Every pair may be linked, by its estimate, and estimates come strip by strip."""
     monkeypatch.setattr(minhash, "MARGIN", 2.0)
+    monkeypatch.setattr(minhash, "HUBS", 1)
+    monkeypatch.setattr(minhash, "STRIP", 2)
     rows = near_rows(seed=7, groups=5)
     assert grouped(spark, rows, block=3) == slow_groups(rows)
 
 
+def test_a_large_group_of_copies_that_are_hardly_alike(spark):
+    """Copies of one text with drawn words in place of others: most pairs are under the threshold, the group is one or few components."""
+    r = random.Random(11)
+    base = [f"w{i}" for i in range(90)]
+    rows = []
+    for i in range(300):
+        words = list(base)
+        for _ in range(r.randint(0, 8)):
+            words[r.randrange(90)] = f"v{r.randrange(10_000)}"
+        rows.append((i, " ".join(words)))
+    want = slow_groups(rows)
+    assert 1 < len({c for _, _, c in want}) < 150
+    assert grouped(spark, rows, block=64) == want
+
+
 def test_minhash_of_an_empty_table(spark):
     assert grouped(spark, []) == []
 

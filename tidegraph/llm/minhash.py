@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegraph.llm._tables import materialise, table
@@ -19,8 +19,11 @@ MINIMA = BANDS * WIDTH
 BITS, WORDS = 4, -(-MINIMA // 16)
 #: The estimate from the low bits may be so far below the threshold: over five standard errors.
 MARGIN = 0.15
-#: Sets of a crowded bucket that are compared with as many others at a time.
-BLOCK = 256
+#: Signatures of a crowded bucket in a block, how many of them are compared with another block at a time, and shingles in a
+#: block of full sets, for each signature in the other kind.
+BLOCK, STRIP, FULL = 1024, 64, 128
+#: Smallest classes of its buckets that a class is first held against.
+HUBS = 4
 #: Shingles whose minima are taken together.
 CHUNK = 1024
 _ODD = np.random.default_rng(12).integers(1, 1 << 63, MINIMA, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -102,19 +105,52 @@ def _estimated(batches):
         yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep), pa.array(near).filter(keep)], names=["a", "b", "near"])
 
 
-def _crossed(batches):
-    """Reads two blocks (lists of name, n, root, packed) a row; gives the pairs (a, b) of different roots that may be linked."""
-    for b in batches:
-        a, c = [], []
-        for left, right in zip(b.column(0), b.column(1), strict=True):
+def _likeliest(batches):
+    """Reads two blocks (lists of name, root, n, packed) a row; gives (a, b, near, more): for each set a of the left one the
+    likeliest set b of another root in the right one, if any may be linked, and whether there are more."""
+    for batch in batches:
+        a, b, near, more = [], [], [], []
+        for left, right in zip(batch.column(0), batch.column(1), strict=True):
             one, two = left.values, right.values
             roots = [np.array(v.field("root").to_pylist(), object) for v in (one, two)]
             x, y = _words(one.field("packed")), _words(two.field("packed"))
-            good = _hopeful(x[:, None], y[None], one.field("n").to_numpy()[:, None], two.field("n").to_numpy()[None])
-            i, j = np.nonzero(good & (roots[0][:, None] != roots[1][None]))
-            a += one.field("name").take(pa.array(i)).to_pylist()
-            c += two.field("name").take(pa.array(j)).to_pylist()
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(c, pa.binary())], names=["a", "b"])
+            nx, ny = one.field("n").to_numpy(), two.field("n").to_numpy()
+            for i in range(0, len(x), STRIP):
+                like = np.where(_hopeful(x[i : i + STRIP, None], y[None], nx[i : i + STRIP, None], ny[None]) & (roots[0][i : i + STRIP, None] != roots[1][None]), likeness(x[i : i + STRIP, None], y[None]), -9)
+                hopeful = np.flatnonzero(like.max(axis=1) > -9)
+                best = like[hopeful].argmax(axis=1)
+                a += one.field("name").take(pa.array(i + hopeful)).to_pylist()
+                b += two.field("name").take(pa.array(best)).to_pylist()
+                near += like[hopeful, best].tolist()
+                more += ((like[hopeful] > -9).sum(axis=1) > 1).tolist()
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(near, pa.float64()), pa.array(more, pa.bool_())], names=["a", "b", "near", "more"])
+
+
+def _linked(batches):
+    """Reads two blocks (lists of name, root, hashes) a row; gives (a, b): for each set a of the left one, and each other root
+    in the right one, one set b of that root that it is linked with, by exact counts of common shingles."""
+    for batch in batches:
+        a, b = [], []
+        for left, right in zip(batch.column(0), batch.column(1), strict=True):
+            one, two = left.values, right.values
+            names, roots = [v.field("name").to_pylist() for v in (one, two)], [np.array(v.field("root").to_pylist(), object) for v in (one, two)]
+            sets = [np.frombuffer(h.as_buffer(), np.uint64) for h in two.field("hashes")]
+            sizes = np.array([len(x) for x in sets])
+            owner = np.repeat(np.arange(len(sets)), sizes)
+            every = np.concatenate(sets)
+            order = np.argsort(every, kind="stable")
+            every, owner = every[order], owner[order]
+            for i, h in enumerate(one.field("hashes")):
+                x = np.frombuffer(h.as_buffer(), np.uint64)
+                start, end = np.searchsorted(every, x), np.searchsorted(every, x, "right")
+                runs = end - start
+                at = np.repeat(end - np.cumsum(runs), runs) + np.arange(runs.sum())  # the places of all equal hashes
+                both = np.bincount(owner[at], minlength=len(sets))
+                good = np.flatnonzero((100 * both >= PERCENT * (len(x) + sizes - both)) & (roots[1] != roots[0][i]))
+                first = {roots[1][j]: j for j in good}
+                a += [names[0][i]] * len(first)
+                b += [names[1][j] for j in first.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
 
 def _confirmed(batches):
@@ -131,22 +167,58 @@ def _confirmed(batches):
         yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["a", "b"])
 
 
-def _confirm(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Of pairs (a, b) of names those whose full sets, read from the texts again, are similar enough."""
-    pairs = materialise(pairs, "pairs")
-    named = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
-    wanted = materialise(classes.join(named, "name").select("name", F.col("low").alias("id")), "wanted")
-    texts = docs.join(wanted.select("id").distinct(), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").select("text")
-    sets = texts.mapInArrow(_sets, "name binary, hashes binary").where("name is not null")
-    sets = materialise(sets.join(wanted.select("name"), "name", "left_semi").dropDuplicates(["name"]), "sets")
-    full = pairs.join(sets.select(F.col("name").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("name").alias("b"), F.col("hashes").alias("y")), "b")
-    return materialise(full.select("a", "b", "x", "y").mapInArrow(_confirmed, "a binary, b binary"), "links")
-
-
-def _rooted(classes: DataFrame, links: DataFrame) -> DataFrame:
-    """(name, root) of all classes."""
-    roots = connected_components(links).select(F.col("node").alias("name"), "root")
-    return materialise(classes.select("name").join(roots, "name", "left").withColumn("root", F.coalesce("root", "name")), "roots")
+class _FullSets:
+    """The full sets of classes, read from the texts again when a pair first asks for them, and written."""
+
+    def __init__(self, docs: DataFrame, classes: DataFrame):
+        self.docs, self.classes, self.known = docs, classes, None
+
+    def of(self, names: DataFrame) -> DataFrame:
+        """(name, hashes) of classes that hold those of names, and maybe more."""
+        if self.known is not None:
+            names = names.join(self.known.select("name"), "name", "left_anti")
+        wanted = materialise(self.classes.join(names, "name").select("name", F.col("low").alias("id")), "wanted")
+        if self.known is None or not wanted.isEmpty():
+            texts = self.docs.join(wanted.select("id").distinct(), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").select("text")
+            sets = texts.mapInArrow(_sets, "name binary, hashes binary").where("name is not null")
+            sets = materialise(sets.join(wanted.select("name"), "name", "left_semi").dropDuplicates(["name"]), "sets")
+            self.known = sets if self.known is None else self.known.union(sets)
+        return self.known
+
+    def confirm(self, pairs: DataFrame) -> DataFrame:
+        """Those of pairs (a, b) of names whose full sets are similar enough."""
+        sets = self.of(pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct())
+        full = pairs.join(sets.select(F.col("name").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("name").alias("b"), F.col("hashes").alias("y")), "b")
+        return materialise(full.select("a", "b", "x", "y").mapInArrow(_confirmed, "a binary, b binary"), "links")
+
+
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """(name, root), after links have joined the components of their ends."""
+    if links.isEmpty():
+        return roots
+    end = lambda name: roots.select(F.col("name").alias(name), F.col("root").alias("r" + name))
+    edges = links.join(end("a"), "a").join(end("b"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    to = connected_components(edges).select(F.col("node").alias("root"), F.col("root").alias("to"))
+    return materialise(roots.join(to, "root", "left").select("name", F.coalesce("to", "root").alias("root")), "roots")
+
+
+def _open(members: DataFrame, roots: DataFrame, active: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(key, name, n, root) of the classes outside the largest component of their bucket, and of all in these buckets; buckets without any of `active` are left out."""
+    if active is not None:
+        members = members.join(members.join(active, "name", "left_semi").select("key").distinct(), "key", "left_semi")
+    now = materialise(members.join(roots, "name"), "now")
+    parts = now.groupBy("key", "root").agg(F.count("*").alias("count"))
+    mains = parts.groupBy("key").agg(F.max(F.struct("count", "root")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
+    now = materialise(now.join(mains.select("key", F.col("main.root").alias("main")), "key"), "mixed")
+    rest = materialise(now.where("root <> main"), "rest")
+    return rest, now.join(rest.select("key").distinct(), "key", "left_semi")
+
+
+def _blocks(rows: DataFrame, name: str, weight, most: int, *columns: str) -> DataFrame:
+    """The rows of each bucket in lists, dealt by a hash so that their weights sum up to about `most`."""
+    sums = rows.groupBy("key").agg(F.ceil(F.sum(weight) / most).cast("long").alias("blocks"))
+    dealt = rows.join(sums, "key").withColumn("block", F.expr("pmod(xxhash64(name), blocks)"))
+    return materialise(dealt.groupBy("key", "block").agg(F.collect_list(F.struct("name", "root", *columns)).alias(name)).select("key", name), "blocks")
 
 
 def group(docs: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -160,45 +232,46 @@ def group(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     rows, an empty table none; other columns are ignored.
 
     Equal sets are one class. Classes that share a band of minima are candidates. First each
-    class is held against the smallest class of each of its buckets, and the likeliest pair is
-    confirmed: most groups are one component then. What remains are buckets that hold
-    several components: their classes outside the bucket's largest component are held against
-    all others, block by block, and only pairs of different components with a good enough
-    estimate come out, to be confirmed on the full sets. No pair within a component is made.
+    class is held against HUBS smallest classes of its buckets, and the likeliest pair is
+    confirmed on the full sets: most groups are few components then. What remains are buckets
+    that hold several components. Block by block, their classes outside the bucket's largest
+    component find the likeliest class of another component, which is confirmed. Where one had
+    more candidates, those still outside are at last held against the full sets of all others
+    of the bucket, block by block again; each gives one link to a component at most. So no
+    bucket hands on all its pairs, and no candidate is left untested.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = materialise(docs.mapInArrow(_rows, "doc_id long, n long, name binary, packed binary, keys array<long>"), "minima")
     classes = rows.where("name is not null").groupBy("name").agg(F.min("doc_id").alias("low"), F.first("n").alias("n"), F.first("packed").alias("packed"), F.first("keys").alias("keys"))
     classes = materialise(classes, "classes")
-    keyed = classes.select("name", F.explode("keys").alias("key"))
-    buckets = keyed.groupBy("key").agg(F.min("name").alias("hub"), F.count("*").alias("size")).where("size > 1")
+    keyed = classes.select("name", "n", F.explode("keys").alias("key"))
+    buckets = keyed.groupBy("key").agg(F.min("name").alias("hub"), F.count("*").alias("size")).where("size > 1").drop("size")
     members = materialise(keyed.join(materialise(buckets, "buckets"), "key"), "members")
+    signed = classes.select("name", "packed")
+    sets, roots = _FullSets(docs, classes), classes.select("name", F.col("name").alias("root"))
 
-    signed = classes.select("name", "n", "packed")
-    stars = members.where("name <> hub").select(F.col("hub").alias("a"), F.col("name").alias("b")).distinct()
-    signs = lambda name, n, packed: signed.select(F.col("name").alias(name), F.col("n").alias(n), F.col("packed").alias(packed))
+    hubs = members.where("name <> hub").groupBy("name").agg(F.slice(F.array_sort(F.collect_set("hub")), 1, HUBS).alias("hubs"))
+    stars = hubs.select(F.explode("hubs").alias("a"), F.col("name").alias("b"))
+    signs = lambda name, n, packed: classes.select(F.col("name").alias(name), F.col("n").alias(n), F.col("packed").alias(packed))
     likely = stars.join(signs("a", "nx", "x"), "a").join(signs("b", "ny", "y"), "b").select("a", "b", "x", "y", "nx", "ny").mapInArrow(_estimated, "a binary, b binary, near double")
     best = likely.groupBy("b").agg(F.max(F.struct("near", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
-    links = _confirm(docs, classes, best)
-    roots = _rooted(classes, links)
-
-    members = members.select("key", "name", "size").join(roots, "name")
-    parts = materialise(members.groupBy("key", "root").agg(F.count("*").alias("count")), "parts")
-    mixed = parts.groupBy("key").agg(F.max(F.struct("count", "root")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
-    mixed = materialise(members.join(mixed.select("key", F.col("main.root").alias("main")), "key"), "mixed")
-    blocks = (
-        mixed.join(signed, "name")
-        .withColumn("rest", F.col("root") != F.col("main"))
-        .withColumn("block", F.expr(f"pmod(xxhash64(name), cast(ceil(size / {block}) as bigint))"))
-        .groupBy("key", "rest", "block")
-        .agg(F.collect_list(F.struct("name", "n", "root", "packed")).alias("sets"))
-    )
-    blocks = materialise(blocks, "blocks")
-    left = blocks.where("rest").select("key", F.col("block").alias("i"), F.col("sets").alias("left"))
-    right = blocks.select("key", "rest", "block", F.col("sets").alias("right"))
-    crossed = left.join(right, "key").where("not rest or block >= i").select("left", "right").mapInArrow(_crossed, "a binary, b binary")
-    more = _confirm(docs, classes, crossed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    roots = _rooted(classes, links.union(more))
+    tested = materialise(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "tested")
+    roots = _joined(roots, sets.confirm(tested))
+
+    rest, others = _open(members, roots)
+    left, right = (_blocks(d.join(signed, "name"), name, F.lit(1), block, "n", "packed") for d, name in ((rest, "left"), (others, "right")))
+    likely = left.join(right, "key").select("left", "right").mapInArrow(_likeliest, "a binary, b binary, near double, more boolean")
+    likely = likely.groupBy("a").agg(F.max(F.struct("near", "b")).alias("best"), F.min(F.col("b")).alias("least"), F.max("b").alias("most"), F.max("more").alias("more"))
+    likely = materialise(likely, "likely")
+    best = likely.select("a", F.col("best.b").alias("b"))
+    best = materialise(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tested, ["a", "b"], "left_anti"), "tested")
+    roots = _joined(roots, sets.confirm(best))
+
+    rest, others = _open(members, roots, likely.where("more or least <> most").select(F.col("a").alias("name")))
+    full = sets.of(others.select("name").distinct())
+    left, right = (_blocks(d.join(full, "name"), name, F.col("n"), block * FULL, "hashes") for d, name in ((rest, "left"), (others, "right")))
+    links = left.join(right, "key").select("left", "right").mapInArrow(_linked, "a binary, b binary")
+    roots = _joined(roots, materialise(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links"))
 
     rooted = materialise(classes.select("name", "low").join(roots, "name"), "rooted")
     lows = materialise(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "lows")
