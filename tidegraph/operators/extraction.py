@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegraph.functions import contracts, schema
 from tidegraph.functions.text import collapse
 
 SCHEMA = (
@@ -22,6 +23,19 @@ def parse(answers: DataFrame) -> DataFrame:
     return answers.withColumn("x", F.from_json(body, SCHEMA, {"mode": "PERMISSIVE"})).withColumn("x", F.when(F.get_json_object(body, "$").isNotNull(), F.col("x")))
 
 
+def body(answer: Column) -> Column:
+    """The JSON of an answer: what stands in its code fence, or all of it."""
+    fenced = F.regexp_extract(answer, "(?s)```(?:json)?\\s*(.*?)```", 1)
+    return F.when(fenced != "", F.trim(fenced)).otherwise(F.trim(answer))
+
+
+def schema_errors(answers: DataFrame, rules: dict | None = None) -> DataFrame:
+    """(doc_id, errors) of answers (doc_id, answer) under a JSON schema (by default that of extractions): an answer
+    without errors has none, one that can't be read has `not JSON`."""
+    x = answers.select("doc_id", F.try_parse_json(body(F.col("answer"))).alias("x"))
+    return x.select("doc_id", F.coalesce(schema.errors(rules or contracts.extraction(), F.col("x")), F.array(F.lit("not JSON"))).alias("errors"))
+
+
 def normalize_rel(rel: Column, mapping: dict[str, str], canonical: tuple[str, ...]) -> Column:
     """Mapped upper form, else kept if canonical, else mapped with - and space as _, else itself."""
     up = F.upper(rel)

@@ -214,44 +214,94 @@ def clusters(mentions: DataFrame, size: int = 5, least: int = 1, most: int = 10)
     with the group's so far, up to `size`. Groups of one are dropped and leave their document
     free; `most` groups are made. entities counts the different entities of a group.
 
-    The order asks for one step after the other, but only size x most documents are ever
-    chosen: each step is a query whose first row the driver takes. Starts without a partner
-    are passed over in growing portions, up to 256 at once. No rows in, no rows out.
+    Groups grow side by side: a round is one query that gives every open group its next
+    document, and the driver holds no more than the starts in hand and their groups. Earlier
+    groups go first, so when one takes (or gives back) a document that a later one has, the later
+    one goes back to that step, and those after it to their starts. Rounds depend on `size` and
+    on how often that happens, not on the number of groups. Starts are taken in portions, which
+    grow up to 256 while they find no partners. No rows in, no rows out.
     """
     m = materialise(mentions.select(F.col("doc_id").cast("string").alias("doc_id"), "entity_id").dropna().distinct(), "mentions")
     n = m.groupBy("doc_id").agg((-F.count("*")).alias("n"))
     links = m.join(m.groupBy("entity_id").count().where("count > 1"), "entity_id", "left_semi")
-    links = materialise(links.join(n, "doc_id").select("entity_id", F.struct("n", "doc_id").alias("doc")), "links")
-    name = F.col("doc.doc_id")
-    after = lambda doc: (F.col("doc") > F.struct(F.lit(doc["n"]).cast("long").alias("n"), F.lit(doc["doc_id"]).alias("doc_id"))) if doc else F.lit(True)
-    used, groups, tried, portion = [], [], None, 1
-    while len(groups) < most:
-        free = links.where(~name.isin(used)) if used else links
-        front = free.where(after(tried)).select("doc").distinct().orderBy("doc").limit(portion).agg(F.collect_list("doc")).first()[0]
-        if not front:
+    links = materialise(links.join(n, "doc_id").select("entity_id", "doc_id", "n"), "links")
+    groups: list[_Group] = []
+    seen, portion, more = None, most, True
+    while True:
+        if more and sum(g.open or len(g.members) > 1 for g in groups) < most:
+            front = _front(links, seen, portion)
+            more, seen = len(front) == portion, front[-1] if front else seen
+            groups += [_Group(doc) for doc in front]
+            portion = min(portion * 4, 256)
+        told = [g for g in groups if g.open or len(g.members) > 1][:most]
+        if not any(g.open for g in told) and (len(told) == most or not more):
             break
-        starts = links.where(name.isin([d["doc_id"] for d in front])).select("entity_id", F.col("doc").alias("start"))
-        met = starts.join(free, "entity_id").where("start <> doc").groupBy("start", "doc").agg(F.count("*").alias("shared")).where(F.col("shared") >= least)
-        start = met.agg(F.min("start")).first()[0]
-        tried, portion = start or max(front), 1 if start else min(portion * 4, 256)
-        if not start:
-            continue
-        group, last = [start["doc_id"]], None
-        while len(group) < size:
-            own = links.where(name.isin(group)).select("entity_id").distinct()
-            others = free.where(~name.isin(group)).where(after(last)).join(own, "entity_id", "left_semi")
-            last = others.groupBy("doc").agg(F.count("*").alias("shared")).where(F.col("shared") >= least).agg(F.min("doc")).first()[0]
-            if not last:
-                break
-            group.append(last["doc_id"])
-        groups.append(group)
-        used += group
-    rows = [(c, i, doc) for c, group in enumerate(groups) for i, doc in enumerate(group)]
+        steps = _next_members(links, groups, least)
+        for i, g in enumerate(groups):
+            if g.open and i in steps:
+                g.members.append(steps[i])
+            g.open = g.open and i in steps and len(g.members) < size
+        groups = _settled(groups)
+    rows = [(c, i, doc[1]) for c, g in enumerate(told) for i, doc in enumerate(g.members)]
     chosen = mentions.sparkSession.createDataFrame(rows, "cluster int, place int, doc_id string")
-    size_of = m.join(chosen, "doc_id").groupBy("cluster").agg(F.count_distinct("entity_id").alias("entities"))
+    size_of = m.join(F.broadcast(chosen), "doc_id").groupBy("cluster").agg(F.count_distinct("entity_id").alias("entities"))  # size x most rows
     return chosen.join(size_of, "cluster")
 
 
+class _Group:
+    """A group in the making: members as (-entities, doc_id), the start first. alone: it has been found to have no partner."""
+
+    def __init__(self, start: tuple):
+        self.members, self.open, self.alone = [start], True, False
+
+    def back_to(self, step: int) -> None:
+        self.members, self.open, self.alone = self.members[:step], True, False
+
+
+def _front(links: DataFrame, seen: tuple | None, portion: int) -> list[tuple]:
+    """The next documents in order, behind `seen`."""
+    after = F.struct("n", "doc_id") > F.struct(F.lit(seen[0]).cast("long").alias("n"), F.lit(seen[1]).alias("doc_id")) if seen else F.lit(True)
+    return [tuple(r) for r in links.where(after).select("n", "doc_id").distinct().orderBy("n", "doc_id").limit(portion).collect()]
+
+
+def _next_members(links: DataFrame, groups: list[_Group], least: int) -> dict[int, tuple]:
+    """By the number of each open group the first document behind its last one that shares enough entities and belongs to no group before it, or itself."""
+    spark = links.sparkSession
+    rows = [(i, doc[1], *(g.members[-1] if len(g.members) > 1 else (None, None))) for i, g in enumerate(groups) if g.open for doc in g.members]
+    if not rows:
+        return {}
+    inside = F.broadcast(spark.createDataFrame(rows, "g int, doc_id string, last_n long, last_id string"))  # size x 256 rows at most, like the next
+    owner = F.broadcast(spark.createDataFrame([(doc[1], i) for i, g in enumerate(groups) if not g.alone for doc in g.members] or [("", -1)], "doc_id string, owner int"))
+    own = links.select("doc_id", "entity_id").join(inside, "doc_id").select("g", "last_n", "last_id", "entity_id").distinct()
+    met = links.join(own, "entity_id").where("last_id is null or n > last_n or (n = last_n and doc_id > last_id)")
+    shared = met.groupBy("g", "n", "doc_id").agg(F.count("*").alias("shared")).where(F.col("shared") >= least)
+    free = shared.join(owner, "doc_id", "left").where("owner is null or owner > g")
+    return {r["g"]: (r["m"]["n"], r["m"]["doc_id"]) for r in free.groupBy("g").agg(F.min(F.struct("n", "doc_id")).alias("m")).collect()}
+
+
+def _settled(groups: list[_Group]) -> list[_Group]:
+    """The groups, without those whose start an earlier one has, and without steps that earlier ones have made impossible."""
+    taken: set[tuple] = set()
+    out: list[_Group] = []
+    for g in groups:
+        if g.members[0] in taken:  # what it held is free again
+            changed = len(g.members) > 1
+        else:
+            lost = next((i for i, doc in enumerate(g.members) if doc in taken), None)
+            changed = lost is not None
+            if changed:
+                g.back_to(lost)
+            if not g.open and len(g.members) == 1 and not g.alone:
+                g.alone = changed = True
+            if not g.alone:
+                taken.update(g.members)
+            out.append(g)
+        if changed:
+            for later in groups[groups.index(g) + 1 :]:
+                later.back_to(1)
+    return out
+
+
 def document_node(doc_id: Column, title: Column, url: Column, source: Column, published_at: Column) -> Column:
     """A document as JSON node; its id is its label where it has no title, and empty fields are left out."""
     some = lambda c: F.when(c.cast("string") != "", c.cast("string"))

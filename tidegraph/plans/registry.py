@@ -27,10 +27,11 @@ def add(name: str, sql: str | None = None):
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trend.trending(t.mentions(spark, sf_dir), t.AS_OF, Profile())
+    return trend.trending(t.mentions(spark, sf_dir, None, t.AS_OF), t.AS_OF, Profile())
 
 
 from tidegraph.plans import graph_queries, health_queries, resolve_queries, select_queries, trend_queries  # noqa: E402, F401, I001
 from tidegraph.plans import ingest_queries  # noqa: E402, F401  (uses SQL of the others)
 from tidegraph.plans import cleanup_queries  # noqa: E402, F401  (uses SQL of the others)
 from tidegraph.plans import operations_queries  # noqa: E402, F401  (uses SQL of the others)
+from tidegraph.plans import contract_queries  # noqa: E402, F401  (uses SQL of the others)

@@ -9,6 +9,7 @@ from tidegraph.functions import scoring as s
 from tidegraph.operators import trend
 from tidegraph.plans.registry import add
 from tidegraph.sources import testdata as t
+from tidegraph.sources.shared import materialise
 
 P = s.Profile()
 RUNS = ["2024-01-09", "2024-01-16", "2024-01-23", "2024-01-30"]
@@ -40,23 +41,28 @@ HISTORY_SQL = ", " + ", ".join(scores_sql(r, f"h{i}") for i, r in enumerate(RUNS
 ) + "), ranked as (select *, cast(row_number() over (partition by run_date order by trend_score desc, entity_id) as int) as rank from history)"
 
 
+def cube(spark, sf):
+    """Day counts up to the last run; the bound reaches the scan."""
+    return materialise(trend.day_counts(t.mentions(spark, sf, None, RUNS[-1])), "day_counts")
+
+
 def history(spark, sf):
-    return trend.history(t.mentions(spark, sf), RUNS, P)
+    return trend.history_of(cube(spark, sf), RUNS, P)
 
 
 @add("a1_mention_windows", ", " + counts_sql(t.AS_OF, "w") + " select * from w")
 def a1(spark, sf):
-    return trend.mention_windows(t.mentions(spark, sf), t.AS_OF, P)
+    return trend.mention_windows(t.mentions(spark, sf, None, t.AS_OF), t.AS_OF, P)
 
 
 @add("r1_r4_trend_scores", ", " + scores_sql(t.AS_OF, "x") + " select entity_id, velocity, velocity_gated, round(novelty, 6) as novelty, round(trend_score, 6) as trend_score from x")
 def r4(spark, sf):
-    return trend.scores(t.mentions(spark, sf), t.AS_OF, P).select("entity_id", "velocity", "velocity_gated", F.round("novelty", 6).alias("novelty"), F.round("trend_score", 6).alias("trend_score"))
+    return trend.scores(t.mentions(spark, sf, None, t.AS_OF), t.AS_OF, P).select("entity_id", "velocity", "velocity_gated", F.round("novelty", 6).alias("novelty"), F.round("trend_score", 6).alias("trend_score"))
 
 
 @add("w7_trending_top", ", " + scores_sql(t.AS_OF, "x") + f" select entity_id, c7, c30, velocity, round(novelty, 6) as novelty, round(trend_score, 6) as trend_score from x where c7 >= {P.min_mentions} order by x.trend_score desc, entity_id limit 20")
 def w7(spark, sf):
-    return trend.trending(t.mentions(spark, sf), t.AS_OF, P)
+    return trend.trending(t.mentions(spark, sf, None, t.AS_OF), t.AS_OF, P)
 
 
 @add("r5_trend_history", HISTORY_SQL + " select * from history")
@@ -81,7 +87,8 @@ from ranked n left join ranked p on p.entity_id = n.entity_id and p.run_date = '
 
 
 def movers(spark, sf):
-    return trend.movers(history(spark, sf), t.mentions(spark, sf), "2024-01-30", P)
+    days = cube(spark, sf)
+    return trend.movers(trend.history_of(days, RUNS, P), days, "2024-01-30", P)
 
 
 @add("j13_movers", MOVERS_SQL + " select * from movers")
@@ -132,12 +139,12 @@ def w8(spark, sf):
 
 @add("a3_distinct_sources", "select entity_id, count(distinct source) as sources from mentions where published between '2024-01-23' and '2024-01-30' group by 1")
 def a3(spark, sf):
-    return t.mentions(spark, sf).where(trend.in_window(t.AS_OF, 7)).groupBy("entity_id").agg(F.count_distinct("source").alias("sources"))
+    return t.mentions(spark, sf, trend.back(t.AS_OF, 7), t.AS_OF).groupBy("entity_id").agg(F.count_distinct("source").alias("sources"))
 
 
 @add("a2_window_counts", "select entity_id, count(*) as n from mentions where published between '2024-01-10' and '2024-01-20' group by 1")
 def a2(spark, sf):
-    return t.mentions(spark, sf).where(F.col("published").between("2024-01-10", "2024-01-20")).groupBy("entity_id").agg(F.count("*").alias("n"))
+    return t.mentions(spark, sf, "2024-01-10", "2024-01-20").groupBy("entity_id").agg(F.count("*").alias("n"))
 
 
 @add("a17_gated_share", HISTORY_SQL + " select run_date, avg(velocity_gated) as share from history where run_date = (select max(run_date) from history) group by 1")
@@ -149,12 +156,8 @@ def a17(spark, sf):
 @add("a18_novelty_quantiles", HISTORY_SQL + """, l as (select run_date, list(novelty order by novelty) as v from history group by 1 having count(*) >= 4)
 select run_date, v[len(v) // 10 + 1] as p10, v[len(v) // 4 + 1] as p25, v[len(v) // 2 + 1] as p50, v[3 * len(v) // 4 + 1] as p75, v[9 * len(v) // 10 + 1] as p90 from l""")
 def a18(spark, sf):
-    """By index, from ranks: no list is gathered."""
-    w = Window.partitionBy("run_date")
-    h = history(spark, sf).select("run_date", "novelty").withColumn("i", F.row_number().over(w.orderBy("novelty")) - 1).withColumn("n", F.count("*").over(w))
-    at = lambda e: F.max(F.when(F.col("i") == F.expr(e), F.col("novelty")))
-    q = {"p10": "n div 10", "p25": "n div 4", "p50": "n div 2", "p75": "3 * n div 4", "p90": "9 * n div 10"}
-    return h.where("n >= 4").groupBy("run_date").agg(*(at(e).alias(k) for k, e in q.items()))
+    """By index, from places: no list is gathered, and no run is ordered in one task."""
+    return trend.by_index(history(spark, sf), "run_date", "novelty", 4, p10="n div 10", p25="n div 4", p50="n div 2", p75="3 * n div 4", p90="9 * n div 10")
 
 
 @add("a16_readiness", HISTORY_SQL + " select max(run_date) as latest, count(distinct run_date) as runs, count(*) filter (run_date = '2024-01-30') as entities, round(max(trend_score), 6) as top from history")

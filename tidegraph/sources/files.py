@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegraph.functions.contracts import MOVER, MOVERS_META
+from tidegraph.functions.schema import errors, row_errors
+from tidegraph.sources.shared import materialise
+
 
 def read_documents(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """(file, x) of the readable JSON files of a folder, and (file) of the others."""
@@ -45,3 +51,27 @@ def write_checked(rows: DataFrame, path: str, required: list[str]) -> None:
     if not bad.isEmpty():
         raise ValueError("rows lack required fields")
     write_lines(rows, path)
+
+
+def write_valid(rows: DataFrame, path: str, rules: dict, shown: int = 5) -> DataFrame:
+    """JSON lines, only if every row fits its schema; null columns are written as nulls. Gives the rows as checked.
+
+    The rows are written to the shared folder first, so that what is checked is what is published;
+    the errors of the first rows that fail are named.
+    """
+    kept = materialise(rows, "checked")
+    bad = kept.withColumn("errors", row_errors(kept, rules)).where("size(errors) > 0").select(F.to_json(F.struct(*kept.columns)).alias("row"), "errors").limit(shown).collect()
+    if bad:
+        raise ValueError("rows do not fit their schema: " + "; ".join(f"{', '.join(r['errors'])} in {r['row']}" for r in bad))
+    kept.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    return kept
+
+
+def write_movers(rows: DataFrame, path: str, meta: dict) -> None:
+    """The movers view: rows and a head with their number, both only if they fit their contracts. The head is written last."""
+    kept = write_valid(rows, f"{path}/rows", MOVER)
+    head = kept.sparkSession.createDataFrame([(json.dumps(meta | {"rowCount": kept.count()}),)], "value string")
+    wrong = head.select(errors(MOVERS_META, F.parse_json("value"))).first()[0]
+    if wrong:
+        raise ValueError(f"the head does not fit its schema: {', '.join(wrong)}")
+    head.coalesce(1).write.mode("overwrite").text(f"{path}/meta")
