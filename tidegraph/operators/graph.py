@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegraph.functions.scoring import bridge_score
+from tidegraph.operators.trend import places
 from tidegraph.sources.shared import materialise
 
 RANK = {"asserted": 0, "inferred": 1, "hypothesis": 2}
@@ -175,21 +176,25 @@ def infer(relations: DataFrame, entities: DataFrame, rules: list[Rule], cap: int
     """
     spark = relations.sparkSession
     rows = [(i, *a[0], *(a[1] if len(a) > 1 else (None, None, None)), new, float(discount)) for i, (a, new, discount) in enumerate(rules)]
-    of = spark.createDataFrame(rows, "rule int, rel0 string, s0 string, t0 string, rel1 string, s1 string, t1 string, new string, discount double")
-    kinds = entities.select("entity_id", "type")
+    of = F.broadcast(spark.createDataFrame(rows, "rule int, rel0 string, s0 string, t0 string, rel1 string, s1 string, t1 string, new string, discount double"))  # a row per rule
+    steps = [step for a, _, _ in rules for step in a]
+    # names of rules are known here, so filters on them reach the scans, and whole branches of a union drop out
+    kinds = entities.where(F.col("type").isin(sorted({x for _, s, t in steps for x in (s, t)}))).select("entity_id", "type")
     kind = lambda end, name: kinds.select(F.col("entity_id").alias(end), F.col("type").alias(name))
-    used = relations.select("relation_id", "source_id", "rel", "target_id", "confidence").join(of.selectExpr("rel0 as rel").union(of.selectExpr("rel1")).distinct(), "rel", "left_semi")
-    typed = used.join(kind("source_id", "s"), "source_id").join(kind("target_id", "t"), "target_id")
+    used = relations.where(F.col("rel").isin(sorted({r for r, _, _ in steps}))).select("relation_id", "source_id", "rel", "target_id", "confidence")
+    typed = materialise(used.join(kind("source_id", "s"), "source_id").join(kind("target_id", "t"), "target_id"), "typed")
     first = typed.join(of, (F.col("rel") == F.col("rel0")) & (F.col("s") == F.col("s0")) & (F.col("t") == F.col("t0"))).select(
         "rule", "rel1", "t1", "new", "discount", F.col("source_id").alias("a"), F.col("target_id").alias("b"), F.col("relation_id").alias("r0"), F.col("confidence").alias("c0")
     )
-    first = first.groupBy("rule", "rel1", "t1", "new", "discount", "a", "b").agg(F.min(F.struct("r0", "c0")).alias("m")).select("rule", "rel1", "t1", "new", "discount", "a", "b", "m.*")
-    have = relations.select(F.col("source_id").alias("a"), F.col("rel").alias("new"), F.col("target_id").alias("c")).join(of.select("new").distinct(), "new", "left_semi").distinct()
+    first = materialise(first.groupBy("rule", "rel1", "t1", "new", "discount", "a", "b").agg(F.min(F.struct("r0", "c0")).alias("m")).select("rule", "rel1", "t1", "new", "discount", "a", "b", "m.*"), "first")
+    have = relations.where(F.col("rel").isin(sorted({new for _, new, _ in rules}))).select(F.col("source_id").alias("a"), F.col("rel").alias("new"), F.col("target_id").alias("c")).distinct()
     alone = first.where("rel1 is null").select("rule", "new", "discount", "a", F.col("b").alias("c"), "r0", F.lit(None).cast("long").alias("r1"), "c0", F.lit(1.0).alias("c1"))
     # the second antecedent's source is the first one's target, so its type needs no second look
-    second = typed.groupBy(F.col("rel").alias("rel1"), F.col("t").alias("t1"), F.col("source_id").alias("b"), F.col("target_id").alias("c")).agg(F.min(F.struct(F.col("relation_id").alias("r1"), F.col("confidence").alias("c1"))).alias("m"))
-    rank = F.row_number().over(Window.partitionBy("rel1", "t1", "b").orderBy("m.r1"))
-    second = second.select("rel1", "t1", "b", "c", "m.*", F.floor((rank - 1) / (cap + 1)).alias("block"))
+    onto = [a[1] for a, _, _ in rules if len(a) > 1]
+    second = typed.where(F.col("rel").isin(sorted({r for r, _, _ in onto})) & F.col("t").isin(sorted({t for _, _, t in onto})))
+    second = second.groupBy(F.struct(F.col("rel").alias("rel1"), F.col("t").alias("t1"), F.col("source_id").alias("b")).alias("hub"), F.col("target_id").alias("c")).agg(F.min(F.struct(F.col("relation_id").alias("r1"), F.col("confidence").alias("c1"))).alias("m"))
+    # places by ranges: the edges of a hub are not put in order by one task
+    second = places(second.select("hub", "c", "m.*"), "hub", "r1").select("hub.*", "c", "r1", "c1", F.floor(F.col("place") / (cap + 1)).alias("block"))
     known = have.groupBy("a", "new").agg(F.count("*").alias("known"))
     blocks = F.sequence(F.lit(0).cast("long"), F.ceil(F.coalesce("known", F.lit(0)) / (cap + 1)))
     onward = first.where("rel1 is not null").join(known, ["a", "new"], "left").withColumn("block", F.explode(blocks))

@@ -62,13 +62,13 @@ def g7(spark, sf):
 
 @add("g8_strip_orphans", "select relation_id from relations r where source_id in (select entity_id from entities where type in ('Supplier', 'Part')) and target_id in (select entity_id from entities where type in ('Supplier', 'Part'))")
 def g8(spark, sf):
-    return g.strip_orphans(rel(spark, sf), t.entities(spark, sf).where(F.col("type").isin("Supplier", "Part"))).select("relation_id")
+    return g.strip_orphans(rel(spark, sf), t.named_entities(spark, sf).where(F.col("type").isin("Supplier", "Part"))).select("relation_id")
 
 
 @add("g9_region_tags", UND + """, seeds as (select entity_id, lower(name) as tag from entities where type = 'Region'), h1 as (select entity_id, tag from seeds union select b, tag from seeds join und on a = entity_id),
 h2 as (select * from h1 union select b, tag from h1 join und on a = entity_id) select entity_id, string_agg(tag, ',' order by tag) as regions from h2 group by 1""")
 def g9(spark, sf):
-    seeds = t.entities(spark, sf).where("type = 'Region'").select("entity_id", F.lower("name").alias("tag"))
+    seeds = t.named_entities(spark, sf).where("type = 'Region'").select("entity_id", F.lower("name").alias("tag"))
     return g.region_tags(t.graph(spark, sf), seeds)
 
 
@@ -140,12 +140,12 @@ f as (select *, row_number() over (partition by source_id, rel, target_id order
 select source_id, rel, target_id, rule, r0, r1, round(least(1.0, c), 3) as confidence from f where n = 1 order by rule, r0, r1 limit 500""")
 def g14(spark, sf):
     """Of four rules one has no matching types and one only finds edges that exist."""
-    return g.infer(t.graph(spark, sf), t.entities(spark, sf), RULES)
+    return g.infer(t.graph(spark, sf), t.named_entities(spark, sf), RULES)
 
 
 @add("g17_islands", "select entity_id from entities where entity_id not in (select source_id from relations where rel <> 'MENTIONS' union select target_id from relations where rel <> 'MENTIONS')")
 def g17(spark, sf):
-    return g.islands(t.entities(spark, sf), rel(spark, sf)).select("entity_id")
+    return g.islands(t.named_entities(spark, sf), rel(spark, sf)).select("entity_id")
 
 
 STYLE = """, deg as (select entity_id, count(*) as degree from (select source_id as entity_id from relations union all select target_id from relations) group by 1),
@@ -186,7 +186,7 @@ def g15(spark, sf):
 
 @add("g1_nodes", "select entity_id, json_object('id', entity_id, 'label', name)::varchar as node from entities")
 def g1(spark, sf):
-    return t.entities(spark, sf).select("entity_id", F.to_json(F.struct(F.col("entity_id").alias("id"), F.col("name").alias("label"))).alias("node"))
+    return t.named_entities(spark, sf).select("entity_id", F.to_json(F.struct(F.col("entity_id").alias("id"), F.col("name").alias("label"))).alias("node"))
 
 
 @add("w2_dedup", "select source_id, rel, target_id, kind, coalesce(doc_id, '') as doc, min(relation_id) as relation_id, count(*) - 1 as dropped from (from relations union all from relations where rel = 'SUPPLIES') group by all")
@@ -244,7 +244,7 @@ def p15(spark, sf):
 
 @add("p16_search", "select entity_id, name from entities where contains(lower(name), 'ring') or contains(lower(type), 'region')")
 def p16(spark, sf):
-    return t.entities(spark, sf).where(F.lower("name").contains("ring") | F.lower("type").contains("region")).select("entity_id", "name")
+    return t.named_entities(spark, sf).where(F.lower("name").contains("ring") | F.lower("type").contains("region")).select("entity_id", "name")
 
 
 @add("j1_relations_of_window", IN_WINDOW + " select relation_id, doc_id from inw")
@@ -267,7 +267,7 @@ def j3(spark, sf):
 
 @add("j7_one_antecedent", "select r.source_id, r.target_id, round(r.confidence * 0.5, 3) as confidence from places r join entities s on s.entity_id = r.source_id join entities o on o.entity_id = r.target_id where rel = 'LOCATED_IN' and s.type = 'Supplier' and o.type = 'Nation'")
 def j7(spark, sf):
-    e = t.entities(spark, sf)
+    e = t.named_entities(spark, sf)
     kind = lambda end, of: e.where(F.col("type") == of).select(F.col("entity_id").alias(end))
     r = places(spark, sf).where("rel = 'LOCATED_IN'").join(kind("source_id", "Supplier"), "source_id", "left_semi").join(kind("target_id", "Nation"), "target_id", "left_semi")
     return r.select("source_id", "target_id", F.round(F.col("confidence") * 0.5, 3).alias("confidence"))
@@ -276,7 +276,7 @@ def j7(spark, sf):
 @add("j8_type_overlap", ", m as (select target_id as entity_id, count(distinct doc_id) as n from relations where rel = 'MENTIONS' group by 1) select type, count(*) as entities, count(*) filter (n >= 2) as repeated, count(*) filter (n >= 25) as frequent from entities left join m using (entity_id) group by 1")
 def j8(spark, sf):
     m = rel(spark, sf).where("rel = 'MENTIONS'").groupBy(F.col("target_id").alias("entity_id")).agg(F.count_distinct("doc_id").alias("n"))
-    return t.entities(spark, sf).join(m, "entity_id", "left").groupBy("type").agg(F.count("*").alias("entities"), F.count_if(F.col("n") >= 2).alias("repeated"), F.count_if(F.col("n") >= 25).alias("frequent"))
+    return t.named_entities(spark, sf).join(m, "entity_id", "left").groupBy("type").agg(F.count("*").alias("entities"), F.count_if(F.col("n") >= 2).alias("repeated"), F.count_if(F.col("n") >= 25).alias("frequent"))
 
 
 @add("j16_pair_closed", TOP.format(k=300) + " select relation_id from graph where source_id in (select entity_id from t) and target_id in (select entity_id from t)")
@@ -304,7 +304,7 @@ def s3(spark, sf):
 
 @add("s2_entity_lookup", "select entity_id, name, type from entities where entity_id in ('part:3', 'supplier:5', 'nation:9') or name = 'Customer#000000011'")
 def s2(spark, sf):
-    return t.entities(spark, sf).where(F.col("entity_id").isin("part:3", "supplier:5", "nation:9") | (F.col("name") == "Customer#000000011")).select("entity_id", "name", "type")
+    return t.named_entities(spark, sf).where(F.col("entity_id").isin("part:3", "supplier:5", "nation:9") | (F.col("name") == "Customer#000000011")).select("entity_id", "name", "type")
 
 
 @add("s4_latest_day", "select substr(max(published_at), 1, 10) as latest from docs")
@@ -314,7 +314,7 @@ def s4(spark, sf):
 
 @add("s20_ontology", "select name as canonical, string_agg(entity_id, ',' order by entity_id) as aliases, count(*) as n from entities where type = 'Part' group by 1")
 def s20(spark, sf):
-    return t.entities(spark, sf).where("type = 'Part'").groupBy(F.col("name").alias("canonical")).agg(F.array_join(F.array_sort(F.collect_list("entity_id")), ",").alias("aliases"), F.count("*").alias("n"))
+    return t.named_entities(spark, sf).where("type = 'Part'").groupBy(F.col("name").alias("canonical")).agg(F.array_join(F.array_sort(F.collect_list("entity_id")), ",").alias("aliases"), F.count("*").alias("n"))
 
 
 @add("u1_endpoints", "select entity_id, count(*) as n from (select source_id as entity_id from relations union all select target_id from relations) group by 1")

@@ -58,7 +58,7 @@ def n1(spark, sf):
 
 @add("n3_canonical_ids", ", b as (select entity_id, lower(type) || ':' || coalesce(nullif(regexp_replace(regexp_replace(lower(name), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g'), ''), 'source') as base from entities), n as (select *, row_number() over (partition by base order by entity_id) as n from b) select entity_id, case when n = 1 then base else base || '_' || n end as canonical_id from n")
 def n3(spark, sf):
-    return resolve.canonical_ids(t.entities(spark, sf))
+    return resolve.canonical_ids(t.named_entities(spark, sf))
 
 
 MAP = ", map as (select entity_id as id, case when type = 'Part' then 'part:' || (cast(split_part(entity_id, ':', 2) as int) // 10 * 10) else entity_id end as canonical from entities)"
@@ -66,7 +66,7 @@ MAP = ", map as (select entity_id as id, case when type = 'Part' then 'part:' ||
 
 def mapping(spark, sf):
     number = F.expr("cast(split_part(entity_id, ':', 2) as int) div 10 * 10")
-    return t.entities(spark, sf).select(F.col("entity_id").alias("id"), F.when(F.col("type") == "Part", F.concat(F.lit("part:"), number)).otherwise(F.col("entity_id")).alias("canonical"))
+    return t.named_entities(spark, sf).select(F.col("entity_id").alias("id"), F.when(F.col("type") == "Part", F.concat(F.lit("part:"), number)).otherwise(F.col("entity_id")).alias("canonical"))
 
 
 @add("n6_merge_relations", MAP + " select coalesce(s.canonical, source_id) as source_id, rel, coalesce(o.canonical, target_id) as target_id, kind, coalesce(doc_id, '') as doc, min(relation_id) as relation_id, count(*) as merged from relations left join map s on s.id = source_id left join map o on o.id = target_id group by 1, 2, 3, 4, 5")
@@ -88,13 +88,13 @@ def n8(spark, sf):
 
 @add("n9_alias_lookup", ", al as (select lower(name) as alias, min(entity_id) as canonical from entities group by 1) select p_partkey, canonical from part left join al on alias = lower(p_name)")
 def n9(spark, sf):
-    al = t.entities(spark, sf).groupBy(F.lower("name").alias("alias")).agg(F.min("entity_id").alias("canonical"))
+    al = t.named_entities(spark, sf).groupBy(F.lower("name").alias("alias")).agg(F.min("entity_id").alias("canonical"))
     return t.table(spark, sf, "part").select("p_partkey", F.lower("p_name").alias("alias")).join(al, "alias", "left").select("p_partkey", "canonical")
 
 
 @add("j12_name_to_id", ", ids as (select name, min(entity_id) as id from entities where type in ('Supplier', 'Nation') group by 1), named as (select s_name as source, n_name as target from supplier join nation on s_nationkey = n_nationkey) select s.id as source_id, o.id as target_id from named join ids s on s.name = source join ids o on o.name = target")
 def j12(spark, sf):
-    ids = t.entities(spark, sf).where("type in ('Supplier', 'Nation')").groupBy("name").agg(F.min("entity_id").alias("id"))
+    ids = t.named_entities(spark, sf).where("type in ('Supplier', 'Nation')").groupBy("name").agg(F.min("entity_id").alias("id"))
     named = t.table(spark, sf, "supplier").join(t.table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_name").alias("source"), F.col("n_name").alias("target"))
     a = ids.select(F.col("name").alias("source"), F.col("id").alias("source_id"))
     return named.join(a, "source").join(ids.select(F.col("name").alias("target"), F.col("id").alias("target_id")), "target").select("source_id", "target_id")
@@ -284,7 +284,7 @@ IDS = ", ids as (select entity_id as name, entity_id from entities where type in
 
 
 def imported(spark, sf):
-    ids = t.entities(spark, sf).where("type in ('Part', 'Supplier')").select(F.col("entity_id").alias("name"), "entity_id")
+    ids = t.named_entities(spark, sf).where("type in ('Part', 'Supplier')").select(F.col("entity_id").alias("name"), "entity_id")
     docs = t.documents(spark, sf).select("doc_id", F.when(F.col("status") == "extracted", F.concat(F.lit("http://docs/"), "doc_id")).alias("url"))
     return extraction.import_answers(parsed(spark, sf), ids.union(docs.select(F.col("doc_id").alias("name"), F.col("doc_id").alias("entity_id"))), docs)
 

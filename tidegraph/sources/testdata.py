@@ -97,23 +97,29 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.union(n)
 
 
+#: Tables of entities, with the columns of their keys and names.
+_NAMED = (("part", "p_partkey", "p_name"), ("supplier", "s_suppkey", "s_name"), ("customer", "c_custkey", "c_name"), ("nation", "n_nationkey", "n_name"), ("region", "r_regionkey", "r_name"))
+
+
+def named_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts, suppliers, customers, nations and regions: entity_id, name, type. A filter on the type leaves one table."""
+    out = None
+    for n, k, v in _NAMED:
+        x = table(spark, sf_dir, n).select(F.concat(F.lit(n + ":"), k).alias("entity_id"), F.col(v).alias("name"), F.lit(n.capitalize()).alias("type"))
+        out = x if out is None else out.union(x)
+    return out
+
+
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts, suppliers, customers, nations and regions, with the days they are first and last seen."""
+    """The named entities, with the days they are first and last seen: a join over all lines, for those who need the days."""
     t = lambda n: table(spark, sf_dir, n)
-    line = t("lineitem").join(t("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", day("o_orderdate").alias("d")), "l_orderkey")
+    line = t("lineitem").join(t("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", F.col("o_orderdate").cast("date").alias("d")), "l_orderkey")
     seen = (
         line.select(F.explode(F.array(F.concat(F.lit("part:"), "l_partkey"), F.concat(F.lit("supplier:"), "l_suppkey"), F.concat(F.lit("customer:"), "o_custkey"))).alias("entity_id"), "d")
         .groupBy("entity_id")
-        .agg(F.min("d").alias("first_seen"), F.max("d").alias("last_seen"))
+        .agg(F.date_format(F.min("d"), "yyyy-MM-dd").alias("first_seen"), F.date_format(F.max("d"), "yyyy-MM-dd").alias("last_seen"))
     )
-    named = [
-        t(n).select(F.concat(F.lit(n + ":"), k).alias("entity_id"), F.col(v).alias("name"), F.lit(n.capitalize()).alias("type"))
-        for n, k, v in (("part", "p_partkey", "p_name"), ("supplier", "s_suppkey", "s_name"), ("customer", "c_custkey", "c_name"), ("nation", "n_nationkey", "n_name"), ("region", "r_regionkey", "r_name"))
-    ]
-    out = named[0]
-    for x in named[1:]:
-        out = out.union(x)
-    return out.join(seen, "entity_id", "left")
+    return named_entities(spark, sf_dir).join(seen, "entity_id", "left")
 
 
 #: The same tables in SQL, for the checks.
