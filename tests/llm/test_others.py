@@ -1,6 +1,7 @@
 """Pages, WARC, tool calls, vectors and the pipeline."""
 
 import json
+import random
 import re
 from html import unescape
 from pathlib import Path
@@ -436,3 +437,43 @@ def test_pipeline_on_odd_and_empty_tables(spark, tmp_path):
     t = Tokenizer.from_file(bpe.default_vocabulary())
     want = sorted((r["doc_id"], len(t.encode(r["text"], add_special_tokens=False).ids)) for r in four.collect() if r["doc_id"] is not None)
     assert want == sorted((r[0], r[1]) for r in final if r[0] is not None) and len(want) > 20
+
+
+def test_no_turn_of_tool_calls_is_lost(spark):
+    """Odd lists of calls, drawn: every turn has a row of its own, and what is wrong is named."""
+    call = lambda **x: json.dumps({"tool_calls": [x]})
+    schemas = {"f": {"properties": {"q": {"type": "integer"}}}}
+    turns = [
+        (1, "assistant", '{"tool_calls": []}'), (2, "user", '{"tool_calls": []}'), (3, "assistant", call(id=None, name="f", arguments={"q": 1})), (4, "assistant", call(name="f", arguments="{}")),
+        (5, "assistant", call(id="a", name="f", arguments={"q": 1}, needs="b")), (6, "assistant", call(id="b", name="f", arguments={"q": 1}, needs=["a", 5, None])), (7, "assistant", '{"tool_calls": ["x", {"id": 7, "name": "f", "arguments": {"q": 2}, "needs": null}]}'),
+        (8, "assistant", '{"tool_calls": "none"}'), (9, None, '{"tool_calls": []}'), (10, "tool", '{"tool_call_id": "a", "content": "r"}'), (11, "assistant", '{"tool_calls": [], "tool_call_id": "b"}'),
+    ]
+    d = spark.createDataFrame([(1, *t) for t in turns], "conv_id long, turn int, role string, text string")
+    got = {r["call_id"]: (r["status"], r["errors"], r["turn"], r["result_turn"]) for r in tools.link_conversations(d, schemas).collect()}
+    assert got == {
+        "other-assistant-1": ("other_turn", "", 1, None), "other-user-2": ("other_turn", "", 2, None), "other-null-9": ("other_turn", "", 9, None),
+        "call-3-0": ("invalid", "id: missing", 3, None), "call-4-0": ("invalid", "id: missing", 4, None), "a": ("invalid", "needs: not a list of texts", 5, 10), "b": ("invalid", "needs: not a list of texts", 6, 11),
+        "call-7-0": ("invalid", "call: not object; id: missing; unknown tool null", 7, None), "7": ("no_result", "", 7, None), "turn-7": ("orphan_result", "", None, 8),
+    }
+    r = random.Random(8)
+    drawn = []
+    for conv in range(1000):
+        for turn in range(r.randint(1, 6)):
+            calls = [{k: v for k, v in (("id", r.choice([None, "x", "y", 3])), ("name", "f"), ("arguments", {"q": 1}), ("needs", r.choice([None, [], "x", ["x"], [None], {}]))) if r.random() < 0.9} for _ in range(r.randint(0, 3))]
+            drawn.append((conv, turn, r.choice(["assistant", "user", None]), json.dumps({"tool_calls": calls}), calls))
+    got = tools.link_conversations(spark.createDataFrame([x[:4] for x in drawn], "conv_id long, turn int, role string, text string"), schemas).collect()
+    want = {}
+    for conv, turn, role, _, calls in drawn:
+        if not calls:
+            want[conv, f"other-{role or 'null'}-{turn}"] = "other_turn"
+        for i, c in enumerate(calls):
+            needs, key = c.get("needs"), (conv, str(c["id"]) if c.get("id") is not None else f"call-{turn}-{i}")
+            bad = c.get("id") is None or not (needs is None or (isinstance(needs, list) and None not in needs))
+            want.setdefault(key, []).append((turn, bad, c))
+    assert {(r["conv_id"], r["call_id"]) for r in got} == set(want)
+    for r in got:
+        of = want[r["conv_id"], r["call_id"]]
+        if of != "other_turn":
+            assert r["n_calls"] == len(of) and r["turn"] == min(t for t, _, _ in of)
+            if len(of) == 1 and of[0][1]:
+                assert r["status"] in ("invalid", "cycle") and ("id: missing" in r["errors"]) == (of[0][2].get("id") is None)

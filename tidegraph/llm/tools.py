@@ -143,7 +143,8 @@ def levels(calls: DataFrame) -> DataFrame:
 def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
     """One row per call, and one per identifier that only results have.
 
-    calls: conv_id, call_id, turn, name, arguments (JSON text), needs (array of call ids).
+    calls: conv_id, call_id, turn, name, arguments (JSON text), needs (array of call ids), and
+    maybe faults (array of texts), which make a call invalid.
     results: conv_id, call_id, turn, content. Identifiers belong to a conversation. Of calls
     with the same identifier the first by (turn, name, arguments) counts, and of results the
     first by (turn, content); n_calls and n_results tell how many there were, counted before
@@ -154,14 +155,16 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
     canonical JSON of call and result. Empty tables give no rows; other columns are ignored.
     """
     has = "conv_id is not null and call_id is not null"
-    first_call = F.min(F.struct("turn", "name", "arguments", "needs")).alias("c")
+    if "faults" not in calls.columns:
+        calls = calls.withColumn("faults", F.array().cast("array<string>"))
+    first_call = F.min(F.struct("turn", "name", "arguments", "needs", "faults")).alias("c")
     c = calls.where(has).groupBy("conv_id", "call_id").agg(first_call, F.count("*").alias("n_calls"))
     c = materialise(c.select("conv_id", "call_id", "c.*", "n_calls"), "calls")
     r = results.where(has).groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", "content")).alias("r"), F.count("*").alias("n_results"))
     r = materialise(r.select("conv_id", "call_id", F.col("r.turn").alias("result_turn"), "r.content", "n_results"), "results")
     key = ["conv_id", "call_id"]
     c = c.join(levels(c), key, "left").withColumn("args", F.expr("try_parse_json(arguments)"))
-    errors = F.concat(F.when(F.col("level").isNull(), F.array(F.lit("cycle"))).otherwise(F.array()), _errors(schemas))
+    errors = F.concat(F.when(F.col("level").isNull(), F.array(F.lit("cycle"))).otherwise(F.array()), F.col("faults"), _errors(schemas))
     linked = c.withColumn("errors", errors).join(r, key, "left").withColumn("n_results", F.coalesce("n_results", F.lit(0).cast("long")))
     linked = linked.withColumn(
         "status",
@@ -201,35 +204,47 @@ def _json(args: bool):
 def from_conversations(conversations: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(calls, results, others) in turns (conv_id, turn, role, text).
 
-    A turn whose text is a JSON object with `tool_calls` ({id, name, arguments, needs} each)
-    holds calls, one with `tool_call_id` (and `content`) a result. Any other user turn k
+    A turn whose text is a JSON object with a list `tool_calls` ({id, name, arguments, needs}
+    each) holds calls, one with `tool_call_id` (and `content`) a result. A call without an id
+    gets `call-<turn>-<place>` for one. faults, a column of calls, lists what is wrong with it
+    as a call: no object, no id, or needs that aren't a list of texts (those of its items that
+    are texts still count). Any other user turn k
     stands for the call `turn-k` of the tool `reply`, and any other assistant turn k + 1 for
-    its result. Turns of any other role, null included, are others (conv_id, turn, role, text).
-    Turns without conv_id or turn give nothing; a null text is empty.
+    its result. Turns of any other role, null included, and those whose list of calls is empty,
+    are others (conv_id, turn, role, text). Turns without conv_id or turn give nothing; a null text is empty.
     """
     t = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
         F.col("role").cast("string").alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     ).where("conv_id is not null and turn is not null")
     t = t.withColumn("v", F.when(F.col("text").rlike(r"^\s*\{"), F.expr("try_parse_json(text)")))
-    listed = "try_variant_get(v, '$.tool_calls', 'array<struct<id: string, name: string, arguments: variant, needs: array<string>>>')"
-    t = t.withColumn("listed", F.expr(listed)).withColumn("answers", F.expr("try_variant_get(v, '$.tool_call_id', 'string')"))
-    embedded = t.where("listed is not null").select("conv_id", "turn", F.explode("listed").alias("x"))
+    t = t.withColumn("listed", F.expr("try_variant_get(v, '$.tool_calls', 'array<variant>')")).withColumn("answers", F.expr("try_variant_get(v, '$.tool_call_id', 'string')"))
+    none, texts = F.array().cast("array<string>"), "^(STRING|BIGINT|DECIMAL.*)$"
+    embedded = t.where("listed is not null").select("conv_id", "turn", F.posexplode("listed").alias("i", "x"))
+    embedded = embedded.withColumn("needs", F.expr("try_variant_get(x, '$.needs', 'variant')")).withColumn("id", F.expr("try_variant_get(x, '$.id', 'string')"))
+    embedded = embedded.withColumn("items", F.expr("try_variant_get(needs, '$', 'array<variant>')"))
+    named = F.filter(F.coalesce("items", F.array().cast("array<variant>")), lambda e: F.coalesce(F.schema_of_variant(e).rlike(texts), F.lit(False)))
+    given = F.col("needs").isNotNull() & ~F.schema_of_variant("needs").eqNullSafe("VOID")
+    faults = F.array(
+        F.when(~F.schema_of_variant("x").startswith("OBJECT"), F.lit("call: not object")), F.when(F.col("id").isNull(), F.lit("id: missing")),
+        F.when(given & (F.col("items").isNull() | (F.size(named) < F.size("items"))), F.lit("needs: not a list of texts")),
+    )
     embedded = embedded.select(
-        "conv_id", F.col("x.id").alias("call_id"), "turn", F.col("x.name").alias("name"),
-        F.expr("if(schema_of_variant(x.arguments) = 'STRING', cast(x.arguments as string), to_json(x.arguments))").alias("arguments"),
-        F.coalesce("x.needs", F.array().cast("array<string>")).alias("needs"),
+        "conv_id", F.coalesce("id", F.concat_ws("-", F.lit("call"), F.col("turn"), F.col("i"))).alias("call_id"), "turn", F.expr("try_variant_get(x, '$.name', 'string')").alias("name"),
+        F.expr("if(schema_of_variant(try_variant_get(x, '$.arguments', 'variant')) = 'STRING', try_variant_get(x, '$.arguments', 'string'), to_json(try_variant_get(x, '$.arguments', 'variant')))").alias("arguments"),
+        F.transform(named, lambda e: F.try_variant_get(e, "$", "string")).alias("needs"), F.array_compact(faults).alias("faults"),
     )
     other = t.where("listed is null and answers is null")
     asked = other.where("role = 'user'").select(
         "conv_id", F.concat(F.lit("turn-"), F.col("turn")).alias("call_id"), "turn", F.lit("reply").alias("name"),
-        F.to_json(F.struct(F.col("text").alias("prompt"), "turn")).alias("arguments"), F.array().cast("array<string>").alias("needs"),
+        F.to_json(F.struct(F.col("text").alias("prompt"), "turn")).alias("arguments"), none.alias("needs"), none.alias("faults"),
     )
     told = t.where("answers is not null").select(
         "conv_id", F.col("answers").alias("call_id"), "turn", F.coalesce(F.expr("try_variant_get(v, '$.content', 'string')"), F.lit("")).alias("content")
     )
     said = other.where("role = 'assistant'").select("conv_id", F.concat(F.lit("turn-"), F.col("turn") - 1).alias("call_id"), "turn", F.col("text").alias("content"))
-    rest = other.where("role is null or role not in ('user', 'assistant')").select("conv_id", "turn", "role", "text")
+    silent = t.where("size(listed) = 0 and answers is null")
+    rest = other.where("role is null or role not in ('user', 'assistant')").union(silent).select("conv_id", "turn", "role", "text")
     return embedded.union(asked), told.union(said), rest
 
 
