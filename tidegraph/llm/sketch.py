@@ -24,6 +24,8 @@ SCALE = 4
 LIMIT = np.uint64((1 << 48) // SCALE)
 #: Rows that a run of neighbouring documents has on average, and the most runs.
 RUN_ROWS, MOST_RUNS = 64, 32_768
+#: Ids of the sample for each run.
+SAMPLED = 32
 #: An id with more rows than this many runs, or than one in HEAVY of all rows, is cut into runs by a hash of the text.
 HEAVY_RUNS, HEAVY = 8, 4_096
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -113,6 +115,16 @@ _ARROW = pa.schema(
 )
 
 
+def _cuts(rows: DataFrame, n: int, runs: int) -> np.ndarray:
+    """Ids that cut the rows into runs of about one size: quantiles of a sample by hash, SAMPLED rows for each run."""
+    if runs == 1:
+        return np.array([], np.int64)
+    share = min(1.0, SAMPLED * runs / n)
+    own = rows.where(F.col("doc_id").isNotNull()).where(F.pmod(F.xxhash64(F.lit(3), "doc_id", "h"), F.lit(1 << 32)) < int(share * (1 << 32)))
+    ids = np.sort(own.select("doc_id").toArrow().column(0).to_numpy())
+    return ids[np.arange(1, runs) * len(ids) // runs] if len(ids) else np.array([], np.int64)
+
+
 def fingerprint_with_next(docs: DataFrame) -> DataFrame:
     """Each document's sketch, that of its edited text, and its likeness to that and to the next document.
 
@@ -121,9 +133,9 @@ def fingerprint_with_next(docs: DataFrame) -> DataFrame:
     follows itself. Null texts are empty: empty fingerprints, likeness 1 to another empty one.
     An empty table gives no rows; other columns are ignored.
 
-    The ids are cut into runs at quantiles, and an id of very many rows (null, say) into runs
+    The ids are cut into runs at quantiles of a sample, and an id of very many rows (null, say) into runs
     by the hash; the texts are shuffled once by run, together with a copy of the first document
-    of each run for the run before it, and each run is read in order as a stream. Quantiles,
+    of each run for the run before it, and each run is read in order as a stream. The sample,
     heavy ids and first ids (a few numbers a run, about MOST_RUNS at most) are all that the
     driver and the broadcasts hold.
     """
@@ -132,14 +144,13 @@ def fingerprint_with_next(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long"), text, F.xxhash64(F.coalesce(text, F.lit(""))).alias("h"))
     n = rows.count()
     runs = max(1, min(MOST_RUNS, n // RUN_ROWS))
-    steps = [i / runs for i in range(1, runs)]
-    cuts = rows.agg(F.percentile_approx("doc_id", steps, 10 * runs + 1000)).first()[0] if steps else []
+    cuts = _cuts(rows, n, runs)
     many = rows.groupBy("doc_id").count().where(F.col("count") > max(HEAVY_RUNS * RUN_ROWS, n // HEAVY)).collect()
     pieces = {r["doc_id"]: -(-r["count"] // max(RUN_ROWS, n // MOST_RUNS)) for r in many}
     nulls = pieces.pop(None, 1)
     heavy = np.array(sorted(pieces), np.int64)
     cut = np.array([1, *(pieces[i] for i in heavy.tolist())], np.int64)
-    edges = np.unique(np.concatenate([np.array(cuts or [], np.int64), heavy, heavy + 1]))
+    edges = np.unique(np.concatenate([cuts, heavy, heavy + 1]))
 
     @F.pandas_udf("run long, heavy boolean")
     def run_of(ids: pd.Series, h: pd.Series) -> pd.DataFrame:
