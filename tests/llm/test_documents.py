@@ -415,12 +415,13 @@ def test_language_identification(docs):
     assert out.columns == docs.columns and out.where("lang = 'und'").count() == 0
 
 
+def grams(t):
+    t = "\0" + t.lower() + "\0\0\0"
+    return [tuple(c if c.isalpha() else "\0" for c in t[i : i + 4]) for i in range(len(t) - 3) if t[i + 1].isalpha() and t[i + 2].isalpha()]
+
+
 def slow_languages(rows):
     """Exact sets of n-grams in place of the filter: share of a text's n-grams that each language has."""
-    def grams(t):
-        t = "\0" + t.lower() + "\0\0\0"
-        return [tuple(c if c.isalpha() else "\0" for c in t[i : i + 4]) for i in range(len(t) - 3) if t[i + 1].isalpha() and t[i + 2].isalpha()]
-
     learned = [(lang, t) for i, t, lang in rows if None not in (i, t, lang) and zlib.crc32(str(i).encode()) % 4 != 2]
     texts, n = {}, {}
     for lang, t in learned:
@@ -439,6 +440,26 @@ def slow_languages(rows):
     return out, kept, sorted(x for x in total if total[x])
 
 
+def test_exact_settings_keep_every_language_of_every_ngram(spark, docs):
+    learned = [(lang, t) for i, t, lang in (r[:3] for r in odd_rows()) if i is not None and lang and t is not None and zlib.crc32(str(i).encode()) % 4 != 2]
+    has = {}
+    for lang, t in learned:
+        for g in set(grams(t)):
+            has.setdefault(g, set()).add(lang)
+    m = langid.learn(docs.where("doc_id is not null").where(~langid.held_out()).select("lang", "text"), **langid.EXACT)
+    looked, more = 0, 0
+    for g, of in has.items():
+        x = langid._grams([(0, "".join(g))])[0]
+        if len(x) == 1:
+            cells = [m["cells"][0][a][0] for a in langid._cells(x, len(m["cells"][0]))]
+            sets = {lang for i, lang in enumerate(m["langs"]) if int(cells[0] & cells[1] & cells[2]) >> i & 1}
+            assert of <= sets
+            looked, more = looked + 1, more + len(sets - of)
+    assert looked > 80 and more <= looked / 50
+    assert langid._enough(10**9, **{k: langid.EXACT[k] for k in ("least", "rare")}) == 1
+    assert {r["lang_pred"] for r in langid.identify(docs, **langid.EXACT).collect()} >= {"en", "fr", "und"}
+
+
 def test_languages_against_exact_sets(spark, docs, monkeypatch):
     rows = [r[:3] for r in odd_rows()]
     want, kept, langs = slow_languages(rows)

@@ -27,6 +27,8 @@ CELLS_LOG2, K = 20, 3
 #: 8 texts (see _enough), or one in RARE of all texts of the language where that is more: what is kept
 #: of a language then has a bound, the mean number of n-grams in a text times RARE.
 LEAST_COUNT, SHARE, RARE = 3, 0.25, 100_000
+#: Settings that keep all n-grams of all texts.
+EXACT = {"least": 1, "share": 0.0, "rare": None}
 #: Languages in one slice of the filter: as many as a long has safe bits.
 SLICE = 62
 #: Characters that are looked at together, and different n-grams that a task holds before it hands on its counts.
@@ -84,9 +86,9 @@ def _grams(parts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return x, owner[: len(ok)][ok], owner[letter]
 
 
-def _enough(texts: int) -> int:
-    """How many texts of a language must have an n-gram: 1 below 8 texts, 2 below 16."""
-    return max(min(LEAST_COUNT, 1 + texts // 8), -(-texts // RARE))
+def _enough(texts: int, least: int = LEAST_COUNT, rare: int | None = RARE) -> int:
+    """How many texts of a language must have an n-gram: `least`, but 1 below 8 texts and 2 below 16, or one in `rare` of all."""
+    return max(min(least, 1 + texts // 8), -(-texts // rare) if rare else 1)
 
 
 def _size(kept: int) -> int:
@@ -165,8 +167,15 @@ def _bits(sizes):
     return run
 
 
-def learn(labelled: DataFrame) -> dict:
-    """The filter of all rows of (lang, text) with a lang: langs, cells of each slice, and each language's false positives."""
+def learn(labelled: DataFrame, least: int = LEAST_COUNT, share: float = SHARE, rare: int | None = RARE) -> dict:
+    """The filter of all rows of (lang, text) with a lang: langs, cells of each slice, and each language's false positives.
+
+    Which n-grams a language has: those of `least` of its texts (see _enough), at `share` of the
+    highest rate. EXACT keeps every n-gram of every text: the filter then returns all languages
+    that contain an n-gram, and grows with all of them. It is made on the driver and held by
+    every worker: cells of 8 bytes (1 for up to 8 languages), 4.33 for each n-gram kept of a
+    slice's largest language, so 50 million n-grams kept of one of eight languages are 217 MB.
+    """
     counts = labelled.where("lang is not null and text is not null").select("lang", "text").mapInArrow(
         _count, "lang string, gram long, n long"
     )
@@ -177,12 +186,12 @@ def learn(labelled: DataFrame) -> dict:
     langs = sorted(totals)
     cells = []
     if langs:
-        known = [(x, float(totals[x]), _enough(texts[x]), i // SLICE, 1 << i % SLICE) for i, x in enumerate(langs)]
+        known = [(x, float(totals[x]), _enough(texts[x], least, rare), i // SLICE, 1 << i % SLICE) for i, x in enumerate(langs)]
         of = labelled.sparkSession.createDataFrame(known, "lang string, total double, least long, slice int, bit long")  # one row a language
         # One text less in the highest rate: what a single text of a small language has takes nothing from the others.
         rated = counts.where("gram is not null").join(of, "lang").select("gram", "n", "least", (F.col("n") / F.col("total")).alias("rate"), ((F.col("n") - 1) / F.col("total")).alias("sure"), "slice", "bit")
         most = rated.groupBy("gram").agg(F.collect_list(F.struct("n", "least", "rate", "slice", "bit")).alias("of"), F.max("sure").alias("top"))
-        used = most.select("gram", F.filter("of", lambda x: (x["n"] >= x["least"]) & (x["rate"] >= SHARE * F.col("top"))).alias("of"))
+        used = most.select("gram", F.filter("of", lambda x: (x["n"] >= x["least"]) & (x["rate"] >= share * F.col("top"))).alias("of"))
         sets = used.select("gram", F.explode(F.array_distinct(F.transform("of", lambda x: x["slice"]))).alias("slice"), "of").select(
             "gram",
             "slice",
@@ -204,9 +213,9 @@ def learn(labelled: DataFrame) -> dict:
             for low in range(0, size, READ):  # a bounded part at once comes to the driver
                 rows = put.where((F.col("slice") == part) & F.col("cell").between(low, low + READ - 1)).select("cell", "bits").toArrow()
                 cells[part][rows.column(0).to_numpy()] = rows.column(1).to_numpy().astype(cells[part].dtype)
-    share = [float((cells[i // SLICE] >> i % SLICE & 1).mean()) for i in range(len(langs))]
+    filled = [float((cells[i // SLICE] >> i % SLICE & 1).mean()) for i in range(len(langs))]
     common = max(langs, key=lambda x: (totals[x], x), default=UNDETERMINED)
-    return {"langs": langs, "cells": cells, "false": [s**K for s in share], "common": common}
+    return {"langs": langs, "cells": cells, "false": [s**K for s in filled], "common": common}
 
 
 def _predictor(model):
@@ -249,8 +258,8 @@ def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def identify(docs: DataFrame) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score) of every row, from its whole text.
+def identify(docs: DataFrame, **settings) -> DataFrame:
+    """(doc_id, held_out, lang_pred, score) of every row, from its whole text. settings: see learn.
 
     Learned from all rows with text, lang and doc_id that are not held out. A null text, or
     one without any letter, is `und` with score 0; so is everything if nothing can be
@@ -262,7 +271,7 @@ def identify(docs: DataFrame) -> DataFrame:
     language of a few texts has all their n-grams.
     """
     d = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"))
-    model = docs.sparkSession.sparkContext.broadcast(learn(d.where("doc_id is not null").where(~held_out())))
+    model = docs.sparkSession.sparkContext.broadcast(learn(d.where("doc_id is not null").where(~held_out()), **settings))
     return d.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(
         _predictor(model), "doc_id long, held_out boolean, lang_pred string, score double"
     )
