@@ -477,3 +477,31 @@ def test_no_turn_of_tool_calls_is_lost(spark):
             assert r["n_calls"] == len(of) and r["turn"] == min(t for t, _, _ in of)
             if len(of) == 1 and of[0][1]:
                 assert r["status"] in ("invalid", "cycle") and ("id: missing" in r["errors"]) == (of[0][2].get("id") is None)
+
+
+@pytest.mark.parametrize("part, said", [
+    ('<h2>References</h2><ul><li><a href="a">First source of this</a></li><li><a href="b">Second source here</a></li><li><a href="c">Third one</a></li></ul>', "Third one"),
+    ('<div class="related-work"><p>Earlier studies looked at this question in other places and found it hard.</p></div>', "Earlier studies"),
+    ('<div class="form-of-words"><p>The form of words that was chosen says little about the matter at hand, as we saw.</p></div>', "form of words that"),
+])
+def test_parts_of_articles_with_links_and_odd_names_stay(part, said):
+    body = "".join(f"<p>{' '.join(['Some words of the article that go on'] * 4)} {i}.</p>" for i in range(6))
+    page = f"<html><body><header><p>Site</p></header><nav><ul><li><a href=1>Home</a></li></ul></nav><article><h1>Title here</h1>{body}{part}</article><div class=ad>Buy it</div><footer>c 2020</footer></body></html>"
+    got = extraction.extract(page, extraction.model())
+    assert said in got and got.startswith("Title here") and not {"Site", "Home", "Buy", "2020"} & set(got.split())
+
+
+def test_decoding_is_the_most_probable_hierarchy():
+    """Against all labellings of small trees in which no yes is under a no and the page is yes."""
+    r = np.random.default_rng(6)
+    for _ in range(60):
+        n = int(r.integers(1, 9))
+        nodes = [type("Node", (), {"parent": int(r.integers(0, i)) if i else -1})() for i in range(n)]
+        odds = r.normal(0, 2, n)
+        p = 1 / (1 + np.exp(-odds))
+        best = (-1.0, None)
+        for bits in range(1 << n):
+            yes = [bool(bits >> i & 1) for i in range(n)]
+            if yes[0] and all(yes[nodes[i].parent] or not yes[i] for i in range(1, n)):
+                best = max(best, (float(np.prod([p[i] if yes[i] else 1 - p[i] for i in range(1, n) if yes[nodes[i].parent]])), yes))
+        assert extraction.decode(nodes, odds) == best[1]

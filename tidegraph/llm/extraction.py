@@ -95,7 +95,7 @@ def features(html_nodes) -> np.ndarray:
             *tag, *own, *up, TAG_OF.get(nodes[x.parent].tag, N_TAGS - 1) if i else 31, hidden, min(31, x.depth), _log2(text[i]), _log2(x.own), int(15 * links[i] / max(1, text[i])),
             _log2(text[i] // (tags[i] + 1)), min(15, len(x.children)), min(15, k), min(15, at), int(15 * at / k),
             int(31 * text[i] / total), int(31 * before[i] / total), int(15 * text[i] / max(1, around)), min(15, paras[i]),
-            _log2(around // k), int(any(nodes[c].tag in ("h1", "h2") for c in x.children)),
+            _log2(around // k), *(int(any(nodes[c].tag in heads for c in x.children)) for heads in (("h1", "h2"), ("h3", "h4", "h5", "h6"))),
         ])
     return np.array(rows, np.uint8)
 
@@ -173,9 +173,25 @@ class _Writer:
         tag = r.choice(["section", "div", "aside", "ul"])
         return f'<{tag} {r.choice(["class", "id"])}="{name}"><h3>{w(1, 3)}</h3>{"".join(one() for _ in range(r.randint(1, 6)))}</{tag}>'
 
+    def sources(self) -> str:
+        """A list of links that belongs to the article."""
+        r, w = self.r, self.words
+        item = lambda: f'<a href="http://{r.randrange(99)}">{w(2, 14)}</a>' + (f" {w(1, 6)}" if r.random() < 0.3 else "")
+        tag = r.choice(["ul", "ul", "ol"])
+        return r.choice(["", f"<h2>{w(1, 3)}</h2>", f"<p>{w(2, 9)}</p>"]) + f"<{tag}>{''.join(f'<li>{item()}</li>' for _ in range(r.randint(2, 9)))}</{tag}>"
+
+    def division(self) -> str:
+        """A part of the article whose name has a word that other parts of pages are known by."""
+        r, w = self.r, self.words
+        known = [x for k in ("side", "form", "talk", "share", "head") for x in WORDS[k].split()]
+        name = r.choice([f"{r.choice(known)}-{w(1, 1).strip('.!').lower()}", f"{w(1, 1).strip('.!').lower()}-{r.choice(known)}", w(1, 2).strip(".!").lower().replace(" ", "-")])
+        inner = "".join(f"<p>{w(12, 90)}</p>" for _ in range(r.randint(1, 3))) if r.random() < 0.8 else w(20, 90)
+        tag = r.choice(["div", "div", "section"])
+        return f'<{tag} {r.choice(["class", "class", "id"])}="{name}">{r.choice(["", f"<h2>{w(1, 4)}</h2>"])}{inner}</{tag}>'
+
     def body(self) -> str:
         r, w = self.r, self.words
-        small = r.random() < 0.25
+        small = r.random() < 0.35
         style = r.choice(["p", "p", "p", "div", "br", "open"])
         out = []
         for _ in range(r.randint(0, 2) if small else r.randint(2, 12) if r.random() < 0.7 else r.randint(12, 60)):
@@ -198,8 +214,14 @@ class _Writer:
                 out.append(f"<p>{t[:30]}<br><p>{w(1, 9)}</p>")
             elif extra < 0.24:
                 out.append("\0" + self.junk(r.choice(["ad", "ad", "note", "side", "share", "form"])) + "\1")
+            elif extra < 0.28:
+                out.append(self.sources())
+            elif extra < 0.36:
+                out.append(self.division())
         if r.random() < 0.8 or not out:
             out.insert(0, f"<h1>{w(3, 12)}</h1>")
+        if r.random() < 0.1:
+            out.append(self.sources())
         if r.random() < 0.2:
             out.append("\0" + self.junk(r.choice(["share", "talk", "side", "foot"])) + "\1")
         return "".join(out)
@@ -246,7 +268,7 @@ def _labels(nodes, pieces) -> np.ndarray:
 
 
 @lru_cache(maxsize=2)
-def model(pages: int = 700, seed: int = 7) -> Boosted:
+def model(pages: int = 1000, seed: int = 7) -> Boosted:
     """Trained on `pages` drawn pages: a fixed, bounded amount of work on the driver."""
     xs, ys = [], []
     for i in range(pages):
