@@ -8,7 +8,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tidegraph.functions import contracts, schema
+from tidegraph.functions import contracts, schema, verbs
 from tidegraph.functions import scoring as s
 from tidegraph.operators import extraction, trend
 from tidegraph.plans.registry import add
@@ -121,3 +121,34 @@ def s17_file(spark, sf):
     files.write_movers(movers_view(spark, sf), path, meta)
     kinds = "entity_id string, current_rank int, rank_prior int, is_new boolean, velocity_raw double, mention_count_30d long, first_seen string, days_since_first_seen long, in_trending_view boolean, trend_score double"
     return files.read_lines(spark, f"{path}/rows", kinds)
+
+
+#: Forms of the graph's relations, by hand.
+_FORMS = {
+    "MENTIONS": ["MENTION base", "MENTIONED past", "MENTIONING gerund", "MENTIONS_BY inverse"], "SUPPLIES": ["SUPPLY base", "SUPPLIED past", "SUPPLYING gerund", "SUPPLIES_BY inverse"],
+    "ORDERS": ["ORDER base", "ORDERED past", "ORDERING gerund", "ORDERS_BY inverse"], "LOCATED_IN": ["LOCATE_IN base", "LOCATING_IN gerund", "LOCATES_IN third"], "PART_OF": ["PARTED_OF past", "PARTING_OF gerund", "PARTS_OF third"],
+}
+FORMS_SQL = ", nm(variant, form, canonical) as (values " + ", ".join(f"('{x.split()[0]}', '{x.split()[1]}', '{name}')" for name, xs in _FORMS.items() for x in xs) + ")"
+
+
+def _names(spark, sf):
+    return t.graph(spark, sf).select("rel").distinct()
+
+
+@add("e14_verb_forms", FORMS_SQL + " select nm.* from nm where canonical in (select rel from graph)")
+def e14(spark, sf):
+    """The map of all relations that the graph has, made by a table function."""
+    return verbs.normalization_map(_names(spark, sf))
+
+
+#: How models spell relations, by the kind of edge.
+_SPELT = {"asserted": "lower(rel)", "inferred": "case rel when 'SUPPLIES' then 'Supplied' when 'MENTIONS' then 'mentioning' else 'orders by' end", "hypothesis": "case rel when 'ORDERS' then 'ORDERS-BY' when 'MENTIONS' then 'likes' else rel end"}
+_SPELT_SQL = "case kind " + " ".join(f"when '{k}' then {v}" for k, v in _SPELT.items()) + " end"
+
+
+@add("a30_relation_coverage", FORMS_SQL + f""", said as (select upper({_SPELT_SQL}) as up from relations), c as (select up, case when up in (select rel from graph) then 'canonical' when up in (select variant from nm) or regexp_replace(up, '[- ]', '_', 'g') in (select variant from nm) then 'normalized' else 'unknown' end as class, count(*) as n from said group by 1, 2)
+select class, sum(n)::bigint as n, count(*) as forms from c group by 1""")
+def a30_relations(spark, sf):
+    """Coverage of spellings by the generated map."""
+    names = _names(spark, sf)
+    return verbs.coverage(t.relations(spark, sf).select(F.expr(_SPELT_SQL).alias("rel")), names, verbs.normalization_map(names))
