@@ -85,31 +85,70 @@ def similar_pairs(names: DataFrame, low: float, high: float | None = None, alias
     return best.select("a", "b", "oa", "ob", "type", F.round("similarity", 6).alias("similarity"))
 
 
-def assign(names: DataFrame, pairs: DataFrame, checkpoint=lambda df: materialise(df, "greedy")) -> DataFrame:
+def assign(names: DataFrame, pairs: DataFrame) -> DataFrame:
     """(id, canonical): the greedy pass in order, without transitive closure.
 
     An entity is canonical when all its earlier matches are absorbed, and absorbed when an
-    earlier match is canonical; it goes to the earliest canonical match. Rounds decide all
-    entities whose earlier matches are decided, until none is left.
+    earlier match is canonical; it goes to the earliest canonical match.
+
+    What is open is kept as claims (x, a, s): one of x's earlier matches is canonical just if a
+    is canonical (s) or is not (not s); x is absorbed if a claim holds, canonical if none does.
+    An entity with one claim has the role of a, or the opposite, so chains of them are jumped
+    over by doubling, and claims on them move to where the chain ends. A round decides all
+    whose claims are decided: rounds count entities with several claims one behind the other,
+    not the length of chains.
     """
-    e = pairs.select("a", "b", "oa").distinct()
-    state = names.select("id", F.lit(None).cast("string").alias("role"))
-    free = state.join(e.select(F.col("b").alias("id")), "id", "left_anti").select("id", F.lit("canonical").alias("role"))
-    done = checkpoint(free)
+    e = materialise(pairs.select("a", "b", "oa").distinct(), "matches")
+    claims = materialise(e.select(F.col("b").alias("x"), "a", F.lit(True).alias("s")), "claims")
+    done = materialise(names.select("id").join(claims.select(F.col("x").alias("id")), "id", "left_anti").select("id", F.lit(True).alias("role")), "roles")
     while True:
-        left = names.select("id").join(done.select("id"), "id", "left_anti")
-        known = e.join(left.select(F.col("id").alias("b")), "b", "left_semi").join(done.select(F.col("id").alias("a"), "role"), "a", "left")
-        per = known.groupBy("b").agg(F.count_if(F.col("role") == "canonical").alias("c"), F.count_if(F.col("role").isNull()).alias("open"))
-        fresh = per.where("c > 0 or open = 0").select(F.col("b").alias("id"), F.when(F.col("c") > 0, "absorbed").otherwise("canonical").alias("role"))
-        fresh = checkpoint(fresh)
+        known = claims.join(done.select(F.col("id").alias("a"), "role"), "a", "left")
+        both = F.min("s") != F.max("s")  # a is canonical or it isn't: one of the two claims holds
+        per = known.groupBy("x", "a").agg(F.coalesce(both | F.bool_or(F.col("role") == F.col("s")), both).alias("holds"), F.first("role").isNull().alias("open"))
+        fresh = per.groupBy("x").agg(F.bool_or("holds").alias("holds"), F.bool_or("open").alias("open")).where("holds or not open").select(F.col("x").alias("id"), (~F.col("holds")).alias("role"))
+        fresh = materialise(fresh, "fresh")
         if fresh.isEmpty():
             break
-        done = checkpoint(done.union(fresh))
-    canon = done.where("role = 'canonical'").select(F.col("id").alias("a"))
-    to = e.join(canon, "a").join(done.where("role = 'absorbed'").select(F.col("id").alias("b")), "b").groupBy("b").agg(F.min_by("a", F.struct("oa", "a")).alias("canonical"))
+        done = materialise(done.union(fresh), "roles")
+        left = known.where("role is null").select("x", "a", "s").join(fresh.select(F.col("id").alias("x")), "x", "left_anti").distinct()
+        claims = _shortened(materialise(left, "claims"))
+    canon = done.where("role").select(F.col("id").alias("a"))
+    to = e.join(canon, "a").join(done.where("not role").select(F.col("id").alias("b")), "b").groupBy("b").agg(F.min_by("a", F.struct("oa", "a")).alias("canonical"))
     return names.select("id").join(to.withColumnRenamed("b", "id"), "id", "left").select("id", F.coalesce("canonical", "id").alias("canonical"))
 
 
+def _shortened(claims: DataFrame) -> DataFrame:
+    """The claims, moved along entities with a single one to the end of their chains."""
+    many = materialise(claims.groupBy("x").agg(F.count("*").alias("n")), "claimed")
+    chain = materialise(claims.join(many.where("n = 1").select("x"), "x", "left_semi"), "chain")
+    onward = lambda c: c.select(F.col("x").alias("a"), F.col("a").alias("a2"), F.col("s").alias("s2"))
+    moved = lambda d: d.select("x", F.coalesce("a2", "a").alias("a"), F.when(F.col("s2").isNull(), F.col("s")).otherwise(F.col("s") != F.col("s2")).alias("s"))
+    while True:
+        longer = materialise(chain.join(onward(chain), "a", "left"), "chain")
+        if longer.where("a2 is not null").isEmpty():
+            break
+        chain = moved(longer)
+    several = claims.join(many.where("n > 1").select("x"), "x", "left_semi")
+    return materialise(moved(several.join(onward(chain), "a", "left")).distinct().union(chain), "claims")
+
+
+def resolve_names(names: DataFrame, low: float) -> DataFrame:
+    """(id, canonical) of names (id, type, name, ord): the greedy pass over all matches of at least `low`.
+
+    Entities of one type and normalized name match each other and the same others, so the
+    first of them goes through the pass alone, and the others go where it goes: a row each, and
+    no pairs among them. Names without any letter match nothing.
+    """
+    n = names.select("id", "type", "ord", "name", normalize_name(F.col("name")).alias("plain"))
+    n = n.withColumn("plain", F.when(F.col("plain") == "", F.concat(F.lit("\0"), F.col("id").cast("string"))).otherwise(F.col("plain")))
+    first = n.groupBy("type", "plain").agg(F.min(F.struct("ord", "id", "name")).alias("f"))
+    first = materialise(first.select("type", "plain", "f.*"), "first")
+    own = first.select("id", "type", "name", "ord")
+    to = assign(own, similar_pairs(own, low))
+    of = materialise(first.join(to, "id").select("type", "plain", "canonical"), "of")
+    return n.join(of, ["type", "plain"]).select("id", "canonical")
+
+
 def merge_relations(relations: DataFrame, mapping: DataFrame) -> DataFrame:
     """Ends moved to their canonical entity; of rows that then agree the lowest relation_id stays, `merged` counts them."""
     m = mapping.where("id <> canonical")

@@ -47,8 +47,7 @@ def j9_aliases(spark, sf):
 @add("n5_greedy_resolution")
 def n5(spark, sf):
     """Sequential by nature; held against the plain loop in the tests."""
-    n = names(spark, sf)
-    return resolve.assign(n, resolve.similar_pairs(n, 0.6))
+    return resolve.resolve_names(names(spark, sf), 0.6)
 
 
 @add("n1_normalize_names", "select p_partkey, trim(regexp_replace(regexp_replace(regexp_replace(lower(trim(p_brand || ' (' || p_name || ')!')), '\\s+', ' ', 'g'), '[^\\p{L}\\p{N}_\\s-]', '', 'g'), '\\s+', ' ', 'g')) as name from part")
