@@ -253,10 +253,10 @@ def j1(spark, sf):
     return rel(spark, sf).join(d, "doc_id").select("relation_id", "doc_id")
 
 
-@add("j2_evidence_documents", "select relation_id, coalesce(published_at, 'unknown') as published, snippet from relations left join (select * from docs where status = 'extracted') using (doc_id) where rel = 'SUPPLIES'")
+@add("j2_evidence_documents", "select relation_id, coalesce(published_at, 'unknown') as published, snippet from relations left join (select * from docs where status = 'extracted') using (doc_id)")
 def j2(spark, sf):
     d = t.documents(spark, sf).where("status = 'extracted'").select("doc_id", "published_at")
-    return rel(spark, sf).where("rel = 'SUPPLIES'").join(d, "doc_id", "left").select("relation_id", F.coalesce("published_at", F.lit("unknown")).alias("published"), "snippet")
+    return rel(spark, sf).join(d, "doc_id", "left").select("relation_id", F.coalesce("published_at", F.lit("unknown")).alias("published"), "snippet")
 
 
 @add("j3_relations_per_source", "select source, count(distinct d.doc_id) as docs, count(relation_id) as relations from docs d left join relations using (doc_id) group by 1")
@@ -265,11 +265,11 @@ def j3(spark, sf):
     return t.documents(spark, sf).join(per, "doc_id", "left").groupBy("source").agg(F.count_distinct("doc_id").alias("docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("relations"))
 
 
-@add("j7_one_antecedent", "select r.source_id, r.target_id, round(r.confidence * 0.5, 3) as confidence from places r join entities s on s.entity_id = r.source_id join entities o on o.entity_id = r.target_id where rel = 'LOCATED_IN' and s.type = 'Supplier' and o.type = 'Nation'")
+@add("j7_one_antecedent", "select r.source_id, r.target_id, round(r.confidence * 0.5, 3) as confidence from graph r join entities s on s.entity_id = r.source_id join entities o on o.entity_id = r.target_id where rel = 'LOCATED_IN' and s.type = 'Supplier' and o.type = 'Nation'")
 def j7(spark, sf):
     e = t.named_entities(spark, sf)
     kind = lambda end, of: e.where(F.col("type") == of).select(F.col("entity_id").alias(end))
-    r = places(spark, sf).where("rel = 'LOCATED_IN'").join(kind("source_id", "Supplier"), "source_id", "left_semi").join(kind("target_id", "Nation"), "target_id", "left_semi")
+    r = t.graph(spark, sf).where("rel = 'LOCATED_IN'").join(kind("source_id", "Supplier"), "source_id", "left_semi").join(kind("target_id", "Nation"), "target_id", "left_semi")
     return r.select("source_id", "target_id", F.round(F.col("confidence") * 0.5, 3).alias("confidence"))
 
 
@@ -291,10 +291,11 @@ def j17(spark, sf):
     return g.new_edges(wanted, r)
 
 
-@add("j18_evidence_count", "select p.relation_id, (select count(*) from relations r where r.source_id = p.source_id and r.rel = 'SUPPLIES') as evidence_count from places p")
+@add("j18_evidence_count", "select g.relation_id, (select count(*) from relations r where r.source_id = g.source_id and r.rel = g.rel and r.target_id = g.target_id) as evidence_count from graph g")
 def j18(spark, sf):
-    n = rel(spark, sf).where("rel = 'SUPPLIES'").groupBy("source_id").agg(F.count("*").alias("n"))
-    return places(spark, sf).join(n, "source_id", "left").select("relation_id", F.coalesce("n", F.lit(0)).alias("evidence_count"))
+    edge = ["source_id", "rel", "target_id"]
+    n = rel(spark, sf).groupBy(*edge).agg(F.count("*").alias("n"))
+    return t.graph(spark, sf).join(n, edge, "left").select("relation_id", F.coalesce("n", F.lit(0)).alias("evidence_count"))
 
 
 @add("s3_entity_relations", "select relation_id, rel from relations where source_id = 'supplier:7' or target_id = 'part:7'")
@@ -312,9 +313,9 @@ def s4(spark, sf):
     return t.documents(spark, sf).agg(F.substring(F.max("published_at"), 1, 10).alias("latest"))
 
 
-@add("s20_ontology", "select name as canonical, string_agg(entity_id, ',' order by entity_id) as aliases, count(*) as n from entities where type = 'Part' group by 1")
+@add("s20_ontology", "select type, name as canonical, string_agg(entity_id, ',' order by entity_id) as aliases, count(*) as n from entities group by 1, 2")
 def s20(spark, sf):
-    return t.named_entities(spark, sf).where("type = 'Part'").groupBy(F.col("name").alias("canonical")).agg(F.array_join(F.array_sort(F.collect_list("entity_id")), ",").alias("aliases"), F.count("*").alias("n"))
+    return t.named_entities(spark, sf).groupBy("type", F.col("name").alias("canonical")).agg(F.array_join(F.array_sort(F.collect_list("entity_id")), ",").alias("aliases"), F.count("*").alias("n"))
 
 
 @add("u1_endpoints", "select entity_id, count(*) as n from (select source_id as entity_id from relations union all select target_id from relations) group by 1")

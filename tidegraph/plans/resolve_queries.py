@@ -78,10 +78,10 @@ def u6(spark, sf):
     return resolve.merge_entities(t.entities(spark, sf), mapping(spark, sf))
 
 
-@add("n8_prefer_connected", ", c as (select e, count(*) as n from (select source_id as e from relations union all select target_id from relations) group by 1), pr as (select 'part:' || p_partkey as a, 'part:' || (p_partkey + 1) as b from part where p_partkey % 2 = 0) select a, b, case when coalesce(y.n, 0) > coalesce(x.n, 0) then b else a end as canonical from pr left join c x on x.e = a left join c y on y.e = b")
+@add("n8_prefer_connected", ", c as (select e, count(*) as n from (select source_id as e from relations union all select target_id from relations) group by 1), pr as (select 'part:' || p_partkey as a, 'part:' || (p_partkey + 1) as b from part) select a, b, case when coalesce(y.n, 0) > coalesce(x.n, 0) then b else a end as canonical from pr left join c x on x.e = a left join c y on y.e = b")
 def n8(spark, sf):
     k = F.col("p_partkey")
-    pairs = t.table(spark, sf, "part").where(k % 2 == 0).select(F.concat(F.lit("part:"), k).alias("a"), F.concat(F.lit("part:"), k + 1).alias("b"))
+    pairs = t.table(spark, sf, "part").select(F.concat(F.lit("part:"), k).alias("a"), F.concat(F.lit("part:"), k + 1).alias("b"))
     return resolve.prefer_connected(pairs, t.relations(spark, sf))
 
 
@@ -91,10 +91,15 @@ def n9(spark, sf):
     return t.table(spark, sf, "part").select("p_partkey", F.lower("p_name").alias("alias")).join(al, "alias", "left").select("p_partkey", "canonical")
 
 
-@add("j12_name_to_id", ", ids as (select name, min(entity_id) as id from entities where type in ('Supplier', 'Nation') group by 1), named as (select s_name as source, n_name as target from supplier join nation on s_nationkey = n_nationkey) select s.id as source_id, o.id as target_id from named join ids s on s.name = source join ids o on o.name = target")
+@add("j12_name_to_id", ", ids as (select name, min(entity_id) as id from entities group by 1), named as (select s_name as source, n_name as target from supplier join nation on s_nationkey = n_nationkey union all select p_name, s_name from lineitem join part on p_partkey = l_partkey left join supplier on s_suppkey = l_suppkey and s_suppkey % 9 > 0) select s.id as source_id, o.id as target_id from named join ids s on s.name = source join ids o on o.name = target")
 def j12(spark, sf):
-    ids = t.named_entities(spark, sf).where("type in ('Supplier', 'Nation')").groupBy("name").agg(F.min("entity_id").alias("id"))
-    named = t.table(spark, sf, "supplier").join(t.table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_name").alias("source"), F.col("n_name").alias("target"))
+    """Ends by name; an end without a known name drops its relation (every ninth supplier of the lines has none)."""
+    table = lambda n: t.table(spark, sf, n)
+    ids = t.named_entities(spark, sf).groupBy("name").agg(F.min("entity_id").alias("id"))
+    named = table("supplier").join(table("nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_name").alias("source"), F.col("n_name").alias("target"))
+    known = table("supplier").where(F.col("s_suppkey") % 9 > 0).select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
+    lines = table("lineitem").join(table("part").select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey").join(known, "l_suppkey", "left")
+    named = named.union(lines.select("p_name", "s_name"))
     a = ids.select(F.col("name").alias("source"), F.col("id").alias("source_id"))
     return named.join(a, "source").join(ids.select(F.col("name").alias("target"), F.col("id").alias("target_id")), "target").select("source_id", "target_id")
 
@@ -218,12 +223,12 @@ def e11(spark, sf):
     return extraction.verdict(parsed(spark, sf), answer_texts(spark, sf))
 
 
-@add("e5_tech_terms", "select n_nationkey, n_name || '|' || lower(n_name) || '|{\"other\":' || n_regionkey || '}' as terms from nation")
+@add("e5_tech_terms", "select p_partkey, p_name || '|' || lower(p_brand) || '|{\"other\":' || p_size || '}' as terms from part")
 def e5(spark, sf):
-    name = F.col("n_name")
-    terms = F.array(F.to_json(F.struct(name.alias("v"))), F.to_json(F.struct(F.struct(F.lit("").alias("term"), F.lower(name).alias("name")).alias("v"))), F.to_json(F.struct(F.struct(F.col("n_regionkey").alias("other")).alias("v"))), F.lit('{"v":""}'), F.lit('{"v":7}'))
+    text = lambda c: F.to_json(F.struct(c.alias("v")))
+    terms = F.array(text(F.col("p_name")), text(F.struct(F.lit("").alias("term"), F.lower("p_brand").alias("name"))), text(F.struct(F.col("p_size").alias("other"))), F.lit('{"v":""}'), F.lit('{"v":7}'))
     parsed_terms = F.transform(terms, lambda z: F.variant_get(F.parse_json(z), "$.v", "variant"))
-    return t.table(spark, sf, "nation").select("n_nationkey", F.array_join(extraction.tech_terms(parsed_terms), "|").alias("terms"))
+    return t.table(spark, sf, "part").select("p_partkey", F.array_join(extraction.tech_terms(parsed_terms), "|").alias("terms"))
 
 
 @add("e16_pair_verdicts", """, ln as (select *, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_returnflag, l_tax) - 1 as i from lineitem)

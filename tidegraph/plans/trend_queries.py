@@ -111,12 +111,25 @@ PRESETS = {
 }
 
 
+#: Entities that come and go: a user's hours of the day, so that a run has newcomers.
+HOURLY = ", hourly as (select 'user:' || user_id || ':' || hour(ts) as entity_id, event_id as doc_id, strftime(ts, '%Y-%m-%d') as published, event_type as source from events)"
+
+
+def hourly_cube(spark, sf):
+    e = t.table(spark, sf, "events").where(F.col("ts") < F.lit("2024-01-31").cast("timestamp"))
+    return materialise(trend.day_counts(e.select(F.concat_ws(":", F.lit("user"), "user_id", F.hour("ts")).alias("entity_id"), t.day("ts").alias("published"), F.col("event_type").alias("source"))), "day_counts")
+
+
 def _preset(name):
     where, order = PRESETS[name]
+    fresh = name == "newcomers"
+    sql = HOURLY + MOVERS_SQL.replace("from mentions", "from hourly") if fresh else MOVERS_SQL
 
-    @add(f"p19_movers_{name}", MOVERS_SQL + f" select entity_id, rank, trend_score from (select * from movers where {where} order by {', '.join(order)} limit 25)")
+    @add(f"p19_movers_{name}", sql + f" select entity_id, rank, trend_score from (select * from movers where {where} order by {', '.join(order)} limit 25)")
     def p19(spark, sf):
-        return movers(spark, sf).where(where).orderBy(*map(_order, order)).limit(25).select("entity_id", "rank", "trend_score")
+        days = hourly_cube(spark, sf) if fresh else cube(spark, sf)
+        rows = trend.movers(trend.history_of(days, RUNS, P), days, "2024-01-30", P)
+        return rows.where(where).orderBy(*map(_order, order)).limit(25).select("entity_id", "rank", "trend_score")
 
 
 def _order(text):
@@ -194,8 +207,8 @@ def u4(spark, sf):
     return day("2024-01-23").intersect(day("2024-01-30")).agg(F.count("*").alias("stayed"))
 
 
-@add("u3_new_entities", HISTORY_SQL + " select entity_id from history where run_date = '2024-01-16' except select entity_id from history where run_date = '2024-01-09'")
+@add("u3_new_entities", HOURLY + HISTORY_SQL.replace("from mentions", "from hourly") + " select entity_id from history where run_date = '2024-01-16' except select entity_id from history where run_date = '2024-01-09'")
 def u3(spark, sf):
-    h = history(spark, sf)
+    h = trend.history_of(hourly_cube(spark, sf), RUNS, P)
     day = lambda d: h.where(F.col("run_date") == d).select("entity_id")
     return day("2024-01-16").join(day("2024-01-09"), "entity_id", "left_anti").distinct()
