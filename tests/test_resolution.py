@@ -68,3 +68,27 @@ def test_names_with_repeats_equal_the_pass_over_all(spark):
     d = spark.createDataFrame(rows, "id string, type string, ord int, name string")
     every = resolve.assign(d, resolve.similar_pairs(d, 0.6))
     assert sorted(map(tuple, resolve.resolve_names(d, 0.6).collect())) == sorted(map(tuple, every.collect()))
+
+
+def test_resolve_or_create(spark):
+    old = [("org:open_ai", "Open AI", "Org", "2024-01-01", "2024-01-05"), ("org:deep_lab", "Something", "Org", "2024-01-01", None), ("org:deep_lab_2", "Else", "Org", "2024-01-01", "2024-03-01"), ("org:deep_lab_4", "More", "Org", None, None), ("tool:x_9", "X", "Tool", None, "2024-01-01")]
+    e = spark.createDataFrame(old, "entity_id string, name string, type string, first_seen string, last_seen string")
+    aliases = spark.createDataFrame([("OAI", "org:open_ai")], "alias string, entity_id string")
+    batch = [
+        ("open-ai", "Org", "2024-02-02", 1), ("OAI", "Org", "2024-02-03", 2), ("Deep Lab", "Org", "2024-02-04", 3), ("deep lab!", "Org", "2024-02-09", 4), ("Deep Lab", "Org", "2024-02-01", 9), ("deep  lab  of the deep", "Org", "2024-02-05", 5),
+        ("X", "Org", "2024-02-06", 6), ("x", "Tool", "2023-12-31", 7), ("Deep Lab", "Tool", "2024-02-07", 8), (None, "Org", "2024-02-07", 8), ("no type", None, "2024-02-07", 8), ("!!", "Org", None, 10), ("??", "Org", "2024-02-08", 11),
+    ]
+    after, mapping = resolve.resolve_or_create(spark.createDataFrame(batch, "name string, type string, day string, ord int"), e, aliases, 0.85)
+    got = {(r["name"], r["type"]): (r["entity_id"], r["created"]) for r in mapping.collect()}
+    assert got == {
+        ("open-ai", "Org"): ("org:open_ai", False), ("OAI", "Org"): ("org:open_ai", False), ("Deep Lab", "Org"): ("org:deep_lab_3", True), ("deep lab!", "Org"): ("org:deep_lab_3", True), ("deep  lab  of the deep", "Org"): ("org:deep_lab_of_the_deep", True),
+        ("X", "Org"): ("org:x", True), ("x", "Tool"): ("tool:x_9", False), ("Deep Lab", "Tool"): ("tool:deep_lab", True), ("!!", "Org"): ("org:source", True), ("??", "Org"): ("org:source_2", True),
+    }
+    rows = {r["entity_id"]: tuple(r)[1:] for r in after.collect()}
+    assert len(rows) == after.count() == 11
+    assert rows["org:open_ai"] == ("Open AI", "Org", "2024-01-01", "2024-02-03") and rows["org:deep_lab_3"] == ("Deep Lab", "Org", "2024-02-04", "2024-02-09")
+    assert rows["tool:x_9"][3] == "2024-01-01" and rows["org:deep_lab"] == old[1][1:] and rows["org:source"][2:] == (None, None)
+    again, mapping = resolve.resolve_or_create(spark.createDataFrame(batch, "name string, type string, day string, ord int"), after, aliases, 0.85)
+    assert {(r["name"], r["type"]): r["entity_id"] for r in mapping.where("name not in ('!!', '??')").collect()} == {k: v[0] for k, v in got.items() if k[0] not in ("!!", "??")}
+    none, _ = resolve.resolve_or_create(spark.createDataFrame([], "name string, type string, day string, ord int"), e, aliases)
+    assert sorted(map(tuple, none.collect())) == sorted(old)

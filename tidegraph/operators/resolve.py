@@ -181,3 +181,48 @@ def prefer_connected(pairs: DataFrame, relations: DataFrame) -> DataFrame:
     n = endpoints(relations.select("source_id", "target_id")).groupBy("entity_id").agg(F.count("*").alias("n"))
     p = pairs.join(n.select(F.col("entity_id").alias("a"), F.col("n").alias("na")), "a", "left").join(n.select(F.col("entity_id").alias("b"), F.col("n").alias("nb")), "b", "left").fillna(0, ["na", "nb"])
     return p.select("a", "b", F.when(F.col("nb") > F.col("na"), F.col("b")).otherwise(F.col("a")).alias("canonical"))
+
+
+def resolve_or_create(batch: DataFrame, entities: DataFrame, aliases: DataFrame, low: float = 0.85) -> tuple[DataFrame, DataFrame]:
+    """(entities, mapping) after a batch of names: each is found among the entities, or gets a new one.
+
+    batch: name, type, day, ord (place in the batch). entities: entity_id, name, type,
+    first_seen, last_seen. aliases: alias, entity_id. mapping: name, type, entity_id, created,
+    once per name and type. Null names or types get nothing.
+
+    An alias that equals the name decides; else the most similar entity of the type from `low`
+    on, ties to the smaller id. What is left goes through the greedy pass (see resolve_names):
+    its first names become entities, the others go to those. New ids are prefix:slug, or with
+    the smallest _2, _3, ... that neither an entity nor another new one has, in the order of
+    the batch. A matched entity's last_seen rises to the batch's last day for it; first_seen
+    stays. A new one has the day of its first name as first, and the last day of all of its
+    names as last.
+    """
+    from tidegraph.functions.text import slugify
+    from tidegraph.operators.cleanup import lookup
+
+    b = batch.where("name is not null and type is not null").groupBy("name", "type").agg(F.min(F.struct("ord", "day")).alias("f"), F.max("day").alias("last"))
+    b = materialise(b.select("name", "type", F.col("f.ord").alias("ord"), F.col("f.day").alias("first"), "last"), "batch")
+    known = entities.select(F.col("entity_id").alias("id"), "type", "name")
+    hits = lookup(b.select(F.col("name").alias("query"), "type"), known, aliases.select("alias", F.col("entity_id").alias("id")), low)
+    best = hits.groupBy("query", "type").agg(F.min(F.struct(-F.col("similarity"), "id")).alias("m")).select(F.col("query").alias("name"), "type", F.col("m.id").alias("entity_id"))
+    matched = materialise(best, "matched")
+    rest = materialise(b.join(matched, ["name", "type"], "left_anti"), "rest")
+    keyed = rest.select(F.struct("type", "name").alias("key"), "type", "name", "ord")
+    to = resolve_names(keyed.select(F.to_json("key").alias("id"), "type", "name", "ord"), low)
+    placed = materialise(rest.withColumn("id", F.to_json(F.struct("type", "name"))).join(to, "id"), "placed")
+    made = placed.where("id = canonical").withColumn("base", F.concat(F.lower("type"), F.lit(":"), slugify(F.col("name"))))
+    made = made.withColumn("n", F.row_number().over(Window.partitionBy("base").orderBy("ord", "id")))
+    # the n-th number of a base that is free: numbers in use below it push it on
+    split = F.regexp_extract("entity_id", r"^(.*?)(?:_([0-9]+))?$", 2)
+    used = entities.select(F.explode(F.array(F.struct(F.col("entity_id").alias("base"), F.lit(1).alias("k")), F.struct(F.regexp_extract("entity_id", r"^(.*)_([0-9]{1,9})$", 1).alias("base"), F.try_to_number(split, F.lit("999999999")).cast("int").alias("k")))).alias("u"))
+    taken = used.select("u.*").where("k is not null and base <> ''").join(made.select("base").distinct(), "base", "left_semi").groupBy("base").agg(F.collect_set("k").alias("taken"))
+    made = made.join(taken, "base", "left").withColumn("taken", F.coalesce("taken", F.array().cast("array<int>")))
+    number = F.element_at(F.array_except(F.sequence(F.lit(1), F.col("n") + F.size("taken")), "taken"), F.col("n"))
+    made = materialise(made.withColumn("number", number).select(F.col("id").alias("canonical"), F.when(F.col("number") == 1, F.col("base")).otherwise(F.concat_ws("_", "base", "number")).alias("entity_id"), F.col("name").alias("new_name"), F.col("type").alias("new_type"), F.col("first").alias("first_seen")), "made")
+    mapping = matched.withColumn("created", F.lit(False)).union(placed.join(made, "canonical").select("name", "type", "entity_id", F.lit(True)))
+    mapping = materialise(mapping, "mapping")
+    days = b.join(mapping.select("name", "type", "entity_id"), ["name", "type"]).groupBy("entity_id").agg(F.max("last").alias("last"))
+    old = entities.join(days, "entity_id", "left").select("entity_id", "name", "type", "first_seen", F.greatest("last_seen", "last").alias("last_seen"))
+    new = made.join(days, "entity_id").select("entity_id", "new_name", "new_type", "first_seen", "last")
+    return old.union(new), mapping

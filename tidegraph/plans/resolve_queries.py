@@ -308,3 +308,25 @@ def e12_evidence(spark, sf):
 @add("e12_import_states", ANSWERS + " select doc_id, case when any_value(broken) then 'error' else 'extracted' end as status, case when any_value(broken) then 0 else count(*) filter (rel <> 'ORDERS') end as relations, case when any_value(broken) then 0 else count(*) filter (rel = 'ORDERS') end as dropped from ar join an using (doc_id) group by 1")
 def e12_states(spark, sf):
     return imported(spark, sf)[2]
+
+
+#: A batch of spellings of part names, against the entities of every third of them; ids that are taken already push new ones on.
+BATCH = """, nam as (select p_name, min(p_partkey) as k, strftime(date '2024-01-01' + cast(max(p_partkey) % 28 as int), '%Y-%m-%d') as last, arg_min(strftime(date '2024-01-01' + cast(p_partkey % 28 as int), '%Y-%m-%d'), p_partkey) as first,
+  strftime(max(date '2024-01-01' + cast(p_partkey % 28 as int)), '%Y-%m-%d') as latest from part group by 1),
+slug as (select *, regexp_replace(lower(p_name), '[^a-z0-9]+', '_', 'g') as s from nam),
+olds as (select case when k % 2 = 0 then 'part:' || s else 'old:' || k end as entity_id, p_name as name, 'Part' as type, '2020-01-01' as first_seen, '2024-01-10' as last_seen from slug where k % 3 = 0
+  union all select 'part:' || s, 'elsewhere ' || k, 'Other', '2020-01-01', null from slug where k % 3 = 1)"""
+
+
+@add("n4_resolve_or_create", BATCH + """ select upper(p_name) as name, case when k % 3 = 0 then case when k % 2 = 0 then 'part:' || s else 'old:' || k end when k % 3 = 1 then 'part:' || s || '_2' else 'part:' || s end as entity_id, k % 3 > 0 as created,
+  case when k % 3 = 0 then '2020-01-01' else first end as first_seen, case when k % 3 = 0 then greatest('2024-01-10', latest) else latest end as last_seen from slug""")
+def n4(spark, sf):
+    """Names in capitals, found or made, with the days of their entities afterwards."""
+    p = t.table(spark, sf, "part")
+    day = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("p_partkey") % 28).cast("int")), "yyyy-MM-dd")
+    batch = p.select(F.upper("p_name").alias("name"), F.lit("Part").alias("type"), day.alias("day"), F.col("p_partkey").alias("ord"))
+    nam = p.groupBy("p_name").agg(F.min("p_partkey").alias("k")).withColumn("s", x.slugify(F.col("p_name")))
+    part = nam.where("k % 3 = 0").select(F.when(F.col("k") % 2 == 0, F.concat(F.lit("part:"), "s")).otherwise(F.concat(F.lit("old:"), "k")).alias("entity_id"), F.col("p_name").alias("name"), F.lit("Part").alias("type"), F.lit("2020-01-01").alias("first_seen"), F.lit("2024-01-10").alias("last_seen"))
+    other = nam.where("k % 3 = 1").select(F.concat(F.lit("part:"), "s"), F.concat(F.lit("elsewhere "), "k"), F.lit("Other"), F.lit("2020-01-01"), F.lit(None).cast("string"))
+    after, mapping = resolve.resolve_or_create(batch, part.union(other), spark.createDataFrame([], "alias string, entity_id string"), 0.95)
+    return mapping.select("name", "entity_id", "created").join(after.select("entity_id", "first_seen", "last_seen"), "entity_id")
