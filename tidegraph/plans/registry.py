@@ -36,3 +36,4 @@ from tidegraph.plans import cleanup_queries  # noqa: E402, F401  (uses SQL of th
 from tidegraph.plans import operations_queries  # noqa: E402, F401  (uses SQL of the others)
 from tidegraph.plans import contract_queries  # noqa: E402, F401  (uses SQL of the others)
 from tidegraph.plans import drop_queries  # noqa: E402, F401
+from tidegraph.plans import log_queries  # noqa: E402, F401
