@@ -105,27 +105,51 @@ def _estimated(batches):
         yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep), pa.array(near).filter(keep)], names=["a", "b", "near"])
 
 
+def _strips(left, right):
+    """(from, likeness) for STRIP sets of the left block at a time: their likeness to all of the right one, -9 where roots agree or the pair can't be linked."""
+    one, two = left.values, right.values
+    roots = [np.array(v.field("root").to_pylist(), object) for v in (one, two)]
+    x, y = _words(one.field("packed")), _words(two.field("packed"))
+    nx, ny = one.field("n").to_numpy(), two.field("n").to_numpy()
+    for i in range(0, len(x), STRIP):
+        open_ = _hopeful(x[i : i + STRIP, None], y[None], nx[i : i + STRIP, None], ny[None]) & (roots[0][i : i + STRIP, None] != roots[1][None])
+        yield i, np.where(open_, likeness(x[i : i + STRIP, None], y[None]), -9)
+
+
 def _likeliest(batches):
     """Reads two blocks (lists of name, root, n, packed) a row; gives (a, b, near, more): for each set a of the left one the
     likeliest set b of another root in the right one, if any may be linked, and whether there are more."""
     for batch in batches:
         a, b, near, more = [], [], [], []
         for left, right in zip(batch.column(0), batch.column(1), strict=True):
-            one, two = left.values, right.values
-            roots = [np.array(v.field("root").to_pylist(), object) for v in (one, two)]
-            x, y = _words(one.field("packed")), _words(two.field("packed"))
-            nx, ny = one.field("n").to_numpy(), two.field("n").to_numpy()
-            for i in range(0, len(x), STRIP):
-                like = np.where(_hopeful(x[i : i + STRIP, None], y[None], nx[i : i + STRIP, None], ny[None]) & (roots[0][i : i + STRIP, None] != roots[1][None]), likeness(x[i : i + STRIP, None], y[None]), -9)
+            for i, like in _strips(left, right):
                 hopeful = np.flatnonzero(like.max(axis=1) > -9)
                 best = like[hopeful].argmax(axis=1)
-                a += one.field("name").take(pa.array(i + hopeful)).to_pylist()
-                b += two.field("name").take(pa.array(best)).to_pylist()
+                a += left.values.field("name").take(pa.array(i + hopeful)).to_pylist()
+                b += right.values.field("name").take(pa.array(best)).to_pylist()
                 near += like[hopeful, best].tolist()
                 more += ((like[hopeful] > -9).sum(axis=1) > 1).tolist()
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(near, pa.float64()), pa.array(more, pa.bool_())], names=["a", "b", "near", "more"])
 
 
+def _partners(batches):
+    """Reads two blocks and their key a row; gives (key, name, left): the sets that may be linked with one of another root in the other block."""
+    for batch in batches:
+        keys, names, sides = [], [], []
+        for left, right, key in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist(), strict=True):
+            met = np.zeros(len(right.values), bool)
+            for i, like in _strips(left, right):
+                mine = i + np.flatnonzero(like.max(axis=1) > -9)
+                met |= like.max(axis=0) > -9
+                names += left.values.field("name").take(pa.array(mine)).to_pylist()
+                sides += [True] * len(mine)
+            theirs = right.values.field("name").take(pa.array(np.flatnonzero(met))).to_pylist()
+            names += theirs
+            sides += [False] * len(theirs)
+            keys += [key] * (len(names) - len(keys))
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(names, pa.binary()), pa.array(sides, pa.bool_())], names=["key", "name", "left"])
+
+
 def _linked(batches):
     """Reads two blocks (lists of name, root, hashes) a row; gives (a, b): for each set a of the left one, and each other root
     in the right one, one set b of that root that it is linked with, by exact counts of common shingles."""
@@ -218,7 +242,7 @@ def _blocks(rows: DataFrame, name: str, weight, most: int, *columns: str) -> Dat
     """The rows of each bucket in lists, dealt by a hash so that their weights sum up to about `most`."""
     sums = rows.groupBy("key").agg(F.ceil(F.sum(weight) / most).cast("long").alias("blocks"))
     dealt = rows.join(sums, "key").withColumn("block", F.expr("pmod(xxhash64(name), blocks)"))
-    return materialise(dealt.groupBy("key", "block").agg(F.collect_list(F.struct("name", "root", *columns)).alias(name)).select("key", name), "blocks")
+    return dealt.groupBy("key", "block").agg(F.collect_list(F.struct("name", "root", *columns)).alias(name)).select("key", name)
 
 
 def group(docs: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -237,20 +261,23 @@ def group(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     that hold several components. Block by block, their classes outside the bucket's largest
     component find the likeliest class of another component, which is confirmed. Where one had
     more candidates, those still outside are at last held against the full sets of all others
-    of the bucket, block by block again; each gives one link to a component at most. So no
+    of the bucket that their signatures leave open, block by block again; each gives one link to a component at most. So no
     bucket hands on all its pairs, and no candidate is left untested.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = materialise(docs.mapInArrow(_rows, "doc_id long, n long, name binary, packed binary, keys array<long>"), "minima")
     classes = rows.where("name is not null").groupBy("name").agg(F.min("doc_id").alias("low"), F.first("n").alias("n"), F.first("packed").alias("packed"), F.first("keys").alias("keys"))
     classes = materialise(classes, "classes")
-    keyed = classes.select("name", "n", F.explode("keys").alias("key"))
-    buckets = keyed.groupBy("key").agg(F.min("name").alias("hub"), F.count("*").alias("size")).where("size > 1").drop("size")
-    members = materialise(keyed.join(materialise(buckets, "buckets"), "key"), "members")
+    # short ids while every key is on its way; should two classes share one, both come back as candidates
+    short = F.xxhash64("name").alias("short")
+    keyed = classes.select(short, F.explode("keys").alias("key"))
+    buckets = materialise(keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key"), "buckets")
+    members = keyed.join(buckets, "key").join(classes.select(short, "name", "n"), "short").select("key", "name", "n")
+    members = materialise(members, "members")
     signed = classes.select("name", "packed")
     sets, roots = _FullSets(docs, classes), classes.select("name", F.col("name").alias("root"))
 
-    hubs = members.where("name <> hub").groupBy("name").agg(F.slice(F.array_sort(F.collect_set("hub")), 1, HUBS).alias("hubs"))
+    hubs = members.join(members.groupBy("key").agg(F.min("name").alias("hub")), "key").where("name <> hub").groupBy("name").agg(F.slice(F.array_sort(F.collect_set("hub")), 1, HUBS).alias("hubs"))
     stars = hubs.select(F.explode("hubs").alias("a"), F.col("name").alias("b"))
     signs = lambda name, n, packed: classes.select(F.col("name").alias(name), F.col("n").alias(n), F.col("packed").alias(packed))
     likely = stars.join(signs("a", "nx", "x"), "a").join(signs("b", "ny", "y"), "b").select("a", "b", "x", "y", "nx", "ny").mapInArrow(_estimated, "a binary, b binary, near double")
@@ -258,9 +285,11 @@ def group(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     tested = materialise(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "tested")
     roots = _joined(roots, sets.confirm(tested))
 
-    rest, others = _open(members, roots)
-    left, right = (_blocks(d.join(signed, "name"), name, F.lit(1), block, "n", "packed") for d, name in ((rest, "left"), (others, "right")))
-    likely = left.join(right, "key").select("left", "right").mapInArrow(_likeliest, "a binary, b binary, near double, more boolean")
+    def met(rest: DataFrame, others: DataFrame) -> DataFrame:
+        left, right = (_blocks(d.join(signed, "name"), name, F.lit(1), block, "n", "packed") for d, name in ((rest, "left"), (others, "right")))
+        return left.join(right, "key").select("left", "right", "key")
+
+    likely = met(*_open(members, roots)).mapInArrow(_likeliest, "a binary, b binary, near double, more boolean")
     likely = likely.groupBy("a").agg(F.max(F.struct("near", "b")).alias("best"), F.min(F.col("b")).alias("least"), F.max("b").alias("most"), F.max("more").alias("more"))
     likely = materialise(likely, "likely")
     best = likely.select("a", F.col("best.b").alias("b"))
@@ -268,8 +297,10 @@ def group(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     roots = _joined(roots, sets.confirm(best))
 
     rest, others = _open(members, roots, likely.where("more or least <> most").select(F.col("a").alias("name")))
-    full = sets.of(others.select("name").distinct())
-    left, right = (_blocks(d.join(full, "name"), name, F.col("n"), block * FULL, "hashes") for d, name in ((rest, "left"), (others, "right")))
+    partners = materialise(met(rest, others).mapInArrow(_partners, "key long, name binary, left boolean").distinct(), "partners")
+    full = sets.of(partners.select("name").distinct())
+    sides = ((rest.join(partners.where("left"), ["key", "name"], "left_semi"), "left"), (others.join(partners.where("not left"), ["key", "name"], "left_semi"), "right"))
+    left, right = (_blocks(d.join(full, "name"), name, F.col("n"), block * FULL, "hashes") for d, name in sides)
     links = left.join(right, "key").select("left", "right").mapInArrow(_linked, "a binary, b binary")
     roots = _joined(roots, materialise(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links"))
 
