@@ -168,13 +168,9 @@ def status(logs: DataFrame, view_nodes: Column, view_edges: Column) -> DataFrame
 
 def compare_models(answers: DataFrame) -> DataFrame:
     """Per model: answers, and the shares that parse, and that hold to the schema, of answers (doc_id, model, answer)."""
-    p = extraction.parse(answers.select("doc_id", "answer"))
-    errors = extraction.validate(p)
-    model = answers.select("doc_id", "model").distinct()
-    read = p.select("doc_id", F.col("x").isNotNull().cast("int").alias("read"))
-    valid = errors.select("doc_id", (F.size("errors") == 0).cast("int").alias("valid"))
-    j = read.join(model, "doc_id").join(valid, "doc_id", "left")
-    ok = (F.col("read") == 1) & (F.coalesce("valid", F.lit(0)) == 1)
+    # the model goes along with the answer, which is read once
+    j = extraction.validate(extraction.parse(answers.select("doc_id", "model", "answer")), "model", F.col("x").isNotNull().cast("int").alias("read"))
+    ok = (F.col("read") == 1) & (F.size("errors") == 0)
     return j.groupBy("model").agg(
         F.count("*").alias("answers"), F.round(F.avg("read"), 6).alias("parse_rate"), F.round(F.count_if(ok) / F.count("*"), 6).alias("schema_rate")
     )
