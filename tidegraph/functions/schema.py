@@ -17,15 +17,21 @@ _KINDS = {
 
 
 def _get(v: Column, kind: str, path: str = "$") -> Column:
-    return F.try_variant_get(v, path, kind)
+    return F.try_variant_get(v["v"], path, kind)
+
+
+def _bound(x: Column) -> Column:
+    """A variant `v` with the name `k` of its shape. Nested values show it by casts that don't look into them;
+    schema_of_variant would read all that is below."""
+    nested = F.when(F.try_variant_get(x, "$", "struct<_: variant>").isNotNull(), "OBJECT").when(F.try_variant_get(x, "$", "array<variant>").isNotNull(), "ARRAY")
+    return F.struct(x.alias("v"), nested.otherwise(F.schema_of_variant(x)).alias("k"))
 
 
 def _is(v: Column, kind: str) -> Column:
-    """Whether a variant has a JSON type; 1.0 is an integer."""
-    shape = F.schema_of_variant(v)
+    """Whether a bound variant has a JSON type; 1.0 is an integer."""
     hit = F.lit(False)
     for name in _KINDS[kind]:
-        hit = hit | shape.startswith(name)
+        hit = hit | v["k"].startswith(name)
     return hit & (_get(v, "double") == F.floor(_get(v, "double"))) if kind == "integer" else hit
 
 
@@ -42,6 +48,16 @@ def _same(v: Column, to) -> Column:
     raise ValueError(f"only plain values can be compared, not {to!r}")
 
 
+def _listed(v: Column, values: list) -> list[Column]:
+    """Tests for equality with one of the values; texts are looked for together."""
+    texts = [x for x in values if isinstance(x, str)]
+    return [_same(v, x) for x in values if not isinstance(x, str)] + ([_is(v, "string") & _get(v, "string").isin(texts)] if texts else [])
+
+
+def _none() -> Column:
+    return F.array().cast("array<string>")
+
+
 def _member(name: str) -> str:
     return f"$[{json.dumps(name)}]"
 
@@ -59,7 +75,7 @@ class _Compiler:
         return at
 
     def errors(self, schema: dict, v: Column, path: str, open_refs: tuple[str, ...] = ()) -> Column | None:
-        """array<string> of the errors of a variant that is there; None if nothing can fail."""
+        """array<string> of the errors of a bound variant that is there; None if nothing can fail."""
         found: list[Column] = []
 
         def fail(rule: str, bad: Column, at: str | None = None) -> None:
@@ -77,15 +93,12 @@ class _Compiler:
             return F.lit(True) if e is None else F.size(e) == 0
 
         def each(sub: dict, values: Column, at: str) -> Column | None:
-            none = F.array().cast("array<string>")
-            made: list[Column | None] = []  # the lambda is built once; a schema that nothing can fail leaves no trace
-            out = F.flatten(F.transform(values, lambda x: made.append(self.errors(sub, x, at, open_refs)) or (none if made[0] is None else made[0])))
-            return None if made[0] is None else out
+            return self.over(values, lambda x: self.errors(sub, x, at, open_refs))
 
         rules: dict[str, Callable] = {
             "$ref": lambda r: found.append(self.follow(r, v, path, open_refs)),
             "type": lambda t: fail("type", ~self.any_of([_is(v, k) for k in ([t] if isinstance(t, str) else t)])),
-            "enum": lambda values: fail("enum", ~self.any_of([_same(v, x) for x in values])),
+            "enum": lambda values: fail("enum", ~self.any_of(_listed(v, values))),
             "const": lambda x: fail("const", ~_same(v, x)),
             "minimum": lambda x: fail("minimum", _is(v, "number") & (_get(v, "double") < x)),
             "maximum": lambda x: fail("maximum", _is(v, "number") & (_get(v, "double") > x)),
@@ -112,8 +125,13 @@ class _Compiler:
         found = [f for f in found if f is not None]
         if not found:
             return None
-        none = F.array().cast("array<string>")
-        return F.flatten(F.array(*(F.coalesce(f, none) for f in found)))
+        return F.flatten(F.array(*(F.coalesce(f, _none()) for f in found)))
+
+    def over(self, values: Column, errors: Callable[[Column], Column | None]) -> Column | None:
+        """The errors of all values of an array, each bound once; None if nothing can fail. The lambda is built once."""
+        made: list[Column | None] = []
+        out = F.flatten(F.transform(F.transform(values, _bound), lambda x: made.append(errors(x)) or (_none() if made[0] is None else made[0])))
+        return None if made[0] is None else out
 
     def any_of(self, tests: list[Column]) -> Column:
         hit = F.lit(False)
@@ -127,10 +145,11 @@ class _Compiler:
         return self.errors(self.target(ref), v, path, (*open_refs, ref))
 
     def member(self, name: str, schema: dict, v: Column, path: str, open_refs, found: list) -> None:
-        own = _get(v, "variant", _member(name))
-        e = self.errors(schema, own, f"{path}.{name}".lstrip("."), open_refs)
-        if e is not None:
-            found.append(F.when(own.isNotNull(), e))  # only objects have members
+        def within(own: Column) -> Column | None:
+            e = self.errors(schema, own, f"{path}.{name}".lstrip("."), open_refs)
+            return None if e is None else F.when(own["v"].isNotNull(), e).otherwise(_none())  # only objects have members
+
+        found.append(self.over(F.array(_get(v, "variant", _member(name))), within))  # an array of one binds the member, so that it is looked up once
 
     def others(self, rule, schema: dict, v: Column, path: str, fail, within, each) -> None:
         known = [F.lit(n) for n in schema.get("properties", {})]
@@ -156,9 +175,9 @@ def errors(schema: dict, value: Column) -> Column:
     references inside the schema; any other keyword, and a schema that holds itself, raise when
     the expression is built. Nothing is collected: the result is a Column like any other.
     """
-    e = _Compiler(schema).errors(schema, value, "")
-    none = F.array().cast("array<string>")
-    return F.when(value.isNotNull(), none if e is None else F.array_sort(F.array_distinct(e)))
+    compiler = _Compiler(schema)
+    e = compiler.over(F.array(value), lambda v: compiler.errors(schema, v, ""))
+    return F.when(value.isNotNull(), _none() if e is None else F.array_sort(F.array_distinct(e)))
 
 
 def row_errors(rows: DataFrame, schema: dict) -> Column:
