@@ -46,9 +46,17 @@ def edge_evidence(relations: DataFrame) -> DataFrame:
     return relations.withColumn("n", F.row_number().over(w)).where("n = 1").select("source_id", "rel", "target_id", "snippet", "relation_id", "doc_id")
 
 
-def dedup(relations: DataFrame) -> DataFrame:
-    """Lowest relation_id per (source, rel, target, kind, doc), a null doc counting as empty; `dropped` tells how many went."""
-    key = ["source_id", "rel", "target_id", "kind", F.coalesce("doc_id", F.lit("")).alias("doc")]
+def document(relations: DataFrame) -> Column:
+    """The document of a relation, a null counting as empty; a code stays null."""
+    return (F.coalesce("doc_id", F.lit("")) if dict(relations.dtypes)["doc_id"] == "string" else F.col("doc_id")).alias("doc")
+
+
+def dedup(relations: DataFrame, *also: str) -> DataFrame:
+    """Lowest relation_id per (source, rel, target, kind, doc), a null doc counting as empty; `dropped` tells how many went.
+
+    also: columns that the document fixes. Rows that are dealt by them stay where they are.
+    """
+    key = ["source_id", "rel", "target_id", "kind", document(relations), *also]
     return relations.groupBy(*key).agg(F.min("relation_id").alias("relation_id"), (F.count("*") - 1).alias("dropped"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegraph.functions.text import compact, name_similarity, normalize_name
-from tidegraph.operators.graph import endpoints
+from tidegraph.operators.graph import document, endpoints
 from tidegraph.sources.shared import materialise
 
 
@@ -154,8 +154,14 @@ def merge_relations(relations: DataFrame, mapping: DataFrame) -> DataFrame:
     m = mapping.where("id <> canonical")
     r = relations.join(m.select(F.col("id").alias("source_id"), F.col("canonical").alias("s")), "source_id", "left")
     r = r.join(m.select(F.col("id").alias("target_id"), F.col("canonical").alias("t")), "target_id", "left")
-    return r.groupBy(
-        F.coalesce("s", "source_id").alias("source_id"), "rel", F.coalesce("t", "target_id").alias("target_id"), "kind", F.coalesce("doc_id", F.lit("")).alias("doc")
+    return merged(r)
+
+
+def merged(moved: DataFrame, *also: str) -> DataFrame:
+    """The same for relations with the canonical ends of those that move beside them, as s and t. also: columns that the
+    document fixes; rows that are dealt by them stay where they are."""
+    return moved.groupBy(
+        F.coalesce("s", "source_id").alias("source_id"), "rel", F.coalesce("t", "target_id").alias("target_id"), "kind", document(moved), *also
     ).agg(F.min("relation_id").alias("relation_id"), F.count("*").alias("merged"))
 
 
