@@ -16,26 +16,20 @@ def kind_rank():
     return F.coalesce(F.create_map(*(F.lit(x) for kv in RANK.items() for x in kv))[F.col("kind")], F.lit(9))
 
 
-def aggregate_edges(relations: DataFrame) -> DataFrame:
+def aggregate_edges(relations: DataFrame, text=F.col) -> DataFrame:
     """One edge per (source, rel, target): best confidence, strongest kind, number of rows, representative.
 
     The representative is the row with the strongest kind, then the highest confidence, then
-    the lowest relation_id; its doc_id shows only when the edge has a single row.
+    the lowest relation_id; its doc_id shows only when the edge has a single row. text: makes
+    texts of the ids of ends and documents, if those are codes.
     """
-    order = F.struct(kind_rank(), -F.col("confidence"), "relation_id")
+    first = F.struct(kind_rank().alias("rank"), (-F.col("confidence")).alias("less"), "relation_id", "kind", "doc_id")
     return (
         relations.groupBy("source_id", "rel", "target_id")
-        .agg(
-            F.max("confidence").alias("confidence"),
-            F.min_by("kind", order).alias("kind"),
-            F.min_by("relation_id", order).alias("relation_id"),
-            F.count("*").alias("doc_count"),
-            F.min_by("doc_id", order).alias("d"),
-            F.count_distinct("snippet").alias("snippets"),
-        )
+        .agg(F.max("confidence").alias("confidence"), F.min(first).alias("m"), F.count("*").alias("doc_count"), F.count_distinct("snippet").alias("snippets"))
         .select(
-            F.concat_ws(":", F.lit("e"), "source_id", "rel", "target_id").alias("edge_id"), "source_id", "rel", "target_id", "kind", "confidence",
-            "relation_id", "doc_count", F.when(F.col("doc_count") == 1, F.col("d")).alias("doc_id"), "snippets",
+            F.concat_ws(":", F.lit("e"), text("source_id"), "rel", text("target_id")).alias("edge_id"), text("source_id").alias("source_id"), "rel", text("target_id").alias("target_id"),
+            "m.kind", "confidence", "m.relation_id", "doc_count", F.when(F.col("doc_count") == 1, text("m.doc_id")).alias("doc_id"), "snippets",
         )
     )
 
