@@ -129,7 +129,8 @@ def bridges(relations: DataFrame, trending: DataFrame) -> DataFrame:
     t = trending.select("entity_id").distinct()
     src = t.select(F.col("entity_id").alias("source_id"), F.lit(True).alias("s_in"))
     tgt = t.select(F.col("entity_id").alias("target_id"), F.lit(True).alias("t_in"))
-    r = relations.select("source_id", "target_id").distinct().join(src, "source_id", "left").join(tgt, "target_id", "left").fillna(False, ["s_in", "t_in"])
+    # edges between others drop out before equal ones are put together
+    r = relations.select("source_id", "target_id").join(src, "source_id", "left").join(tgt, "target_id", "left").fillna(False, ["s_in", "t_in"]).where("s_in or t_in").distinct()
     inside = endpoints(r.where("s_in and t_in").select("source_id", "target_id")).select("entity_id").distinct()
     isolated = t.join(inside, "entity_id", "left_anti").withColumn("lone", F.lit(1))
     touch = r.where("s_in <> t_in").select(
@@ -142,20 +143,20 @@ def bridges(relations: DataFrame, trending: DataFrame) -> DataFrame:
     )
 
 
-def trending_view(relations: DataFrame, trending: DataFrame) -> tuple[DataFrame, DataFrame]:
+def trending_view(relations: DataFrame, trending: DataFrame, text=F.col) -> tuple[DataFrame, DataFrame]:
     """(nodes, edges) of the trending view.
 
     Nodes are the trending entities (entity_id, trend_score) and the bridges that reconnect
     isolated ones, which have score 0. Edges join two trending entities, or a bridge and a
-    trending one, and are aggregated over documents.
+    trending one, and are aggregated over documents; text as in aggregate_edges.
     """
-    t = trending.select("entity_id", "trend_score")
+    t = materialise(trending.select("entity_id", "trend_score"), "trending")
     b = materialise(bridges(relations, t).select(F.col("bridge").alias("entity_id")), "bridges")
     nodes = t.withColumn("is_bridge", F.lit(False)).union(b.select("entity_id", F.lit(0.0), F.lit(True)))
     ends = nodes.select("entity_id", "is_bridge")
     side = lambda end, name: ends.select(F.col("entity_id").alias(end), F.col("is_bridge").alias(name))
     inside = relations.join(side("source_id", "sb"), "source_id").join(side("target_id", "tb"), "target_id").where("not (sb and tb)")
-    return nodes, aggregate_edges(inside.drop("sb", "tb"))
+    return nodes, aggregate_edges(inside.drop("sb", "tb"), text)
 
 
 #: A rule: its antecedents, one or two of (relation, type of source, type of target), the new relation and its discount.
