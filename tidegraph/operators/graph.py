@@ -86,16 +86,17 @@ def view(relations: DataFrame, documents: DataFrame | None = None, start: str |
     return r
 
 
-def undirected(edges: DataFrame) -> DataFrame:
-    return edges.select(F.explode(F.array(F.struct(F.col("source_id").alias("a"), F.col("target_id").alias("b")), F.struct(F.col("target_id").alias("a"), F.col("source_id").alias("b")))).alias("e")).select("e.a", "e.b").distinct()
+def both_ways(edges: DataFrame) -> DataFrame:
+    return edges.select(F.explode(F.array(F.struct(F.col("source_id").alias("a"), F.col("target_id").alias("b")), F.struct(F.col("target_id").alias("a"), F.col("source_id").alias("b")))).alias("e")).select("e.a", "e.b")
 
 
 def hops(edges: DataFrame, seeds: DataFrame, most: int) -> DataFrame:
     """(entity_id, tag, hops) for all within `most` undirected steps of a seed (entity_id, tag), with the fewest steps.
 
-    Each round goes on from what the last one found first, and is written to the shared folder.
+    Each round goes on from what the last one found first, and is written to the shared folder;
+    it reads the edges, of which only those at that front are looked at further.
     """
-    e = materialise(undirected(edges), "undirected")
+    e = both_ways(edges)
     fresh = materialise(seeds.select("entity_id", "tag").distinct().withColumn("hops", F.lit(0)), "hops")
     reached = fresh
     for k in range(1, most + 1):
