@@ -368,7 +368,7 @@ def new_edges(candidates: DataFrame, relations: DataFrame) -> DataFrame:
 
 def islands(entities: DataFrame, relations: DataFrame, base: str = "MENTIONS") -> DataFrame:
     """Entities without any edge beside the base relation."""
-    ends = endpoints(relations.where(F.col("rel") != base).select("source_id", "target_id")).select("entity_id")
+    ends = endpoints(relations.where(F.col("rel") != base).select("source_id", "target_id")).select("entity_id").distinct()
     return entities.join(ends, "entity_id", "left_anti")
 
 
