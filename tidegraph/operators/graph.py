@@ -59,12 +59,12 @@ def endpoints(relations: DataFrame) -> DataFrame:
     return relations.select("*", F.explode(F.array("source_id", "target_id")).alias("entity_id"))
 
 
-def strip_orphans(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Edges with both ends among the nodes."""
+def strip_orphans(edges: DataFrame, nodes: DataFrame, parts: int | None = None) -> DataFrame:
+    """Edges with both ends among the nodes. parts: into how many parts they are dealt by either end, where nodes are many."""
     ids = nodes.select("entity_id").distinct()
-    return edges.join(ids.withColumnRenamed("entity_id", "source_id"), "source_id", "left_semi").join(
-        ids.withColumnRenamed("entity_id", "target_id"), "target_id", "left_semi"
-    )
+    for end in ("source_id", "target_id"):
+        edges = (edges.repartition(parts, end) if parts else edges).join(ids.withColumnRenamed("entity_id", end), end, "left_semi")
+    return edges
 
 
 def view(relations: DataFrame, documents: DataFrame | None = None, start: str | None = None, end: str | None = None, include=None, exclude=None, kinds=None) -> DataFrame:
