@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidegraph.llm import collocations, minhash, negatives
@@ -175,6 +176,43 @@ def test_a_large_group_of_copies_that_are_hardly_alike(spark):
     assert grouped(spark, rows, block=64) == want
 
 
+def test_full_sets_move_once_for_all_buckets(spark, monkeypatch):
+    """Small gangs are dealt by themselves; what may be linked meets in a block, however gangs are dealt."""
+    monkeypatch.setattr(minhash, "FEW", 0)
+    sets = {bytes([i]): np.arange(5, dtype=np.uint64) + np.uint64(9 * i) for i in range(12)}
+    full = spark.createDataFrame([(k, v.tobytes()) for k, v in sets.items()], "name binary, hashes binary")
+    gang = lambda i: bytes([i // 6 * 6])
+    rows = [(100 * (i // 6) + key, bytes([i]), bytes([i]), 5, left, gang(i)) for i in range(12) for key in range(45) for left in (True, False)]
+    partners = spark.createDataFrame(rows, "key long, name binary, root binary, n long, left boolean, chief binary")
+    for most, moved in ((30, 12), (10, None)):
+        blocks = minhash._tests(partners, full, most).collect()
+        met = {(a["name"], b["name"]) for r in blocks for a in r["left"] for b in r["right"]}
+        assert {(bytes([i]), bytes([j])) for i in range(12) for j in range(12) if i // 6 == j // 6} <= met
+        assert moved is None or sum(len(r["left"]) for r in blocks) == moved
+
+
+def test_gangs_match_brute_force(spark, monkeypatch):
+    """Every pair may be linked, by its estimate, and gangs are dealt by themselves, whole or in blocks."""
+    monkeypatch.setattr(minhash, "MARGIN", 2.0)
+    monkeypatch.setattr(minhash, "HUBS", 1)
+    monkeypatch.setattr(minhash, "FEW", 0)
+    rows = near_rows(seed=5, groups=6)
+    assert grouped(spark, rows, block=5) == slow_groups(rows)
+
+
+def test_sets_that_pairs_join_have_one_chief():
+    """The pairs are (a0, b2), (a1, b0) and (a1, b2): the first partners alone would leave a0, b2 apart from a1, b0."""
+    word = lambda v: np.full(minhash.WORDS, v, np.uint64).tobytes()
+    row = lambda name, packed, n: {"name": name, "root": name, "n": n, "packed": word(packed)}
+    left = [row(b"a0", 7, 100), row(b"a1", 7, 120), row(b"a2", 7, 1000)]
+    right = [row(b"b0", 7, 146), row(b"b1", 7, 5000), row(b"b2", 7, 110)]
+    kind = pa.list_(pa.struct([("name", pa.binary()), ("root", pa.binary()), ("n", pa.int64()), ("packed", pa.binary())]))
+    batch = pa.RecordBatch.from_arrays([pa.array([left], kind), pa.array([right], kind), pa.array([1])], names=["left", "right", "key"])
+    out = pa.Table.from_batches(minhash._partners([batch])).to_pylist()
+    assert sorted((r["name"], r["left"], r["n"]) for r in out) == [(b"a0", True, 100), (b"a1", True, 120), (b"b0", False, 146), (b"b2", False, 110)]
+    assert len({r["chief"] for r in out}) == 1
+
+
 def test_minhash_of_an_empty_table(spark):
     assert grouped(spark, []) == []
 

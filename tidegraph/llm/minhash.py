@@ -22,6 +22,8 @@ MARGIN = 0.15
 #: Signatures of a crowded bucket in a block, how many of them are compared with another block at a time, and shingles in a
 #: block of full sets, for each signature in the other kind.
 BLOCK, STRIP, FULL = 1024, 64, 128
+#: Shingles that buckets may move: finding gangs takes rounds, which for so small a move take longer.
+FEW = 1 << 25
 #: Smallest classes of its buckets that a class is first held against.
 HUBS = 4
 #: Shingles whose minima are taken together.
@@ -133,21 +135,31 @@ def _likeliest(batches):
 
 
 def _partners(batches):
-    """Reads two blocks and their key a row; gives (key, name, left): the sets that may be linked with one of another root in the other block."""
+    """Reads two blocks and their key a row; gives (key, name, root, n, left, chief): the sets that may be linked with one of
+    another root in the other block. Sets that such pairs join, over others too, have one chief, a set of the right block."""
     for batch in batches:
-        keys, names, sides = [], [], []
+        out = {c: [] for c in ("key", "name", "root", "n", "left", "chief")}
         for left, right, key in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist(), strict=True):
-            met = np.zeros(len(right.values), bool)
+            chief, met, mine, first = np.arange(len(right.values)), np.zeros(len(right.values), bool), [], []
             for i, like in _strips(left, right):
-                mine = i + np.flatnonzero(like.max(axis=1) > -9)
-                met |= like.max(axis=0) > -9
-                names += left.values.field("name").take(pa.array(mine)).to_pylist()
-                sides += [True] * len(mine)
-            theirs = right.values.field("name").take(pa.array(np.flatnonzero(met))).to_pylist()
-            names += theirs
-            sides += [False] * len(theirs)
-            keys += [key] * (len(names) - len(keys))
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(names, pa.binary()), pa.array(sides, pa.bool_())], names=["key", "name", "left"])
+                open_ = like > -9
+                met |= open_.any(axis=0)
+                for j in np.flatnonzero(open_.any(axis=1)):
+                    at = np.flatnonzero(open_[j])
+                    chiefs = chief[at]
+                    if (chiefs != chiefs[0]).any():
+                        chief[np.isin(chief, chiefs)] = chiefs.min()
+                    mine.append(i + j)
+                    first.append(at[0])
+            theirs = np.flatnonzero(met)
+            for side, at, to in ((left, np.array(mine, np.int64), chief[np.array(first, np.int64)]), (right, theirs, chief[theirs])):
+                for c in ("name", "root", "n"):
+                    out[c] += side.values.field(c).take(pa.array(at)).to_pylist()
+                out["chief"] += right.values.field("name").take(pa.array(to)).to_pylist()
+                out["left"] += [side is left] * len(at)
+            out["key"] += [key] * (len(out["name"]) - len(out["key"]))
+        types = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.bool_(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types, strict=True)], names=list(out))
 
 
 def _linked(batches):
@@ -245,6 +257,34 @@ def _blocks(rows: DataFrame, name: str, weight, most: int, *columns: str) -> Dat
     return dealt.groupBy("key", "block").agg(F.collect_list(F.struct("name", "root", *columns)).alias(name)).select("key", name)
 
 
+def _tests(partners: DataFrame, full: DataFrame, most: int) -> DataFrame:
+    """(left, right): blocks of full sets of about `most` shingles, in which all partners that may be linked meet.
+
+    Sets that pairs join are a gang. They often share many buckets, so where buckets would move more than FEW shingles, a
+    gang is dealt by itself, each full set once, if that compares no more than its buckets would; a gang that fits a block
+    needs no second one. Other gangs, larger than their buckets, are dealt by these.
+    """
+    rows = partners.select("key", "name", "root", "n", "left").distinct()
+
+    def sides(dealt: DataFrame) -> DataFrame:
+        left, right = (_blocks(dealt.where(F.col("left") == own).drop("left").join(full, "name"), name, F.col("n"), most, "hashes") for own, name in ((True, "left"), (False, "right")))
+        return left.join(right, "key").select("left", "right")
+
+    if (rows.agg(F.sum("n")).first()[0] or 0) <= FEW:
+        return sides(rows)
+    gangs = connected_components(partners.select("name", "chief"), "name", "chief").select(F.col("node").alias("name"), F.col("root").alias("gang"))
+    dealt = materialise(rows.join(gangs, "name"), "dealt")
+    compared = F.col("w") * F.ceil(F.col("w") / most)
+    buckets = dealt.select("gang", "key", "name", "n").distinct().groupBy("gang", "key").agg(F.sum("n").alias("w")).groupBy("gang").agg(F.sum(compared).alias("apart"))
+    whole = dealt.select("gang", "name", "n").distinct().groupBy("gang").agg(F.sum("n").alias("w"))
+    how = whole.join(buckets, "gang").select("gang", F.when(F.col("w") <= most, "one").when(compared <= F.col("apart"), "gang").otherwise("bucket").alias("how"))
+    dealt = materialise(dealt.join(how, "gang"), "dealt")
+    members = dealt.select("gang", "name", "root", "n", "how").distinct()
+    large = members.where("how = 'gang'").select(F.xxhash64("gang").alias("key"), "name", "root", "n", F.explode(F.array(F.lit(True), F.lit(False))).alias("left"))
+    one = members.where("how = 'one'").join(full, "name").groupBy("gang").agg(F.collect_list(F.struct("name", "root", "hashes")).alias("left"))
+    return sides(large.union(dealt.where("how = 'bucket'").select(large.columns))).union(one.select("left", F.col("left").alias("right")))
+
+
 def group(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of docs.
 
@@ -261,8 +301,9 @@ def group(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     that hold several components. Block by block, their classes outside the bucket's largest
     component find the likeliest class of another component, which is confirmed. Where one had
     more candidates, those still outside are at last held against the full sets of all others
-    of the bucket that their signatures leave open, block by block again; each gives one link to a component at most. So no
-    bucket hands on all its pairs, and no candidate is left untested.
+    that their signatures leave open, block by block again; each gives one link to a component at most. There the full sets
+    move once for all the buckets that they share, see _tests. So no bucket hands on all its pairs, and no candidate is
+    left untested.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = materialise(docs.mapInArrow(_rows, "doc_id long, n long, name binary, packed binary, keys array<long>"), "minima")
@@ -297,11 +338,8 @@ def group(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     roots = _joined(roots, sets.confirm(best))
 
     rest, others = _open(members, roots, likely.where("more or least <> most").select(F.col("a").alias("name")))
-    partners = materialise(met(rest, others).mapInArrow(_partners, "key long, name binary, left boolean").distinct(), "partners")
-    full = sets.of(partners.select("name").distinct())
-    sides = ((rest.join(partners.where("left"), ["key", "name"], "left_semi"), "left"), (others.join(partners.where("not left"), ["key", "name"], "left_semi"), "right"))
-    left, right = (_blocks(d.join(full, "name"), name, F.col("n"), block * FULL, "hashes") for d, name in sides)
-    links = left.join(right, "key").select("left", "right").mapInArrow(_linked, "a binary, b binary")
+    partners = materialise(met(rest, others).mapInArrow(_partners, "key long, name binary, root binary, n long, left boolean, chief binary").distinct(), "partners")
+    links = _tests(partners, sets.of(partners.select("name").distinct()), block * FULL).mapInArrow(_linked, "a binary, b binary")
     roots = _joined(roots, materialise(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links"))
 
     rooted = materialise(classes.select("name", "low").join(roots, "name"), "rooted")
