@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -181,7 +183,7 @@ def pair_verdicts(pairs: DataFrame, answers: DataFrame) -> DataFrame:
     )
 
 
-def import_answers(parsed: DataFrame, ids: DataFrame, documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def import_answers(parsed: DataFrame, ids: DataFrame, documents: DataFrame, key: Callable[[Column], Column] = lambda name: name) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(relations, evidence, states) of parsed answers.
 
     ids: name, entity_id (one per name); documents: doc_id, url. Relation ends are resolved by
@@ -189,32 +191,54 @@ def import_answers(parsed: DataFrame, ids: DataFrame, documents: DataFrame) -> t
     of an answer gets a MENTIONS relation from its document (asserted, confidence 1).
     Evidence takes the document's url before its own. states: doc_id, status (extracted, or
     error for an answer that can't be read), relations, dropped.
+    key: makes what doc_ids, names in ids and entity_ids are from a name's text; null for a text that no name there has.
     """
     # Each of the three reads the answers once: outer explodes, as others put filters in front that read them again.
+    # Keys are made after explodes, in the rows that are dealt. Sources are met first, so that what they drop is dealt once.
     found = lambda end: ids.select(F.col("name").alias(end), F.col("entity_id").alias(f"{end}_id"))
-    own = F.col("doc_id").cast("string")  # stands where there is no name, so that such rows are not dealt to one task
-
-    link = "source string, rel string, target string, kind string, confidence double, mention boolean"
-    told = F.transform("x.relations", lambda r: F.struct(r["source"].alias("source"), r["rel"].alias("rel"), r["target"].alias("target"), r["kind"].alias("kind"), r["confidence"].alias("confidence"), F.lit(False).alias("mention")))
-    said = F.transform(F.array_distinct(F.transform("x.entities", lambda e: e["name"])), lambda n: F.struct(F.lit(None).cast("string").alias("source"), F.lit("MENTIONS").alias("rel"), n.alias("target"), F.lit("asserted").alias("kind"), F.lit(1.0).alias("confidence"), F.lit(True).alias("mention")))
-    none = F.array().cast(f"array<struct<{', '.join(c.replace(' ', ': ') for c in link.split(', '))}>>")
-    links = parsed.select("doc_id", F.explode_outer(F.concat(F.coalesce(told, none), F.coalesce(said, none))).alias("r")).select("doc_id", "r.*")
-    links = links.where("target is not null and (mention or source is not null)").withColumn("source", F.when(F.col("mention"), own).otherwise(F.col("source")))
-    links = links.join(found("target"), "target").join(found("source"), "source", "left").where("mention or source_id is not null")
-    relations = links.select("doc_id", F.when(F.col("mention"), F.col("doc_id")).otherwise(F.col("source_id")).alias("source_id"), "rel", "target_id", "kind", "confidence")
+    own = F.col("doc_id")  # stands where there is no name, so that such rows are not dealt to one task
+    links = _links(parsed, key).join(found("source"), "source", "left").where("source_id is not null or tells_target").drop("source")
+    links = links.join(found("target"), "target", "left")
+    link = lambda source, rel, target, kind, confidence: F.struct(F.col(source).alias("source_id"), rel.alias("rel"), F.col(target).alias("target_id"), kind.alias("kind"), confidence.alias("confidence"))
+    mention = lambda end: F.when(F.col(f"tells_{end}") & F.col(f"{end}_id").isNotNull(), link("doc_id", F.lit("MENTIONS"), f"{end}_id", F.lit("asserted"), F.lit(1.0)))
+    told = F.when(F.col("linked") & F.col("source_id").isNotNull() & F.col("target_id").isNotNull(), link("source_id", F.col("rel"), "target_id", F.col("kind"), F.col("confidence")))
+    relations = links.select("doc_id", F.explode(F.array_compact(F.array(told, mention("source"), mention("target")))).alias("r")).select("doc_id", "r.*")
 
     r = parsed.select("doc_id", F.posexplode_outer("x.relations").alias("i", "r")).where("i is not null")
-    named = r.select("doc_id", "i", F.col("r.source").alias("source"), F.col("r.target").alias("target"), F.col("r.evidence").alias("evidence"))
-    solved = named.join(found("source").drop("source_id"), "source", "left_semi").join(found("target").drop("target_id"), "target", "left_semi")
+    named = r.select("doc_id", "i", key(F.col("r.source")).alias("source"), key(F.col("r.target")).alias("target"), F.col("r.evidence").alias("evidence"))
+    solved = named.join(found("source").drop("source_id"), "source", "left_semi").drop("source").join(found("target").drop("target_id"), "target", "left_semi")
     evidence = solved.select("doc_id", "i", F.explode("evidence").alias("e")).join(documents.select("doc_id", "url"), "doc_id", "left").select("doc_id", "i", F.coalesce("url", "e.docId").alias("url"), F.col("e.snippet").alias("snippet"))
 
-    ends = parsed.select("doc_id", F.col("x").isNull().alias("unread"), F.posexplode_outer("x.relations").alias("i", "r")).select(
-        "doc_id", "unread", F.col("i").isNotNull().alias("one"), (F.col("r.source").isNotNull() & F.col("r.target").isNotNull()).alias("whole"), F.coalesce("r.source", own).alias("source"), F.coalesce("r.target", own).alias("target")
-    )
+    ends = parsed.select("doc_id", F.col("x").isNull().alias("unread"), F.posexplode_outer("x.relations").alias("i", "r"))
+    ends = ends.select("doc_id", "unread", F.col("i").isNotNull().alias("one"), key(F.col("r.source")).alias("source"), key(F.col("r.target")).alias("target"))
+    ends = ends.select("doc_id", "unread", "one", (F.col("source").isNotNull() & F.col("target").isNotNull()).alias("whole"), F.coalesce("source", own).alias("source"), F.coalesce("target", own).alias("target"))
     known = lambda end: ids.select(F.col("name").alias(end), F.lit(True).alias(f"{end}_known"))
-    met = F.col("whole") & F.coalesce("source_known", F.lit(False)) & F.coalesce("target_known", F.lit(False))
-    ends = ends.join(known("source"), "source", "left").join(known("target"), "target", "left").select("doc_id", "unread", "one", met.alias("met"))
+    ends = ends.join(known("source"), "source", "left").select("doc_id", "unread", "one", (F.col("whole") & F.coalesce("source_known", F.lit(False))).alias("whole"), "target")
+    ends = ends.join(known("target"), "target", "left").select("doc_id", "unread", "one", (F.col("whole") & F.coalesce("target_known", F.lit(False))).alias("met"))
     states = ends.groupBy("doc_id").agg(
         F.when(F.bool_and("unread"), "error").otherwise("extracted").alias("status"), F.count_if(F.col("one") & F.col("met")).alias("relations"), F.count_if(F.col("one") & ~F.col("met")).alias("dropped")
     )
     return relations, evidence, states
+
+
+def _links(parsed: DataFrame, key: Callable[[Column], Column]) -> DataFrame:
+    """doc_id, source, target (keys, never null), rel, kind, confidence, linked, tells_source, tells_target: the relations that have
+    both ends. An entity that is an end of a relation is told by the first one, with which it is dealt; one that is no end has a
+    row of its own, not linked, as has a relation with an end that has no key.
+    """
+    d = parsed.select("doc_id", F.filter("x.relations", lambda r: r["source"].isNotNull() & r["target"].isNotNull()).alias("r"), F.array_compact(F.array_distinct("x.entities.name")).alias("named"))
+    d = d.select("doc_id", F.coalesce("r", F.array().cast(d.schema["r"].dataType)).alias("r"), F.coalesce("named", F.array().cast("array<string>")).alias("named"))
+    d = d.withColumn("sources", F.col("r.source")).withColumn("targets", F.col("r.target"))
+    row = lambda source, target, linked, tells_source, tells_target, r=None: F.struct(
+        source.alias("source"), target.alias("target"), *((r[c] if r is not None else F.lit(None).cast(kind)).alias(c) for c, kind in (("rel", "string"), ("kind", "string"), ("confidence", "double"))),
+        F.lit(linked).alias("linked"), tells_source.alias("tells_source"), tells_target.alias("tells_target"),
+    )
+    first = lambda end, i, n: (F.array_position(end, n) == i + 1) & F.array_contains("named", n)
+    linked = F.transform("r", lambda r, i: row(r["source"], r["target"], True, first("sources", i, r["source"]), first("targets", i, r["target"]) & ~F.array_contains("sources", r["target"]), r))
+    alone = F.transform(F.array_except("named", F.concat("sources", "targets")), lambda n: row(n, n, False, F.lit(True), F.lit(False)))
+    d = d.select("doc_id", F.explode(F.concat(linked, alone)).alias("l")).select("doc_id", "l.*").withColumns({end: key(F.col(end)) for end in ("source", "target")})
+    known = {end: F.col(end).isNotNull() for end in ("source", "target")}
+    return d.where(known["source"] | known["target"]).select(
+        "doc_id", F.coalesce("source", "target").alias("source"), F.coalesce("target", "source").alias("target"), "rel", "kind", "confidence",
+        (F.col("linked") & known["source"] & known["target"]).alias("linked"), *((F.col(f"tells_{end}") & known[end]).alias(f"tells_{end}") for end in known),
+    )
