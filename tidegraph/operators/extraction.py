@@ -31,7 +31,7 @@ def parse(answers: DataFrame) -> DataFrame:
 
 def bodies(answers: DataFrame) -> DataFrame:
     """answers with `_body`, the JSON of each: what stands in its code fence, or all of it. Columns in steps, so that each is made once."""
-    d = answers.withColumn("_parts", F.split("answer", "```", 3))
+    d = answers.withColumn("_parts", F.when(F.contains("answer", F.lit("```")), F.split("answer", "```", 3)))
     inner = F.when(F.size("_parts") == 3, F.regexp_replace(F.substring(F.get("_parts", F.lit(1)), 1, 4), "^json$", ""))
     d = d.withColumn("_fence", F.ltrim(F.concat(inner, F.substring(F.get("_parts", F.lit(1)), 5, 2**31 - 1)), F.lit(" \t\n\x0b\f\r")))
     return d.withColumn("_body", F.trim(F.when(F.col("_fence") != "", F.col("_fence")).otherwise(F.col("answer")))).drop("_parts", "_fence")
